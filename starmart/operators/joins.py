@@ -1,0 +1,15 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# rows a broadcast side may hold; dims here are a few narrow columns
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after counting it; beyond ``max_rows``
+    it stays a shuffle join.  Meant for dimension tables, whose count is cheap."""
+    return F.broadcast(df) if df.count() <= max_rows else df
