@@ -152,41 +152,46 @@ def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Co
     return result.drop(_PID, *[f"__w_{n}" for n in sums]), totals
 
 
+def grouped_exact_quantiles(df: DataFrame, group_col: str, value_col: str,
+                            probs: Sequence[float], names: Sequence[str] | None = None,
+                            num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles per group with linear interpolation (pandas' default,
+    ``quantile_cont``): one row per group, one DOUBLE column per probability.
+
+    Rows are first counted per (group, value), a partial aggregate, so a value
+    held by a third of all rows is one row here.  Running counts over
+    (group, value) come from :func:`with_running_sums`; the k-th smallest value
+    of a group is ``min(value) where running_count_in_group > k``.  No group
+    is ever gathered into one task.
+    """
+    names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
+    g = F.col(group_col)
+    counted = (df.where(F.col(value_col).isNotNull())
+               .groupBy(g.alias("__g"), F.col(value_col).cast("double").alias("__v"))
+               .agg(F.count(F.lit(1)).alias("__c")))
+    cum, _ = with_running_sums(counted, [F.col("__g").asc_nulls_last(), F.col("__v").asc()],
+                               {"__cum": F.col("__c")}, num_partitions)
+    per_group = cum.groupBy("__g").agg((F.min(F.col("__cum") - F.col("__c"))).alias("__base"),
+                                       F.sum("__c").alias("__n"))
+    j = _null_safe_join(cum, per_group, ["__g"]).withColumn(
+        "__pos", F.col("__cum") - F.col("__base"))
+    n = F.col("__n")
+    aggs, outs = [], []
+    for i, p in enumerate(probs):
+        h = (n - 1).cast("double") * F.lit(float(p))
+        lo = F.floor(h)
+        hi = F.least(lo + 1, n - 1)
+        aggs += [F.min(F.when(F.col("__pos") > lo, F.col("__v"))).alias(f"__lo{i}"),
+                 F.min(F.when(F.col("__pos") > hi, F.col("__v"))).alias(f"__hi{i}"),
+                 F.max(h - lo).alias(f"__f{i}")]
+        v_lo, v_hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        outs.append((v_lo + F.col(f"__f{i}") * (v_hi - v_lo)).alias(names[i]))
+    return j.groupBy("__g").agg(*aggs).select(F.col("__g").alias(group_col), *outs)
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     names: Sequence[str] | None = None,
                     num_partitions: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas' default,
-    ``percentile_cont``), one row with one DOUBLE column per probability.
-
-    Values are first counted per distinct value (partial aggregation), the
-    distinct values get running counts, and the k-th smallest value is
-    ``min(value) where running_count > k``.  No group ever holds all rows.
-    """
-    names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    counted = (df.where(F.col(col).isNotNull())
-               .groupBy(F.col(col).cast("double").alias("v")).agg(F.count("*").alias("c")))
-    cum, totals = with_running_sums(counted, [F.col("v").asc()], {"cum": F.col("c")},
-                                    num_partitions)
-    n = int(totals["cum"] or 0)
-    if n == 0:
-        return df.sparkSession.range(1).select(
-            *[F.lit(None).cast("double").alias(nm) for nm in names])
-    aggs, exprs = [], []
-    needed: dict[int, str] = {}
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo = int(h // 1)
-        hi = min(lo + 1, n - 1)
-        for k in (lo, hi):
-            needed.setdefault(k, f"__k{k}")
-    for k, alias in needed.items():
-        aggs.append(F.min(F.when(F.col("cum") > F.lit(k), F.col("v"))).alias(alias))
-    row = cum.agg(*aggs)
-    for p, nm in zip(probs, names):
-        h = (n - 1) * float(p)
-        lo = int(h // 1)
-        hi = min(lo + 1, n - 1)
-        frac = h - lo
-        v_lo, v_hi = F.col(needed[lo]), F.col(needed[hi])
-        exprs.append((v_lo + F.lit(frac) * (v_hi - v_lo)).alias(nm))
-    return row.select(*exprs)
+    """Exact quantiles of one column, one row (see :func:`grouped_exact_quantiles`)."""
+    one = df.select(F.lit(0).alias("__all"), F.col(col))
+    return grouped_exact_quantiles(one, "__all", col, probs, names, num_partitions).drop("__all")

@@ -124,6 +124,14 @@ CUSTOMER_KEYS = ["customer_id", "customer_name", "segment", "region", "state", "
 
 
 def customer_base(star: Star, params: Params) -> DataFrame:
+    """The customer base, materialized once when the star carries a table
+    cache (see :func:`compute_customer_base`)."""
+    if star.tables is not None:
+        return star.tables("customer_base", lambda: compute_customer_base(star, params))
+    return compute_customer_base(star, params)
+
+
+def compute_customer_base(star: Star, params: Params) -> DataFrame:
     """The ``customer_base`` CTE: fact JOIN date (lines with an unknown date
     drop out) LEFT JOIN customer, one row per customer.  ``total_sales`` and
     ``total_profit`` stay exact decimals here."""

@@ -160,6 +160,8 @@ class Star:
     dim_date: DataFrame
     dim_ship: DataFrame
     fact: DataFrame
+    # optional cache for derived tables: (name, builder) -> DataFrame
+    tables: object = None
 
 
 def build_star(staging: DataFrame, params: Params) -> Star:

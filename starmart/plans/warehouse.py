@@ -12,23 +12,53 @@ from __future__ import annotations
 import os
 import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from starmart.params import FIXTURE_PARAMS, Params
+from starmart.session import checkpoint
 from starmart.plans.star import Star, build_star
 from starmart.sources.csv_ingest import clean
 from starmart.sources.testdata import raw_order_lines
 
 _LOCK = threading.Lock()
 _STARS: dict[tuple, Star] = {}
+_RAW: dict[tuple, DataFrame] = {}
+
+
+def fixture_raw(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> DataFrame:
+    """Raw order lines of the testdata (before cleaning), numbered once."""
+    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), params.order_partitions)
+    with _LOCK:
+        raw = _RAW.get(key)
+        if raw is None:
+            raw = raw_order_lines(spark, sf_dir, params.order_partitions)
+            _RAW[key] = raw
+        return raw
 
 
 def fixture_star(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Star:
+    raw = fixture_raw(spark, sf_dir, params)
     key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), params)
     with _LOCK:
         star = _STARS.get(key)
         if star is None:
-            staging = clean(raw_order_lines(spark, sf_dir, params.order_partitions), params)
-            star = build_star(staging, params)
+            star = build_star(clean(raw, params), params)
+            star.tables = lambda name, build: materialized(spark, sf_dir, name, params, build)
             _STARS[key] = star
         return star
+
+
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, params: Params, build) -> DataFrame:
+    """A derived table computed once per application and cut from its
+    lineage by a reliable checkpoint (the CREATE TABLE AS of the reference)."""
+    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), params, name)
+    with _LOCK:
+        df = _TABLES.get(key)
+    if df is None:
+        df = checkpoint(build())
+        with _LOCK:
+            df = _TABLES.setdefault(key, df)
+    return df

@@ -91,3 +91,191 @@ def q_executive_summary(spark, sf_dir):
 @register("row_count_report", oracle.MARTS["row_count_report"])
 def q_row_count_report(spark, sf_dir):
     return marts.row_count_report(marts.build_marts(_star(spark, sf_dir), P))
+
+
+# --- single-operator reports and dashboard (exact oracle) ------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from starmart.operators import classification, cluster_eval, quality, stats  # noqa: E402
+from starmart.plans import analytics, reports  # noqa: E402
+from starmart.plans.warehouse import fixture_raw  # noqa: E402
+
+_SIMPLE = ["rfm_scores", "customer_status", "value_tier", "lag_growth", "rank_global",
+           "rank_in_category", "ntile_global", "distinct_on", "role_playing_dates",
+           "left_join_unknown_member", "scalar_subqueries", "conditional_sums",
+           "conditional_distinct", "pivot_share", "crosstab", "value_counts",
+           "union_distinct_dates", "union_all_counts", "date_parts", "top_k", "key_check",
+           "fk_check", "customer_kpis", "status_breakdown", "yoy_growth", "discount_impact",
+           "revenue_by_region", "category_profit", "top_sellers"]
+
+
+def _simple(name):
+    fn = getattr(reports, name)
+    return lambda spark, sf_dir: fn(_star(spark, sf_dir), P)
+
+
+for _n in _SIMPLE:
+    register(_n, oracle.REPORTS[_n])(_simple(_n))
+
+
+@register("null_counts", oracle.REPORTS["null_counts"])
+def q_null_counts(spark, sf_dir):
+    return reports.null_counts(_star(spark, sf_dir), P, fixture_raw(spark, sf_dir, P))
+
+
+def _ml(spark, sf_dir):
+    return analytics.ml_input(_star(spark, sf_dir), P)
+
+
+@register("ml_input", oracle.REPORTS["ml_input"])
+def q_ml_input(spark, sf_dir):
+    return _ml(spark, sf_dir)
+
+
+@register("duplicate_rows", oracle.REPORTS["duplicate_rows"])
+def q_duplicate_rows(spark, sf_dir):
+    return quality.duplicate_rows(_ml(spark, sf_dir))
+
+
+@register("describe", oracle.REPORTS["describe"])
+def q_describe(spark, sf_dir):
+    return stats.describe(_ml(spark, sf_dir), analytics.NUMERIC_COLS, digits=4,
+                          num_partitions=P.order_partitions)
+
+
+@register("zscore_outliers", oracle.REPORTS["zscore_outliers"])
+def q_zscore_outliers(spark, sf_dir):
+    return stats.zscore_outliers(_ml(spark, sf_dir), analytics.NUMERIC_COLS, "customer_id",
+                                 digits=9)
+
+
+@register("histogram", oracle.REPORTS["histogram"])
+def q_histogram(spark, sf_dir):
+    return stats.histogram(_ml(spark, sf_dir), analytics.NUMERIC_COLS, bins=oracle.HIST_BINS)
+
+
+@register("boxplot", oracle.REPORTS["boxplot"])
+def q_boxplot(spark, sf_dir):
+    return stats.boxplot_stats(_ml(spark, sf_dir), analytics.NUMERIC_COLS,
+                               num_partitions=P.order_partitions)
+
+
+@register("exact_quantiles", oracle.REPORTS["exact_quantiles"])
+def q_exact_quantiles(spark, sf_dir):
+    from starmart.operators.ordered import grouped_exact_quantiles
+
+    long = stats.long_form(_ml(spark, sf_dir), analytics.NUMERIC_COLS)
+    return grouped_exact_quantiles(long, "column_name", "value", [0.0, 0.25, 0.5, 0.75, 1.0],
+                                   ["q00", "q25", "q50", "q75", "q100"], P.order_partitions)
+
+
+@register("correlation", oracle.REPORTS["correlation"])
+def q_correlation(spark, sf_dir):
+    return stats.correlation_long(_ml(spark, sf_dir), analytics.NUMERIC_COLS, digits=9)
+
+
+@register("chi_square", oracle.REPORTS["chi_square"])
+def q_chi_square(spark, sf_dir):
+    return stats.chi_square_stat(_ml(spark, sf_dir), "segment", "state", digits=6)
+
+
+@register("chi_square_test")
+def q_chi_square_test(spark, sf_dir):
+    return stats.chi_square_test(_ml(spark, sf_dir), "segment", "state")
+
+
+@register("density_curve")
+def q_density_curve(spark, sf_dir):
+    return stats.kde_curve(_ml(spark, sf_dir), "total_sales")
+
+
+@register("dummies", oracle.REPORTS["dummies"])
+def q_dummies(spark, sf_dir):
+    df, cols = analytics.dummies(_ml(spark, sf_dir), "segment")
+    return df.select("customer_id", "segment", *cols)
+
+
+def _feats(spark, sf_dir):
+    df, feats = analytics.clustering_frame(_star(spark, sf_dir), P)
+    return analytics.recency_label(df, P), feats
+
+
+@register("scaled_features", oracle.REPORTS["scaled_features"])
+def q_scaled_features(spark, sf_dir):
+    df, _ = _feats(spark, sf_dir)
+    return df.select("customer_id", *[F.round(f"z_{c}", 9).alias(f"z_{c}")
+                                      for c in analytics.NUMERIC_COLS])
+
+
+@register("silhouette", oracle.REPORTS["silhouette"])
+def q_silhouette(spark, sf_dir):
+    df, feats = _feats(spark, sf_dir)
+    return cluster_eval.silhouette_squared(df, "label", feats).select(
+        F.round("silhouette", 6).alias("silhouette"))
+
+
+@register("calinski_harabasz", oracle.REPORTS["calinski_harabasz"])
+def q_calinski_harabasz(spark, sf_dir):
+    df, feats = _feats(spark, sf_dir)
+    return cluster_eval.calinski_harabasz(df, "label", feats).select(
+        F.round("calinski_harabasz", 6).alias("calinski_harabasz"))
+
+
+@register("davies_bouldin", oracle.REPORTS["davies_bouldin"])
+def q_davies_bouldin(spark, sf_dir):
+    df, feats = _feats(spark, sf_dir)
+    return cluster_eval.davies_bouldin(df, "label", feats).select(
+        F.round("davies_bouldin", 6).alias("davies_bouldin"))
+
+
+@register("cluster_profile", oracle.REPORTS["cluster_profile"])
+def q_cluster_profile(spark, sf_dir):
+    df, _ = _feats(spark, sf_dir)
+    prof = cluster_eval.cluster_profile(df, "label", analytics.NUMERIC_COLS)
+    return prof.select("label", "size", *[F.round(f"mean_{c}", 4).alias(f"mean_{c}")
+                                          for c in analytics.NUMERIC_COLS])
+
+
+@register("segment_mix", oracle.REPORTS["segment_mix"])
+def q_segment_mix(spark, sf_dir):
+    df, _ = _feats(spark, sf_dir)
+    return cluster_eval.segment_mix(df, "label")
+
+
+def _churned(spark, sf_dir):
+    return analytics.churn_labelled(_star(spark, sf_dir), P)
+
+
+@register("churn_label", oracle.REPORTS["churn_label"])
+def q_churn_label(spark, sf_dir):
+    return _churned(spark, sf_dir).select("customer_id", "days_since_last_purchase", "churn")
+
+
+@register("stratified_split", oracle.REPORTS["stratified_split"])
+def q_stratified_split(spark, sf_dir):
+    return analytics.stratified_split(_churned(spark, sf_dir)).select(
+        "customer_id", "churn", "split")
+
+
+def _standin(spark, sf_dir):
+    return analytics.churn_standin(_churned(spark, sf_dir))
+
+
+@register("confusion_matrix", oracle.REPORTS["confusion_matrix"])
+def q_confusion_matrix(spark, sf_dir):
+    return classification.confusion(_standin(spark, sf_dir))
+
+
+@register("class_report", oracle.REPORTS["class_report"])
+def q_class_report(spark, sf_dir):
+    return classification.class_report(_standin(spark, sf_dir))
+
+
+@register("roc_auc", oracle.REPORTS["roc_auc"])
+def q_roc_auc(spark, sf_dir):
+    return classification.roc_auc(_standin(spark, sf_dir), num_partitions=P.order_partitions)
+
+
+@register("roc_curve", oracle.REPORTS["roc_curve"])
+def q_roc_curve(spark, sf_dir):
+    return classification.roc_curve(_standin(spark, sf_dir), num_partitions=P.order_partitions)

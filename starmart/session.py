@@ -17,6 +17,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     parts = shuffle_partitions or int(os.environ.get("STARMART_SHUFFLE_PARTITIONS", "8"))
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

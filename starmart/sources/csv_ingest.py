@@ -38,6 +38,8 @@ CSV_COLUMNS = (
     ("Profit", "profit", T.DecimalType(18, 4)),
 )
 
+RAW_COLUMNS_ORDER = tuple(dst for _, dst, _ in CSV_COLUMNS)
+
 CSV_SCHEMA = T.StructType([T.StructField(src, typ, True) for src, _, typ in CSV_COLUMNS])
 
 # columns the reference profiles and casts to a categorical type

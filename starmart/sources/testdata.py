@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.ordered import with_row_number
+from starmart.sources.csv_ingest import RAW_COLUMNS_ORDER
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -91,7 +92,4 @@ def raw_order_lines(spark: SparkSession, sf_dir: str, num_partitions: int | None
     return numbered.select("row_id", *[c for c in RAW_COLUMNS if c != "row_id"])
 
 
-RAW_COLUMNS = ("row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id",
-               "customer_name", "segment", "country", "city", "state", "postal_code",
-               "region", "product_id", "category", "sub_category", "product_name", "sales",
-               "quantity", "discount", "profit")
+RAW_COLUMNS = RAW_COLUMNS_ORDER
