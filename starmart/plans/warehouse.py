@@ -62,3 +62,17 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, params: Params, bu
         with _LOCK:
             df = _TABLES.setdefault(key, df)
     return df
+
+
+_MEMO: dict[tuple, object] = {}
+
+
+def memo(spark: SparkSession, sf_dir: str, name: str, params: Params, build):
+    """A fitted model or other driver-side result, built once per application."""
+    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), params, name)
+    with _LOCK:
+        if key in _MEMO:
+            return _MEMO[key]
+    value = build()
+    with _LOCK:
+        return _MEMO.setdefault(key, value)

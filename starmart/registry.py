@@ -279,3 +279,111 @@ def q_roc_auc(spark, sf_dir):
 @register("roc_curve", oracle.REPORTS["roc_curve"])
 def q_roc_curve(spark, sf_dir):
     return classification.roc_curve(_standin(spark, sf_dir), num_partitions=P.order_partitions)
+
+
+# --- machine learning (rows-only: not expressible in SQL or not deterministic
+# across engines; unit tests in tests/ check them against brute force) ---------
+from starmart.operators import iforest  # noqa: E402
+from starmart.plans import churn as churn_plan  # noqa: E402
+from starmart.plans import segmentation  # noqa: E402
+from starmart.plans.warehouse import memo  # noqa: E402
+
+
+def _passes(spark, sf_dir, method):
+    st = _star(spark, sf_dir)
+    out = None
+    for i, (k, fs) in enumerate(segmentation.PASSES):
+        df, feats = segmentation.features_frame(st, P, fs)
+        lab = segmentation.labels(segmentation.cluster(df, feats, method, k)).select(
+            F.lit(i + 1).alias("pass"), F.lit(k).alias("k"), F.lit(fs).alias("features"),
+            "customer_id", "cluster")
+        out = lab if out is None else out.unionByName(lab)
+    return out
+
+
+for _m in ("kmeans", "bisecting", "gmm", "kmedoids"):
+    register(_m)(lambda spark, sf_dir, _m=_m: _passes(spark, sf_dir, _m))
+
+
+@register("elbow")
+def q_elbow(spark, sf_dir):
+    df, feats = segmentation.features_frame(_star(spark, sf_dir), P, "full")
+    return segmentation.elbow(df, feats)
+
+
+@register("pca")
+def q_pca(spark, sf_dir):
+    df, feats = segmentation.features_frame(_star(spark, sf_dir), P, "full")
+    return segmentation.pca2(df, feats)
+
+
+@register("cluster_scores")
+def q_cluster_scores(spark, sf_dir):
+    """Silhouette, Calinski-Harabasz and Davies-Bouldin of every method and
+    pass (ML-12 ... ML-15; DBSCAN with noise is skipped, as the reference does)."""
+    st = _star(spark, sf_dir)
+    out = None
+    for method in ("kmeans", "bisecting", "gmm", "kmedoids"):
+        for i, (k, fs) in enumerate(segmentation.PASSES):
+            df, feats = segmentation.features_frame(st, P, fs)
+            lab = segmentation.cluster(df, feats, method, k).withColumn(
+                "cluster", F.col("cluster").cast("int"))
+            row = (cluster_eval.silhouette_squared(lab, "cluster", feats).select(
+                F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
+                "silhouette",
+                cluster_eval.calinski_harabasz(lab, "cluster", feats)
+                .select("calinski_harabasz").scalar().alias("calinski_harabasz"),
+                cluster_eval.davies_bouldin(lab, "cluster", feats)
+                .select("davies_bouldin").scalar().alias("davies_bouldin")))
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, sf_dir):
+    ml = _ml(spark, sf_dir)
+    return iforest.isolation_forest(ml, "customer_id", analytics.NUMERIC_COLS,
+                                    num_partitions=P.order_partitions).select(
+        "customer_id", "score", "anomaly")
+
+
+def _churn_model(spark, sf_dir):
+    st = _star(spark, sf_dir)
+    return memo(spark, sf_dir, "churn_model", P, lambda: churn_plan.train(st, P))
+
+
+@register("churn_scores")
+def q_churn_scores(spark, sf_dir):
+    return churn_plan.churn_scores(_churn_model(spark, sf_dir))
+
+
+@register("churn_model_metrics")
+def q_churn_model_metrics(spark, sf_dir):
+    """CH-6 on the held-out split of the trained model."""
+    pred = churn_plan.test_predictions(_churn_model(spark, sf_dir))
+    auc = classification.roc_auc(pred, num_partitions=P.order_partitions).select(
+        "roc_auc").scalar()
+    return classification.confusion(pred).withColumn("roc_auc", auc)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    return churn_plan.feature_importance(_churn_model(spark, sf_dir))
+
+
+@register("top_risk")
+def q_top_risk(spark, sf_dir):
+    return churn_plan.top_risk(_churn_model(spark, sf_dir))
+
+
+@register("customers_ml_results")
+def q_customers_ml_results(spark, sf_dir):
+    return churn_plan.ml_results(_star(spark, sf_dir), P, _churn_model(spark, sf_dir))
+
+
+@register("cluster_distribution")
+def q_cluster_distribution(spark, sf_dir):
+    """D-3: customers per final segment."""
+    seg = segmentation.final_segmentation(_star(spark, sf_dir), P)
+    return seg.groupBy("final_cluster", "final_cluster_label").agg(
+        F.count(F.lit(1)).alias("customers"))
