@@ -184,8 +184,10 @@ def grouped_exact_quantiles(df: DataFrame, group_col: str, value_col: str,
         aggs += [F.min(F.when(F.col("__pos") > lo, F.col("__v"))).alias(f"__lo{i}"),
                  F.min(F.when(F.col("__pos") > hi, F.col("__v"))).alias(f"__hi{i}"),
                  F.max(h - lo).alias(f"__f{i}")]
-        v_lo, v_hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        outs.append((v_lo + F.col(f"__f{i}") * (v_hi - v_lo)).alias(names[i]))
+        v_lo, v_hi, t = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__f{i}")
+        # weighted form lo * (1 - t) + hi * t, bit for bit what quantile_cont
+        # computes (numpy's lerp can differ from it in the last bit)
+        outs.append((v_lo * (1 - t) + v_hi * t).alias(names[i]))
     return j.groupBy("__g").agg(*aggs).select(F.col("__g").alias(group_col), *outs)
 
 

@@ -137,10 +137,16 @@ def q_duplicate_rows(spark, sf_dir):
     return quality.duplicate_rows(_ml(spark, sf_dir))
 
 
+def _round(df, cols, digits=6):
+    """Interpolated quantiles are rounded for the engine comparison: DuckDB's
+    interpolation and ours can differ in the last bit."""
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
 @register("describe", oracle.REPORTS["describe"])
 def q_describe(spark, sf_dir):
-    return stats.describe(_ml(spark, sf_dir), analytics.NUMERIC_COLS, digits=4,
-                          num_partitions=P.order_partitions)
+    return _round(stats.describe(_ml(spark, sf_dir), analytics.NUMERIC_COLS, digits=4,
+                                 num_partitions=P.order_partitions), ["q25", "q50", "q75"])
 
 
 @register("zscore_outliers", oracle.REPORTS["zscore_outliers"])
@@ -156,8 +162,9 @@ def q_histogram(spark, sf_dir):
 
 @register("boxplot", oracle.REPORTS["boxplot"])
 def q_boxplot(spark, sf_dir):
-    return stats.boxplot_stats(_ml(spark, sf_dir), analytics.NUMERIC_COLS,
-                               num_partitions=P.order_partitions)
+    return _round(stats.boxplot_stats(_ml(spark, sf_dir), analytics.NUMERIC_COLS,
+                                      num_partitions=P.order_partitions),
+                  ["q1", "median", "q3", "iqr"])
 
 
 @register("exact_quantiles", oracle.REPORTS["exact_quantiles"])
@@ -165,8 +172,10 @@ def q_exact_quantiles(spark, sf_dir):
     from starmart.operators.ordered import grouped_exact_quantiles
 
     long = stats.long_form(_ml(spark, sf_dir), analytics.NUMERIC_COLS)
-    return grouped_exact_quantiles(long, "column_name", "value", [0.0, 0.25, 0.5, 0.75, 1.0],
-                                   ["q00", "q25", "q50", "q75", "q100"], P.order_partitions)
+    return _round(grouped_exact_quantiles(long, "column_name", "value",
+                                          [0.0, 0.25, 0.5, 0.75, 1.0],
+                                          ["q00", "q25", "q50", "q75", "q100"],
+                                          P.order_partitions), ["q25", "q50", "q75"])
 
 
 @register("correlation", oracle.REPORTS["correlation"])

@@ -58,13 +58,13 @@ def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_dates(df: DataFrame, cols=("order_date", "ship_date")) -> DataFrame:
     """IO-2: ``dd/mm/yyyy`` text to DATE; an unparseable value becomes NULL."""
-    return df.withColumns({c: F.try_to_date(F.col(c), F.lit(DATE_FORMAT)) for c in cols})
+    return df.withColumns({c: F.try_to_date(F.col(c), DATE_FORMAT) for c in cols})
 
 
 def date_rejects(raw_text: DataFrame, cols=("order_date", "ship_date")) -> DataFrame:
     """Count of non-empty date texts that do not parse, per column (one row)."""
     return raw_text.agg(*[
-        F.count(F.when(F.col(c).isNotNull() & F.try_to_date(F.col(c), F.lit(DATE_FORMAT)).isNull(),
+        F.count(F.when(F.col(c).isNotNull() & F.try_to_date(F.col(c), DATE_FORMAT).isNull(),
                        1)).alias(f"{c}_rejects") for c in cols])
 
 
