@@ -8,9 +8,11 @@ products.  The operators here keep the work distributed:
    partition ``p`` holds one contiguous slice of the global order.  The order
    ends in a unique tie-break, so even a value shared by a third of all rows is
    split over many partitions.
-2. A reliable checkpoint freezes that layout (partition ids and in-partition
-   order), so the two passes below see the same rows even if the range bounds
-   would be re-sampled after a lost executor.
+2. Each row's partition id and position inside its partition are computed in
+   the same stage as the sort and written with it as a parquet table in the
+   shared checkpoint folder.  Positions are then plain columns: the two
+   passes below cannot disagree, even after a lost executor, and the lineage
+   is cut.
 3. One small aggregate per partition (row count, or sums) is collected: its
    size is the number of partitions, never the number of rows.  Their prefix
    sums become a literal array of offsets.
@@ -18,6 +20,11 @@ products.  The operators here keep the work distributed:
 
 Ties (``rank``) and quantiles are answered with aggregates on top of the
 numbering, which Spark computes with map-side partial aggregation.
+
+Like a broadcast behind a size check, an input proven small by a row count
+(at most ``starmart.ordered.localRows`` rows, session conf, default one
+million; 0 turns it off) takes Spark's plain window instead: one task, a
+bounded sort, no extra jobs.  Both paths give identical rows (tests).
 """
 
 from __future__ import annotations
@@ -27,12 +34,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.session import checkpoint
+from starmart.session import write_table
 
 _PID = "__sm_pid"
 _LOCAL = "__sm_local"
 
 
+LOCAL_ROWS_CONF = "starmart.ordered.localRows"
+DEFAULT_LOCAL_ROWS = 1_000_000
+
+
+def _small(df: DataFrame) -> int | None:
+    """Row count of ``df`` when it is at most the local limit, else None."""
+    limit = int(df.sparkSession.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
+    if limit <= 0:
+        return None
+    n = df.count()
+    return n if n <= limit else None
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return num_partitions
@@ -40,9 +60,16 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def _range_layout(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """Range-partitioned, sorted rows with ``__sm_pid`` and ``__sm_local``
+    (0-based position inside the partition), written and read back."""
     n = _partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return checkpoint(ranged).withColumn(_PID, F.spark_partition_id())
+    pid = F.spark_partition_id()
+    # monotonically_increasing_id is (partition id << 33) + record number,
+    # evaluated in the sorted partition
+    tagged = ranged.withColumn(_PID, pid).withColumn(
+        _LOCAL, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    return write_table(tagged, "ordered")
 
 
 def _offsets(per_partition: dict[int, int]) -> tuple[list[int], int]:
@@ -66,11 +93,10 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
     ``order`` must be a total order (end it in a unique key).  Returns the
     frame with a 1-based LONG column ``out`` and the row count.
     """
+    n = _small(df)
+    if n is not None:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long")), n
     laid = _range_layout(df, order, num_partitions)
-    # position inside the partition: monotonically_increasing_id is
-    # (partition id << 33) + record number, evaluated right after the scan
-    laid = laid.withColumn(
-        _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
     counts = {r[0]: r[1] for r in laid.groupBy(_PID).count().collect()}
     offsets, total = _offsets(counts)
     numbered = laid.withColumn(out, _lookup(offsets, F.col(_PID)) + F.col(_LOCAL) + 1)
@@ -81,6 +107,8 @@ def with_ntile(df: DataFrame, buckets: int, order: Sequence[Column], out: str,
                num_partitions: int | None = None) -> DataFrame:
     """``ntile(buckets) over (order by <order>)``: with N rows, q = N div n and
     m = N mod n, the first m buckets hold q + 1 rows and the rest q."""
+    if _small(df) is not None:
+        return df.withColumn(out, F.ntile(buckets).over(Window.orderBy(*order)).cast("int"))
     rn_col = f"__{out}_rn"
     numbered, total = with_row_number(df, order, rn_col, num_partitions)
     q, m = divmod(total, buckets)
@@ -101,6 +129,9 @@ def with_rank(df: DataFrame, value_cols: Sequence[str], value_order: Sequence[Co
     Both firsts are ``min`` aggregates (partial aggregation keeps a hot value
     cheap) joined back null-safely on the value / partition columns.
     """
+    if _small(df) is not None:
+        w = Window.partitionBy(*partition_cols) if partition_cols else Window
+        return df.withColumn(out, F.rank().over(w.orderBy(*value_order)).cast("long"))
     rn_col = f"__{out}_rn"
     order = [F.col(c).asc_nulls_last() for c in partition_cols] + list(value_order) + list(tiebreak)
     numbered, _ = with_row_number(df, order, rn_col, num_partitions)
@@ -135,13 +166,18 @@ def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Co
     partitions come from one small per-partition aggregate.  Returns the frame
     and the grand totals.
     """
+    if _small(df) is not None:
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = df.withColumns({name: F.sum(expr).over(w) for name, expr in sums.items()})
+        tot = df.agg(*[F.sum(expr).alias(name) for name, expr in sums.items()]).first()
+        return out, {name: tot[name] for name in sums}
     laid = _range_layout(df, order, num_partitions)
     for name, expr in sums.items():
         laid = laid.withColumn(f"__w_{name}", expr)
     agg = laid.groupBy(_PID).agg(*[F.sum(f"__w_{n}").alias(n) for n in sums]).collect()
     result = laid
     totals: dict[str, float] = {}
-    local_w = Window.partitionBy(_PID).orderBy(*order).rowsBetween(
+    local_w = Window.partitionBy(_PID).orderBy(_LOCAL).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     for name in sums:
         per = {r[_PID]: r[name] for r in agg}
@@ -149,7 +185,7 @@ def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Co
         totals[name] = total
         result = result.withColumn(
             name, _lookup(offsets, F.col(_PID)) + F.sum(f"__w_{name}").over(local_w))
-    return result.drop(_PID, *[f"__w_{n}" for n in sums]), totals
+    return result.drop(_PID, _LOCAL, *[f"__w_{n}" for n in sums]), totals
 
 
 def grouped_exact_quantiles(df: DataFrame, group_col: str, value_col: str,

@@ -396,3 +396,46 @@ def q_cluster_distribution(spark, sf_dir):
     seg = segmentation.final_segmentation(_star(spark, sf_dir), P)
     return seg.groupBy("final_cluster", "final_cluster_label").agg(
         F.count(F.lit(1)).alias("customers"))
+
+
+# --- ingestion: the reference's CSV layout, written from the given tables and
+# read back through the same path a raw file takes (IO-1, IO-2, T-1, CHK-5) ---
+from starmart.session import scratch_path  # noqa: E402
+from starmart.sources import csv_ingest  # noqa: E402
+from starmart.streaming import ingest as stream_ingest  # noqa: E402
+
+
+def _money_out(df):
+    return df.withColumns({c: F.col(c).cast("double") for c in ("sales", "discount", "profit")})
+
+
+def _exported_csv(spark, sf_dir):
+    def build():
+        path = scratch_path(spark, "csv")
+        csv_ingest.export_csv(fixture_raw(spark, sf_dir, P), path)
+        return path
+    return memo(spark, sf_dir, "exported_csv", P, build)
+
+
+def _csv_staging(spark, sf_dir):
+    return csv_ingest.stage_csv(spark, _exported_csv(spark, sf_dir), P)
+
+
+@register("csv_staging", oracle.REPORTS["csv_staging"])
+def q_csv_staging(spark, sf_dir):
+    return _money_out(_csv_staging(spark, sf_dir))
+
+
+@register("stream_staging", oracle.REPORTS["stream_staging"])
+def q_stream_staging(spark, sf_dir):
+    """The same load as a Structured Streaming file source (availableNow)."""
+    target, ck = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ck")
+    q = stream_ingest.start_staging_load(spark, _exported_csv(spark, sf_dir), target, ck, P)
+    q.awaitTermination()
+    return _money_out(spark.read.parquet(target))
+
+
+@register("load_row_count", oracle.REPORTS["load_row_count"])
+def q_load_row_count(spark, sf_dir):
+    return quality.row_count_check(fixture_raw(spark, sf_dir, P), _csv_staging(spark, sf_dir),
+                                   "staging_raw")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
     and keeps partition ids and the order inside each partition stable."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str = "t") -> str:
+    """A fresh folder for a written table, inside the shared checkpoint
+    folder of the cluster (never a machine-local temp dir on a cluster)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/starmart/{name}-{uuid.uuid4().hex}"
+
+
+def write_table(df: DataFrame, name: str = "t") -> DataFrame:
+    """Materialize ``df`` as parquet in the shared folder and read it back:
+    the lineage is cut, the rows survive executor loss, and later scans get
+    column pruning and filter pushdown."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -100,3 +100,15 @@ def stage_csv(spark: SparkSession, path: str, params: Params) -> DataFrame:
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """U-4: the distinct values of one column (profiling)."""
     return df.select(col).distinct()
+
+
+def export_csv(raw: DataFrame, path: str) -> None:
+    """Write raw lines in the reference's CSV layout (its header, ``dd/mm/yyyy``
+    dates): the input format of :func:`stage_csv`."""
+    out = []
+    for src, dst, typ in CSV_COLUMNS:
+        c = F.col(dst)
+        if dst in ("order_date", "ship_date"):
+            c = F.date_format(c, "dd/MM/yyyy")
+        out.append(c.cast("string").alias(src))
+    raw.select(*out).write.mode("overwrite").option("header", True).csv(path)

@@ -16,6 +16,16 @@ from starmart.operators.ordered import (
 )
 
 
+@pytest.fixture(autouse=True, params=["distributed", "local"])
+def path(request, spark):
+    """Every test runs on both paths: the distributed one (limit 0) and the
+    size-checked single-window one."""
+    spark.conf.set("starmart.ordered.localRows", "0" if request.param == "distributed" else
+                   "1000000")
+    yield request.param
+    spark.conf.unset("starmart.ordered.localRows")
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     rng = np.random.default_rng(7)
