@@ -296,6 +296,7 @@ from starmart.operators import iforest  # noqa: E402
 from starmart.plans import churn as churn_plan  # noqa: E402
 from starmart.plans import segmentation  # noqa: E402
 from starmart.plans.warehouse import memo  # noqa: E402
+from starmart.session import write_table  # noqa: E402
 
 
 def _passes(spark, sf_dir, method):
@@ -310,7 +311,7 @@ def _passes(spark, sf_dir, method):
     return out
 
 
-for _m in ("kmeans", "bisecting", "gmm", "kmedoids"):
+for _m in ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan"):
     register(_m)(lambda spark, sf_dir, _m=_m: _passes(spark, sf_dir, _m))
 
 
@@ -332,11 +333,13 @@ def q_cluster_scores(spark, sf_dir):
     pass (ML-12 ... ML-15; DBSCAN with noise is skipped, as the reference does)."""
     st = _star(spark, sf_dir)
     out = None
-    for method in ("kmeans", "bisecting", "gmm", "kmedoids"):
+    for method in ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan"):
         for i, (k, fs) in enumerate(segmentation.PASSES):
             df, feats = segmentation.features_frame(st, P, fs)
-            lab = segmentation.cluster(df, feats, method, k).withColumn(
-                "cluster", F.col("cluster").cast("int"))
+            lab = write_table(segmentation.cluster(df, feats, method, k).withColumn(
+                "cluster", F.col("cluster").cast("int")), "labels")
+            if method == "dbscan" and lab.where("cluster = -1").limit(1).count() > 0:
+                continue  # ML-15: no scores for DBSCAN with noise points
             row = (cluster_eval.silhouette_squared(lab, "cluster", feats).select(
                 F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
                 "silhouette",

@@ -162,3 +162,50 @@ def test_confusion_and_report(scores):
     assert rep["macro avg"].recall == pytest.approx((0.8 + 0.4) / 2)
     f0, f1 = 2 * (2 / 3) * 0.4 / (2 / 3 + 0.4), 2 * (4 / 7) * 0.8 / (4 / 7 + 0.8)
     assert rep["weighted avg"].f1_score == pytest.approx((f0 * 5 + f1 * 5) / 10)
+
+
+def _dbscan_reference(x, eps, min_samples):
+    """Brute-force DBSCAN with the same conventions (ids = row positions)."""
+    d2 = ((x[:, None] - x[None]) ** 2).sum(-1)
+    nb = d2 <= eps * eps
+    core = nb.sum(1) >= min_samples
+    comp = -np.ones(len(x), int)
+    for i in np.flatnonzero(core):
+        if comp[i] >= 0:
+            continue
+        stack, comp[i] = [i], i
+        while stack:
+            j = stack.pop()
+            for k in np.flatnonzero(nb[j] & core):
+                if comp[k] < 0:
+                    comp[k] = i
+                    stack.append(k)
+    firsts = sorted({comp[i] for i in np.flatnonzero(core)})
+    label = {c: n for n, c in enumerate(firsts)}
+    out = -np.ones(len(x), int)
+    for i in range(len(x)):
+        if core[i]:
+            out[i] = label[comp[i]]
+        else:
+            near = [label[comp[j]] for j in np.flatnonzero(nb[i] & core)]
+            out[i] = min(near) if near else -1
+    return out
+
+
+@pytest.mark.parametrize("anchor_cap,batch", [(2000, 2000), (25, 16)])
+def test_dbscan_matches_brute_force(spark, blobs, anchor_cap, batch):
+    from starmart.operators.dbscan import dbscan
+
+    df, x, _ = blobs
+    rng = np.random.default_rng(11)
+    # a chain of sparse points between two blobs, and a few isolated ones
+    extra = np.vstack([np.linspace([0, 0, 0], [8, 8, 0], 12) + rng.normal(0, 0.05, (12, 3)),
+                       rng.uniform(-20, 20, (6, 3))])
+    x2 = np.vstack([x, extra])
+    rows = [(i, *map(float, x2[i])) for i in range(len(x2))]
+    df2 = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    for eps, ms in ((1.2, 5), (0.8, 4)):
+        got = dict(dbscan(df2, "id", COLS, eps=eps, min_samples=ms, anchor_cap=anchor_cap,
+                          batch=batch).select("id", "cluster").collect())
+        exp = _dbscan_reference(x2, eps, ms)
+        assert [got[i] for i in range(len(x2))] == list(exp)
