@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.ordered import with_row_number
-from starmart.session import write_table
+from starmart.session import scratch_path, write_table
 
 _CHUNK = 256
 
@@ -104,7 +104,8 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 3.0,
     else:
         numbered, n_un = with_row_number(unproven, [F.col("id")], "__rn")
         numbered = write_table(numbered, "dbscan_unproven")
-        exact_core = []
+        found = scratch_path(spark, "dbscan_exact_core")  # per-batch results, appended
+        wrote = False
         for start in range(0, n_un, batch):
             b_ids, b_x = _collect_points(
                 numbered.where((F.col("__rn") > start) & (F.col("__rn") <= start + batch)), cols)
@@ -116,12 +117,14 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 3.0,
                                         "c": hits.astype("int64")})
 
             tot = pts.mapInPandas(partial, "bi long, c long").groupBy("bi").agg(
-                F.sum("c").alias("c")).collect()
-            exact_core += [int(b_ids[r["bi"]]) for r in tot if r["c"] >= min_samples]
-        newly = spark.createDataFrame([(i,) for i in exact_core], "id long") if exact_core else None
+                F.sum("c").alias("c")).where(F.col("c") >= min_samples)
+            (tot.select((F.col("bi") + start + 1).alias("__rn"))
+             .join(numbered.select("__rn", "id"), "__rn").select("id")
+             .write.mode("append").parquet(found))
+            wrote = True
         flags = proven.where("core")
-        if newly is not None:
-            flags = flags.unionByName(newly.withColumn("core", F.lit(True)))
+        if wrote:
+            flags = flags.unionByName(spark.read.parquet(found).withColumn("core", F.lit(True)))
         flags = pts.select("id").join(flags, "id", "left").select(
             "id", F.coalesce("core", F.lit(False)).alias("core"))
     flags = write_table(flags, "dbscan_core")
@@ -214,7 +217,8 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 3.0,
     nc_numbered, n_nc = with_row_number(non_core, [F.col("id")], "__rn")
     nc_numbered = write_table(nc_numbered, "dbscan_noncore")
     core_pts = pts.join(core_lab, "id")
-    border_rows = []
+    borders = scratch_path(spark, "dbscan_borders")  # per-batch results, appended
+    wrote = False
     for start in range(0, n_nc, batch):
         b_ids, b_x = _collect_points(
             nc_numbered.where((F.col("__rn") > start) & (F.col("__rn") <= start + batch)), cols)
@@ -231,11 +235,14 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 3.0,
                                     "label": best[keep].astype("int64")})
 
         got = core_pts.mapInPandas(nearest_label, "bi long, label long").groupBy("bi").agg(
-            F.min("label").alias("label")).collect()
-        border_rows += [(int(b_ids[r["bi"]]), int(r["label"])) for r in got]
+            F.min("label").alias("label"))
+        (got.select((F.col("bi") + start + 1).alias("__rn"), "label")
+         .join(nc_numbered.select("__rn", "id"), "__rn").select("id", "label")
+         .write.mode("append").parquet(borders))
+        wrote = True
     labels = core_lab
-    if border_rows:
-        labels = labels.unionByName(spark.createDataFrame(border_rows, "id long, label long"))
+    if wrote:
+        labels = labels.unionByName(spark.read.parquet(borders))
     return (df.join(labels.withColumnRenamed("id", "__dbscan_id"),
                     F.col(id_col) == F.col("__dbscan_id"), "left")
             .withColumn(out, F.coalesce(F.col("label"), F.lit(-1)).cast("int"))

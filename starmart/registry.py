@@ -340,13 +340,9 @@ def q_cluster_scores(spark, sf_dir):
                 "cluster", F.col("cluster").cast("int")), "labels")
             if method == "dbscan" and lab.where("cluster = -1").limit(1).count() > 0:
                 continue  # ML-15: no scores for DBSCAN with noise points
-            row = (cluster_eval.silhouette_squared(lab, "cluster", feats).select(
+            row = cluster_eval.all_scores(lab, "cluster", feats).select(
                 F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
-                "silhouette",
-                cluster_eval.calinski_harabasz(lab, "cluster", feats)
-                .select("calinski_harabasz").scalar().alias("calinski_harabasz"),
-                cluster_eval.davies_bouldin(lab, "cluster", feats)
-                .select("davies_bouldin").scalar().alias("davies_bouldin")))
+                "silhouette", "calinski_harabasz", "davies_bouldin")
             out = row if out is None else out.unionByName(row)
     return out
 
@@ -442,3 +438,29 @@ def q_stream_staging(spark, sf_dir):
 def q_load_row_count(spark, sf_dir):
     return quality.row_count_check(fixture_raw(spark, sf_dir, P), _csv_staging(spark, sf_dir),
                                    "staging_raw")
+
+
+@register("distinct_values", oracle.REPORTS["distinct_values"])
+def q_distinct_values(spark, sf_dir):
+    """U-4: distinct values of the categorical columns (the profiling step)."""
+    st = _star(spark, sf_dir).staging
+    parts = [csv_ingest.distinct_values(st, c).select(F.lit(c).alias("column_name"),
+                                                       F.col(c).cast("string").alias("value"))
+             for c in csv_ingest.CATEGORICAL_COLUMNS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("rows_missing", oracle.REPORTS["rows_missing"])
+def q_rows_missing(spark, sf_dir):
+    """CHK-4: raw lines without a postal code (before the fill)."""
+    return quality.rows_missing(fixture_raw(spark, sf_dir, P), "postal_code").select(
+        "row_id", "customer_id", "city", "state")
+
+
+@register("first_rows", oracle.REPORTS["first_rows"])
+def q_first_rows(spark, sf_dir):
+    """S-3: the first five rows of the ML input (``df.head()``), by customer id."""
+    return _ml(spark, sf_dir).orderBy("customer_id").limit(5)

@@ -209,3 +209,14 @@ def test_dbscan_matches_brute_force(spark, blobs, anchor_cap, batch):
                           batch=batch).select("id", "cluster").collect())
         exp = _dbscan_reference(x2, eps, ms)
         assert [got[i] for i in range(len(x2))] == list(exp)
+
+
+def test_all_scores_agree_with_single_measures(blobs):
+    df, _, _ = blobs
+    r = cluster_eval.all_scores(df, "label", COLS).first()
+    assert r.silhouette == pytest.approx(
+        cluster_eval.silhouette_squared(df, "label", COLS).first()[0], rel=1e-9)
+    assert r.calinski_harabasz == pytest.approx(
+        cluster_eval.calinski_harabasz(df, "label", COLS).first()[0], rel=1e-9)
+    assert r.davies_bouldin == pytest.approx(
+        cluster_eval.davies_bouldin(df, "label", COLS).first()[0], rel=1e-9)
