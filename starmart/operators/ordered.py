@@ -44,10 +44,12 @@ LOCAL_ROWS_CONF = "starmart.ordered.localRows"
 DEFAULT_LOCAL_ROWS = 1_000_000
 
 
-def _small(df: DataFrame) -> int | None:
-    """Row count of ``df`` when it is at most the local limit, else None."""
+def _small(df: DataFrame, size_check: bool = True) -> int | None:
+    """Row count of ``df`` when it is at most the local limit, else None.
+    Callers whose input is fact-sized by construction pass
+    ``size_check=False``: counting it would cost a full extra pass."""
     limit = int(df.sparkSession.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
-    if limit <= 0:
+    if limit <= 0 or not size_check:
         return None
     n = df.count()
     return n if n <= limit else None
@@ -87,13 +89,14 @@ def _lookup(offsets: list[int], pid: Column) -> Column:
 
 
 def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
-                    num_partitions: int | None = None) -> tuple[DataFrame, int]:
+                    num_partitions: int | None = None,
+                    size_check: bool = True) -> tuple[DataFrame, int]:
     """``row_number() over (order by <order>)`` computed in parallel.
 
     ``order`` must be a total order (end it in a unique key).  Returns the
     frame with a 1-based LONG column ``out`` and the row count.
     """
-    n = _small(df)
+    n = _small(df, size_check)
     if n is not None:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long")), n
     laid = _range_layout(df, order, num_partitions)
@@ -104,13 +107,13 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
 
 
 def with_ntile(df: DataFrame, buckets: int, order: Sequence[Column], out: str,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, size_check: bool = True) -> DataFrame:
     """``ntile(buckets) over (order by <order>)``: with N rows, q = N div n and
     m = N mod n, the first m buckets hold q + 1 rows and the rest q."""
-    if _small(df) is not None:
+    if _small(df, size_check) is not None:
         return df.withColumn(out, F.ntile(buckets).over(Window.orderBy(*order)).cast("int"))
     rn_col = f"__{out}_rn"
-    numbered, total = with_row_number(df, order, rn_col, num_partitions)
+    numbered, total = with_row_number(df, order, rn_col, num_partitions, size_check=False)
     q, m = divmod(total, buckets)
     big = m * (q + 1)
     rn = F.col(rn_col)
@@ -134,7 +137,7 @@ def with_rank(df: DataFrame, value_cols: Sequence[str], value_order: Sequence[Co
         return df.withColumn(out, F.rank().over(w.orderBy(*value_order)).cast("long"))
     rn_col = f"__{out}_rn"
     order = [F.col(c).asc_nulls_last() for c in partition_cols] + list(value_order) + list(tiebreak)
-    numbered, _ = with_row_number(df, order, rn_col, num_partitions)
+    numbered, _ = with_row_number(df, order, rn_col, num_partitions, size_check=False)
     tie_keys = list(partition_cols) + list(value_cols)
     tie_first = numbered.groupBy(*tie_keys).agg(F.min(rn_col).alias("__tie_first"))
     ranked = _null_safe_join(numbered, tie_first, tie_keys)

@@ -136,7 +136,7 @@ def fact_sales(staging: DataFrame, d_customer: DataFrame, d_product: DataFrame,
     )
     keyed, _ = with_row_number(
         fact, [F.col("order_id").asc_nulls_last(), F.col("row_id").asc_nulls_last()],
-        "sales_key", params.order_partitions)
+        "sales_key", params.order_partitions, size_check=False)
     return keyed.select("sales_key", *[c for c in fact.columns])
 
 

@@ -87,8 +87,9 @@ def raw_order_lines(spark: SparkSession, sf_dir: str, num_partitions: int | None
         discount.alias("discount"),
         profit.alias("profit"),
     )
+    # order lines are fact-sized: always the distributed numbering
     numbered, _ = with_row_number(raw, [F.col(c).asc_nulls_last() for c in ROW_ORDER],
-                                  "row_id", num_partitions)
+                                  "row_id", num_partitions, size_check=False)
     return numbered.select("row_id", *[c for c in RAW_COLUMNS if c != "row_id"])
 
 
