@@ -104,3 +104,16 @@ def test_grouped_quantiles_match_numpy(skewed):
     for g, sub in pdf.groupby("g"):
         exp = np.percentile(sub.v.to_numpy(), [10, 50, 90])
         assert [got[g].a, got[g].b, got[g].c] == pytest.approx(list(exp), abs=1e-12)
+
+
+def test_hot_value_is_spread_over_partitions(skewed, path):
+    """A third of the rows share one value; ordering ends in the unique id,
+    so the range layout still splits them evenly (no straggler task)."""
+    from starmart.operators.ordered import _PID, _range_layout
+
+    if path == "local":
+        pytest.skip("layout only exists on the distributed path")
+    laid = _range_layout(skewed, [F.col("v").asc(), F.col("id").asc()], 8)
+    sizes = [r["count"] for r in laid.groupBy(_PID).count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) == 8
+    assert max(sizes) < 0.2 * 3000  # the hot value alone would be a third
