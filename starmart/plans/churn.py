@@ -79,7 +79,8 @@ def churn_scores(cm: ChurnModel) -> DataFrame:
     """CH-8: every ML customer scored (the training rows too, as in the
     reference, so it is not an out-of-sample list)."""
     return predict(cm, cm.data).select(
-        "customer_id", "customer_name", "total_orders", "total_sales",
+        "customer_id", "customer_name", F.col("total_orders").cast("long").alias("total_orders"),
+        "total_sales",
         "days_since_last_purchase", F.col("score").alias("churn_probability"), "churn")
 
 
