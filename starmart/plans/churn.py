@@ -62,7 +62,7 @@ def predict(cm: ChurnModel, df: DataFrame) -> DataFrame:
     }).drop("rawPrediction", "probability")
 
 
-def test_predictions(cm: ChurnModel) -> DataFrame:
+def holdout_predictions(cm: ChurnModel) -> DataFrame:
     return predict(cm, cm.data.where(F.col("split") == "test"))
 
 

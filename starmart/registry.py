@@ -368,7 +368,7 @@ def q_churn_scores(spark, sf_dir):
 @register("churn_model_metrics")
 def q_churn_model_metrics(spark, sf_dir):
     """CH-6 on the held-out split of the trained model."""
-    pred = churn_plan.test_predictions(_churn_model(spark, sf_dir))
+    pred = churn_plan.holdout_predictions(_churn_model(spark, sf_dir))
     auc = classification.roc_auc(pred, num_partitions=P.order_partitions).select(
         "roc_auc").scalar()
     return classification.confusion(pred).withColumn("roc_auc", auc)

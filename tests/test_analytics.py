@@ -220,3 +220,13 @@ def test_all_scores_agree_with_single_measures(blobs):
         cluster_eval.calinski_harabasz(df, "label", COLS).first()[0], rel=1e-9)
     assert r.davies_bouldin == pytest.approx(
         cluster_eval.davies_bouldin(df, "label", COLS).first()[0], rel=1e-9)
+
+
+def test_final_segments_are_named_by_rising_sales(spark):
+    from starmart.plans.segmentation import FINAL_LABELS, final_segments
+
+    rows = [(1, 1, 900.0), (2, 1, 1100.0), (3, 0, 50.0), (4, 0, 70.0)]
+    df = spark.createDataFrame(rows, "customer_id long, cluster int, total_sales double")
+    got = {r.customer_id: (r.final_cluster, r.final_cluster_label)
+           for r in final_segments(df).collect()}
+    assert got[3] == (0, FINAL_LABELS[0]) and got[1] == (1, FINAL_LABELS[1])
