@@ -185,17 +185,13 @@ def conditional_distinct(star: Star, params: Params) -> DataFrame:
         F.countDistinct("customer_key").alias("customers"))
 
 
-def segment_levels(df: DataFrame, col: str = "segment") -> list[str]:
-    """Sorted distinct levels of a categorical column: the output schema of
-    a pivot or of dummies needs them (one row per level reaches the driver)."""
-    return sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
-
-
 def pivot_share(star: Star, params: Params) -> DataFrame:
     """Normalised value counts unstacked, 0-filled (AG-14): share of each
     segment within each customer status."""
     cust = _customers_flagged(star, params)
-    levels = segment_levels(cust)
+    from starmart.plans.analytics import levels as level_list
+
+    levels = level_list(cust, "segment")
     counts = cust.groupBy("customer_status").pivot("segment", levels).count().na.fill(0)
     total = sum((F.col(f"`{lv}`") for lv in levels), F.lit(0))
     return counts.select("customer_status",
