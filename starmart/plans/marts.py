@@ -18,6 +18,13 @@ from starmart.plans.star import Star
 from starmart.session import write_table
 
 
+# The reference's labels.
+STATUS_LABELS = ("Very Active", "Active", "At Risk", "Dormant", "Lost")
+TIER_LABELS = ("VIP", "High Value", "Medium Value", "Low Value")
+DAY_TYPES = ("Weekend", "Weekday")
+METRIC_SCOPE = "Overall Business"
+
+
 def _d(c: Column) -> Column:
     return c.cast("double")
 
@@ -59,7 +66,7 @@ def sales_daily(star: Star, params: Params) -> DataFrame:
     agg = _dated(star.fact, star.dim_date).groupBy(*keys).agg(*_time_measures())
     return agg.select(
         *keys,
-        F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type"),
+        F.when(F.col("is_weekend"), DAY_TYPES[0]).otherwise(DAY_TYPES[1]).alias("day_type"),
         _current_year(params).alias("is_current_year"),
         "numbers_of_orders", "total_sales", "total_profit", "total_costs", "total_quantity",
         "avg_order_value", "profit_margin_pct", "active_customers", "sales_with_discount",
@@ -169,10 +176,11 @@ def customer_flags(base: DataFrame, params: Params) -> DataFrame:
         "profit_margin_pct": pct(_d(F.col("total_profit")), _d(sales)),
         "is_active": F.coalesce(days <= params.active_days, F.lit(False)),
         "is_repeat_customer": F.coalesce(F.col("total_orders") > 1, F.lit(False)),
-        "customer_status": F.when(days <= c1, "Very Active").when(days <= c2, "Active")
-        .when(days <= c3, "At Risk").when(days <= c4, "Dormant").otherwise("Lost"),
-        "value_tier": F.when(sales >= t1, "VIP").when(sales >= t2, "High Value")
-        .when(sales >= t3, "Medium Value").otherwise("Low Value"),
+        "customer_status": F.when(days <= c1, STATUS_LABELS[0]).when(days <= c2, STATUS_LABELS[1])
+        .when(days <= c3, STATUS_LABELS[2]).when(days <= c4, STATUS_LABELS[3])
+        .otherwise(STATUS_LABELS[4]),
+        "value_tier": F.when(sales >= t1, TIER_LABELS[0]).when(sales >= t2, TIER_LABELS[1])
+        .when(sales >= t3, TIER_LABELS[2]).otherwise(TIER_LABELS[3]),
         "ltv_total": _d(sales),
         "ltv_projected_annual": F.when(life > 0, _d(sales) / life * 365).otherwise(_d(sales)),
     })
@@ -273,7 +281,7 @@ def executive_summary(star: Star, params: Params) -> DataFrame:
     )
     sales = _d(F.col("__sales"))
     return agg.select(
-        F.lit("Overall Business").alias("metric_scope"),
+        F.lit(METRIC_SCOPE).alias("metric_scope"),
         F.lit(params.as_of).alias("last_updated"),
         "total_number_orders", "total_number_customers", "total_number_products",
         pct(_d(n_active), _d(n_all)).alias("active_customer_pct"),
