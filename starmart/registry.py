@@ -6,11 +6,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart import oracle
+from starmart.operators import classification, cluster_eval, iforest, quality, stats
 from starmart.params import FIXTURE_PARAMS as P
-from starmart.plans import marts, star
-from starmart.plans.warehouse import fixture_star
+from starmart.plans import analytics, marts, reports, segmentation, star
+from starmart.plans import churn as churn_plan
+from starmart.plans.warehouse import fixture_raw, fixture_star, memo
+from starmart.session import scratch_path, write_table
+from starmart.sources import csv_ingest
+from starmart.streaming import ingest as stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,11 +100,7 @@ def q_row_count_report(spark, sf_dir):
 
 
 # --- single-operator reports and dashboard (exact oracle) ------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from starmart.operators import classification, cluster_eval, quality, stats  # noqa: E402
-from starmart.plans import analytics, reports  # noqa: E402
-from starmart.plans.warehouse import fixture_raw  # noqa: E402
 
 _SIMPLE = ["rfm_scores", "customer_status", "value_tier", "lag_growth", "rank_global",
            "rank_in_category", "ntile_global", "distinct_on", "role_playing_dates",
@@ -292,11 +294,6 @@ def q_roc_curve(spark, sf_dir):
 
 # --- machine learning (rows-only: not expressible in SQL or not deterministic
 # across engines; unit tests in tests/ check them against brute force) ---------
-from starmart.operators import iforest  # noqa: E402
-from starmart.plans import churn as churn_plan  # noqa: E402
-from starmart.plans import segmentation  # noqa: E402
-from starmart.plans.warehouse import memo  # noqa: E402
-from starmart.session import write_table  # noqa: E402
 
 
 def _passes(spark, sf_dir, method):
@@ -399,9 +396,6 @@ def q_cluster_distribution(spark, sf_dir):
 
 # --- ingestion: the reference's CSV layout, written from the given tables and
 # read back through the same path a raw file takes (IO-1, IO-2, T-1, CHK-5) ---
-from starmart.session import scratch_path  # noqa: E402
-from starmart.sources import csv_ingest  # noqa: E402
-from starmart.streaming import ingest as stream_ingest  # noqa: E402
 
 
 def _money_out(df):
