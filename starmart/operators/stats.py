@@ -121,7 +121,9 @@ def kde_curve(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) -
         return df.sparkSession.createDataFrame([], "column_name string, point int, x double, "
                                                    "density double")
     bw = sd * n ** (-1.0 / 5.0) if sd > 0 else 1.0
-    grid = np.linspace(st["lo"] - cut * bw, st["hi"] + cut * bw, grid_size)
+    start, stop = st["lo"] - cut * bw, st["hi"] + cut * bw
+    step = (stop - start) / (grid_size - 1)
+    grid = start + np.arange(grid_size) * step  # point i is start + i * step
     norm = 1.0 / (n * bw * math.sqrt(2 * math.pi))
 
     def partial(batches):
@@ -134,7 +136,7 @@ def kde_curve(df: DataFrame, col: str, grid_size: int = 200, cut: float = 3.0) -
         yield pd.DataFrame({"point": np.arange(grid_size, dtype="int32"), "s": acc})
 
     sums = x.mapInPandas(partial, "point int, s double").groupBy("point").agg(F.sum("s").alias("s"))
-    grid_col = F.lit(float(grid[0])) + F.col("point") * F.lit(float(grid[1] - grid[0]))
+    grid_col = F.lit(float(start)) + F.col("point") * F.lit(float(step))
     return sums.select(F.lit(col).alias("column_name"), "point", grid_col.alias("x"),
                        (F.col("s") * norm).alias("density"))
 
