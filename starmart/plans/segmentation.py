@@ -95,6 +95,7 @@ def labels(df: DataFrame) -> DataFrame:
 def sse(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
     """Within-cluster sum of squares of labelled rows (one row ``sse``)."""
     cen = df.groupBy(label).agg(*[F.avg(c).alias(f"m_{c}") for c in feats])
+    # k centroids, k a parameter: a bounded broadcast
     return df.join(F.broadcast(cen), label).agg(
         F.sum(sum(((F.col(c) - F.col(f"m_{c}")) ** 2 for c in feats), F.lit(0.0))).alias("sse"))
 
