@@ -280,6 +280,21 @@ def key_check(star: Star, params: Params) -> DataFrame:
     return out
 
 
+def mart_key_check(star: Star, params: Params) -> DataFrame:
+    """Primary keys of the marts unique and not null (CHK-1)."""
+    checks = [quality.key_violations(marts.product_sales(star, params), "product_id",
+                                     "product_sales"),
+              quality.key_violations(marts.customers(star, params), "customer_id", "customers"),
+              quality.key_violations(marts.customer_cohorts(star, params), "cohort_month",
+                                     "customer_cohorts"),
+              quality.key_violations(marts.executive_summary(star, params), "metric_scope",
+                                     "executive_summary")]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def fk_check(star: Star, params: Params) -> DataFrame:
     """Foreign keys of the fact that resolve to no dimension row (CHK-2)."""
     f = star.fact

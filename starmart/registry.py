@@ -107,6 +107,7 @@ _SIMPLE = ["rfm_scores", "customer_status", "value_tier", "lag_growth", "rank_gl
            "left_join_unknown_member", "scalar_subqueries", "conditional_sums",
            "conditional_distinct", "pivot_share", "crosstab", "value_counts",
            "union_distinct_dates", "union_all_counts", "date_parts", "top_k", "key_check",
+           "mart_key_check",
            "fk_check", "customer_kpis", "status_breakdown", "yoy_growth", "discount_impact",
            "revenue_by_region", "category_profit", "top_sellers"]
 
