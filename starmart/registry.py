@@ -247,7 +247,8 @@ def q_davies_bouldin(spark, sf_dir):
 def q_cluster_profile(spark, sf_dir):
     df, _ = _feats(spark, sf_dir)
     prof = cluster_eval.cluster_profile(df, "label", analytics.NUMERIC_COLS)
-    return prof.select("label", "size", *[F.round(f"mean_{c}", 4).alias(f"mean_{c}")
+    # AG-12: means to 2 places, half to even as pandas rounds
+    return prof.select("label", "size", *[F.bround(f"mean_{c}", 2).alias(f"mean_{c}")
                                           for c in analytics.NUMERIC_COLS])
 
 
