@@ -14,7 +14,7 @@ from starmart.params import FIXTURE_PARAMS as P
 from starmart.plans import analytics, marts, reports, segmentation, star
 from starmart.plans import churn as churn_plan
 from starmart.plans.warehouse import fixture_raw, fixture_star, memo
-from starmart.session import scratch_path, write_table
+from starmart.session import scratch_path
 from starmart.sources import csv_ingest
 from starmart.streaming import ingest as stream_ingest
 
@@ -301,15 +301,27 @@ def q_roc_curve(spark, sf_dir):
 # across engines; unit tests in tests/ check them against brute force) ---------
 
 
-def _passes(spark, sf_dir, method):
+def _labelled(spark, sf_dir, method, i):
+    """Features + labels of one method on one of the notebook's passes,
+    fitted once per application and kept as a written table."""
     st = _star(spark, sf_dir)
+    k, fs = segmentation.PASSES[i]
+    df, feats = segmentation.features_frame(st, P, fs)
+
+    def build():
+        return segmentation.cluster(df, feats, method, k).withColumn(
+            "cluster", F.col("cluster").cast("int"))
+
+    return st.tables(f"labels_{method}_{i}", build), feats, k, fs
+
+
+def _passes(spark, sf_dir, method):
     out = None
-    for i, (k, fs) in enumerate(segmentation.PASSES):
-        df, feats = segmentation.features_frame(st, P, fs)
-        lab = segmentation.labels(segmentation.cluster(df, feats, method, k)).select(
-            F.lit(i + 1).alias("pass"), F.lit(k).alias("k"), F.lit(fs).alias("features"),
-            "customer_id", "cluster")
-        out = lab if out is None else out.unionByName(lab)
+    for i in range(len(segmentation.PASSES)):
+        lab, _, k, fs = _labelled(spark, sf_dir, method, i)
+        part = lab.select(F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
+                          F.lit(fs).alias("features"), "customer_id", "cluster")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -329,17 +341,17 @@ def q_pca(spark, sf_dir):
     return segmentation.pca2(df, feats)
 
 
+METHOD_NAMES = ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan")
+
+
 @register("cluster_scores")
 def q_cluster_scores(spark, sf_dir):
     """Silhouette, Calinski-Harabasz and Davies-Bouldin of every method and
     pass (ML-12 ... ML-15; DBSCAN with noise is skipped, as the reference does)."""
-    st = _star(spark, sf_dir)
     out = None
-    for method in ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan"):
-        for i, (k, fs) in enumerate(segmentation.PASSES):
-            df, feats = segmentation.features_frame(st, P, fs)
-            lab = write_table(segmentation.cluster(df, feats, method, k).withColumn(
-                "cluster", F.col("cluster").cast("int")), "labels")
+    for method in METHOD_NAMES:
+        for i in range(len(segmentation.PASSES)):
+            lab, feats, k, _ = _labelled(spark, sf_dir, method, i)
             if method == "dbscan" and lab.where("cluster = -1").limit(1).count() > 0:
                 continue  # ML-15: no scores for DBSCAN with noise points
             row = cluster_eval.all_scores(lab, "cluster", feats).select(
@@ -349,6 +361,22 @@ def q_cluster_scores(spark, sf_dir):
     return out
 
 
+@register("cluster_profiles")
+def q_cluster_profiles(spark, sf_dir):
+    """ML-16 for every method and pass: cluster sizes and feature means
+    (2 places, half to even, as the reference prints them)."""
+    out = None
+    for method in METHOD_NAMES:
+        for i in range(len(segmentation.PASSES)):
+            lab, _, k, _ = _labelled(spark, sf_dir, method, i)
+            prof = cluster_eval.cluster_profile(lab, "cluster", analytics.NUMERIC_COLS).select(
+                F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
+                "cluster", "size",
+                *[F.bround(f"mean_{c}", 2).alias(f"mean_{c}") for c in analytics.NUMERIC_COLS])
+            out = prof if out is None else out.unionByName(prof)
+    return out
+
+
 @register("isolation_forest")
 def q_isolation_forest(spark, sf_dir):
     ml = _ml(spark, sf_dir)
