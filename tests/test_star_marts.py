@@ -150,3 +150,28 @@ def test_invariants_daily_monthly_executive(make_staging):
     assert all(r.new_customers + r.returning_customers == r.active_customers for r in coh)
     assert sum(r.new_customers for r in coh) == star.dim_customer.count()
     assert ex.total_number_customers == 5 and ex.active_customers + 0 <= 5
+
+
+def test_broadcast_only_behind_a_size_check(spark):
+    """Under the row bound the side is broadcast; above it the join stays a
+    shuffle join (automatic broadcasting is switched off to see the choice)."""
+    import contextlib
+    import io
+
+    from starmart.operators.joins import broadcast_if_small
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def plan(side):
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                big.join(side, "k").explain()
+            return buf.getvalue()
+
+        assert "BroadcastHashJoin" in plan(broadcast_if_small(small, max_rows=10))
+        assert "BroadcastHashJoin" not in plan(broadcast_if_small(small, max_rows=5))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
