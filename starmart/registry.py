@@ -14,7 +14,7 @@ from starmart.params import FIXTURE_PARAMS as P
 from starmart.plans import analytics, marts, reports, segmentation, star
 from starmart.plans import churn as churn_plan
 from starmart.plans.warehouse import fixture_raw, fixture_star, memo
-from starmart.session import scratch_path
+from starmart.session import scratch_path, ship_package
 from starmart.sources import csv_ingest
 from starmart.streaming import ingest as stream_ingest
 
@@ -26,7 +26,12 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)  # the Python workers import starmart
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

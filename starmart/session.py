@@ -77,3 +77,32 @@ def write_table(df: DataFrame, name: str = "t") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``starmart`` importable in the Python workers of every executor
+    (what ``spark-submit --py-files`` does): zip the package once per
+    application and ``addPyFile`` it.  Pandas UDFs defined here are pickled
+    by module reference, so the workers must be able to import it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    import starmart
+
+    root = os.path.dirname(os.path.abspath(starmart.__file__))
+    fd, path = tempfile.mkstemp(prefix="starmart-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
