@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.common import ship_package, table
+from starmart.llm.ngram_join import ngram_join
+from starmart.llm.packing import pack
 from starmart.llm.sql import SQL
 from starmart.llm.substring_dedup import dedup_substrings
 
@@ -32,3 +35,17 @@ def op8_substring_dedup(spark, sf_dir):
     """Words covered by a 13-word window of a smaller doc_id go."""
     kept = dedup_substrings(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_ngram_join(spark, sf_dir):
+    """Components of documents whose 4-word shingles overlap by 85 %."""
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_retrieval_packing(spark, sf_dir):
+    """All documents in sequences of at most 2048 tokens."""
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
