@@ -9,9 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm import language_id, toxicity
 from starmart.llm.common import ship_package, table
 from starmart.llm.ngram_join import ngram_join
 from starmart.llm.packing import pack
+from starmart.llm.sample import fold
 from starmart.llm.sql import SQL
 from starmart.llm.substring_dedup import dedup_substrings
 
@@ -49,3 +51,23 @@ def op4_retrieval_packing(spark, sf_dir):
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    """Language of every document; a quarter of the ids is held out."""
+    docs = table(spark, sf_dir, "documents")
+    held = fold("doc_id", 4) == 2
+    net = language_id.fit(docs.filter(~held))
+    return language_id.predict(docs, net).select(
+        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of every document; a fifth of the ids is held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = fold("doc_id", 5) == 0
+    model = toxicity.fit(docs, labels.filter(~held))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
