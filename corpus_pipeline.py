@@ -1,16 +1,79 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread."""
+"""The corpus pipeline: stages over ``documents``, each written and reread.
+
+Every stage but the last returns the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starmart.llm import quality
+from starmart.llm.common import ship_package, table, write_table
+from starmart.llm.mixing import mix
+from starmart.llm.ngram_join import ngram_join
+from starmart.llm.packing import pack
+from starmart.llm.queries import MIX_WEIGHTS, domain_of
+from starmart.llm.substring_dedup import dedup_substrings
+
+#: Share of the words that the mix may take, once each.
+MIX_SHARE = 0.9
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose posterior quality is under one half go."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, F.col("source"), F.col("lang"))
+    return scored.filter("_keep").select(*docs.columns)
+
+
+def ngram_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component stays; five-word
+    shingles, similarity 0.8.  Rows without an id stay."""
+    found = ngram_join(docs.select("doc_id", "text"), n=5, percent=80)
+    gone = found.filter("component_id < doc_id").select("doc_id").distinct()
+    rest = docs.join(gone, "doc_id", "left_anti")
+    return rest.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(
+        rest.filter("doc_id IS NULL")).select(*docs.columns)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go; documents of which nothing is left go as well."""
+    kept = dedup_substrings(docs, as_words=False)
+    kept = kept.filter("_n_removed = 0 OR _n_removed < _n_words")
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long"))
+                               .otherwise(F.col("n_chars")))
+    return kept.select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources meet their budgets; no document is taken twice."""
+    taken = mix(docs, domain_of(), F.col("lang"), F.col("source"), total_share=MIX_SHARE, weights=MIX_WEIGHTS, max_epochs=1)
+    return taken.select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
-from starmart.llm.common import table, write_table
+STAGES = [
+    ("quality", quality_stage),
+    ("ngram_join", ngram_stage),
+    ("substring_dedup", substring_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
-STAGES: list = []
+#: A trained classifier and tokenizers are not SQL; tests check against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the pieces of the last one."""
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = write_table(stage(spark, docs, sf_dir), name)

@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import language_id, toxicity
+from starmart.llm import language_id, quality, toxicity
 from starmart.llm.common import ship_package, table
+from starmart.llm.mixing import mix
 from starmart.llm.ngram_join import ngram_join
 from starmart.llm.packing import pack
 from starmart.llm.sample import fold
@@ -35,8 +36,9 @@ def query(fn):
 @query
 def op8_substring_dedup(spark, sf_dir):
     """Words covered by a 13-word window of a smaller doc_id go."""
-    kept = dedup_substrings(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    kept = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
+                       F.sha2("text", 256).alias("kept_sha256"))
 
 
 @query
@@ -71,3 +73,31 @@ def op10_toxicity(spark, sf_dir):
     model = toxicity.fit(docs, labels.filter(~held))
     return toxicity.score(docs, model).select(
         "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_quality(spark, sf_dir):
+    """Posterior quality of every document and whether it stays."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels)
+    out = quality.score(docs.select("doc_id", "source", "lang", "text"), model, F.col("source"), F.col("lang"), carry=False)
+    return out.select("doc_id", "source", "lang", F.col("_score").alias("score"), F.col("_keep").alias("kept"))
+
+
+def domain_of(source: str = "source"):
+    """The domain of a source in the synthetic tables: one of four, by the
+    number at the end of its name."""
+    number = F.regexp_extract(source, r"(\d+)$", 1)
+    return F.when(number != "", F.concat(F.lit("domain"), number.cast("long") % 4)).otherwise(F.lit("other"))
+
+
+#: Weights of the mixing tree's nodes; all others weigh 1.
+MIX_WEIGHTS = {"domain0": 2.0, "domain0/en": 3.0, "domain1/en": 3.0, "domain2/en": 3.0, "domain3/en": 3.0}
+
+
+@query
+def op7_mixing(spark, sf_dir):
+    """Documents taken, with their epochs, for half of the corpus' words."""
+    docs = table(spark, sf_dir, "documents")
+    taken = mix(docs, domain_of(), F.col("lang"), F.col("source"), total_share=0.5, weights=MIX_WEIGHTS, max_epochs=2)
+    return taken.select("doc_id", domain_of().alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"))

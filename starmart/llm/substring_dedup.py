@@ -37,7 +37,6 @@ WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 _LAST = np.iinfo(np.int64).max  # stands for a null id
 _WINDOWS = "rng int, block long, payload binary"
-_KEPT = "doc_id long, text string, n_words long, n_removed long"
 
 
 def covers(period: int, cover: tuple[int, ...]) -> bool:
@@ -105,15 +104,24 @@ def _smallest(table: pa.Table) -> pa.Table:
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     window: int = WINDOW, period: int = PERIOD,
-                     cover: tuple[int, ...] = COVER) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text (the kept words joined by one
-    space), n_words, n_removed.  Other columns are not carried."""
+                     window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER,
+                     as_words: bool = True) -> DataFrame:
+    """The rows of ``docs``, with _n_words and _n_removed, and in the text the
+    kept words joined by one space.  Without ``as_words`` a text that loses
+    nothing stays as it is.  Other columns are carried along."""
     if not covers(period, cover) or period > window:
         raise ValueError("cover must hold every difference modulo a period within the window")
     size = window - period + 1
     blocks, bits = X.layout(docs, text_col)
     dealt = pick(docs, id_col, text_col).withColumn("block", X.block_of(blocks))
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    if rest:  # under names that cannot clash
+        dealt = docs.select(
+            F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+            *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(rest)]).withColumn("block", X.block_of(blocks))
+    kinds = [dealt.schema[f"_c{i}"].dataType.simpleString() for i in range(len(rest))]
+    kept = ", ".join(["doc_id long, text string", *[f"_c{i} {k}" for i, k in enumerate(kinds)],
+                      "_n_words long, _n_removed long"])
 
     def anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         w = W.words(*W.utf8(table["text"]))
@@ -157,19 +165,25 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         texts, removed = [], np.zeros(left.num_rows, np.int64)
         np.add.at(removed, doc[gone], 1)
         for i, t in enumerate(left["text"].to_pylist()):
+            if not removed[i] and not as_words:
+                texts.append(t)
+                continue
             own = (t or "").encode().split()
             if removed[i]:
                 a = w.first[i]
                 own = [x for x, g in zip(own, gone[a:a + len(own)]) if not g]
             texts.append(b" ".join(own).decode())
         return pa.table({"doc_id": left["doc_id"], "text": pa.array(texts, pa.string()),
-                         "n_words": pa.array(np.diff(w.first)), "n_removed": pa.array(removed)})
+                         **{f"_c{i}": left[f"_c{i}"] for i in range(len(rest))},
+                         "_n_words": pa.array(np.diff(w.first)), "_n_removed": pa.array(removed)})
 
     by_block = dealt.groupBy("block")
     shared = X.shared(by_block.applyInArrow(anchors, X.CELL))
     found = by_block.cogroup(shared.groupBy("block")).applyInArrow(candidates, _WINDOWS)
     smallest = found.groupBy("rng").applyInArrow(_smallest, _WINDOWS)
-    return dealt.groupBy("block").cogroup(smallest.groupBy("block")).applyInArrow(keep, _KEPT)
+    out = dealt.groupBy("block").cogroup(smallest.groupBy("block")).applyInArrow(keep, kept)
+    own = {id_col: "doc_id", text_col: "text", **{c: f"_c{i}" for i, c in enumerate(rest)}}
+    return out.select(*[F.col(own[c]).alias(c) for c in docs.columns], "_n_words", "_n_removed")
 
 
 CELLS = pa.schema([("rng", pa.int32()), ("block", pa.int64()), ("lows", pa.binary()), ("counts", pa.binary())])
