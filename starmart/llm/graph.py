@@ -1,7 +1,11 @@
-"""Connected components by alternating large-star and small-star rounds.
-
-Every round is a grouped minimum and a lookup join over a written edge list;
-nothing is collected but a count and a checksum per round.
+"""Connected components by rounds of contraction.
+
+In a round every node takes the first of itself and its neighbours as its
+label and edges move to the labels; labels without edges are done.  Even
+rounds order nodes by id, which folds a star in one round; odd rounds order
+them by a hash, which shrinks chains by a constant share.  Every round is a
+grouped minimum and two lookup joins over written tables; only a total and
+whether edges are left reach the driver.
 """
 
 from __future__ import annotations
@@ -13,33 +17,34 @@ from starmart.llm.common import write_table
 from starmart.llm.joins import join_counted
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) joined with m, the smallest of u and its neighbours."""
-    low = write_table(edges.groupBy("u").agg(
-        F.least("u", F.min("v")).alias("m"), F.count("*").alias("c")), "star")
-    return join_counted(edges, low, "u", "c", "v", "inner")
+def _labels(edges: DataFrame, turn: int) -> DataFrame:
+    """(u, label, c): each node's label and its number of edge ends."""
+    both = edges.union(edges.select("v", "u"))
+
+    def order(c: str):
+        return F.struct(F.xxhash64(F.col(c), F.lit(turn)) if turn % 2 else F.lit(0).cast("long"), F.col(c).alias("id"))
+
+    return both.groupBy("u").agg(F.least(order("u"), F.min(order("v"))).getField("id").alias("label"),
+                                 F.count("*").alias("c"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of the links (u, v): the component's
-    smallest node.  Self-links and repeats are allowed; null ends are not."""
+    smallest node.  Repeats are allowed; self-links and null ends are left out."""
     edges = write_table(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                         .filter("u > v").distinct(), "links")
-    nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
-    seen = None
-    while True:
-        both = edges.union(edges.select("v", "u"))
-        large = write_table(_star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                            .filter("u > v").distinct(), "large")
-        small = _star(large)
-        edges = write_table(
-            small.select("u", F.col("m").alias("v"))
-            .union(small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-            .distinct(), "small")
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
-    roots = edges.groupBy("u").agg(F.min("v").alias("v"))
-    return nodes.join(roots, nodes.node == roots.u, "left").select(
-        "node", F.coalesce("v", "node").alias("component"))
+    turns: list[DataFrame] = []
+    while not turns or not edges.isEmpty():
+        labels = write_table(_labels(edges, len(turns)), "labels")
+        turns.append(labels.select("u", "label"))
+        moved = join_counted(edges, labels, "u", "c", "v", "inner").select(F.col("label").alias("a"), F.col("v").alias("u"))
+        moved = join_counted(moved, labels, "u", "c", "a", "inner").select("a", F.col("label").alias("b"))
+        edges = write_table(moved.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                            .filter("u > v").distinct(), "edges")
+    roots = turns[-1]
+    for labels in reversed(turns[:-1]):
+        last = roots.select(F.col("u").alias("label"), F.col("label").alias("root"))
+        roots = labels.join(last, "label", "left").select("u", F.coalesce("root", "label").alias("label"))
+    roots = write_table(roots, "roots")
+    least = write_table(roots.groupBy("label").agg(F.min("u").alias("component"), F.count("*").alias("c")), "least")
+    return join_counted(roots, least, "label", "c", "u", "inner").select(F.col("u").alias("node"), "component")

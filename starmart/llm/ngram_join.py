@@ -159,22 +159,12 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
                         .filter("c > 1"), "buckets")
     homes = write_table(join_counted(entry, least, "sig", "c", "doc_id", "inner")
                         .groupBy("doc_id").agg(F.min("home").alias("home")), "homes")
-    sizes = homes.groupBy("home").agg(F.count("*").alias("c"))
-    # once more over the homes, so that chains of buckets gather under one
-    held = sets.join(homes, "doc_id").select("home", F.explode("sigs").alias("sig"))
-    held = write_table(held.groupBy("sig", "home").count(), "held")
-    least = write_table(held.groupBy("sig").agg(F.min("home").alias("top"), F.count("*").alias("c")), "tops")
-    tops = write_table(join_counted(held, least, "sig", "c", "home", "inner").groupBy("home")
-                       .agg(F.min("top").alias("top"), F.count("*").alias("c")), "top")
-    sizes = write_table(tops.select("home", "top").join(sizes, "home"), "sizes")
-    members = write_table(join_counted(homes, sizes, "home", "c", "doc_id", "inner")
-                          .select("doc_id", F.col("top").alias("home")), "members")
-    parts = write_table(members.groupBy("home").agg(
+    parts = write_table(homes.groupBy("home").agg(
         F.ceil(F.count("*") / F.lit(CELL)).alias("parts"), F.count("*").alias("c")), "parts")
-    held = (join_counted(held, tops, "home", "c", "sig", "inner")
-            .select("sig", F.col("top").alias("home")).distinct())
-    many = held.groupBy("sig").agg(F.min("home").alias("a"), F.max("home").alias("b")).filter("a < b").select("sig")
-    held = write_table(held.join(many, "sig"), "shared")
+    placed = write_table(
+        join_counted(homes, parts, "home", "c", "doc_id", "inner").join(sets, "doc_id")
+        .select("home", F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part"), "doc_id", "sigs", "tokens"), "placed")
+    held = write_table(placed.select("home", F.explode("sigs").alias("sig")).distinct(), "held")
     pairs = held.alias("x").join(held.alias("y"), "sig").filter("x.home < y.home").select(
         F.col("x.home").alias("h1"), F.col("y.home").alias("h2")).distinct()
     pairs = pairs.union(parts.filter("c > 1").select(F.col("home").alias("h1"), F.col("home").alias("h2")))
@@ -182,16 +172,14 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
              .join(parts.select(F.col("home").alias("h2"), F.col("parts").alias("p2")), "h2")
              .withColumn("b1", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p1") - 1)))
              .withColumn("b2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p2") - 1)))
-             .filter("h1 < h2 OR b1 <= b2")
-             .withColumn("cell", F.xxhash64("h1", "b1", "h2", "b2")))
-    cells = write_table(cells.select("cell", "h1", "b1", "h2", "b2"), "cells")
-    placed = (join_counted(members, parts, "home", "c", "doc_id", "inner")
-              .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
-              .join(sets.select("doc_id", "tokens"), "doc_id").select("home", "part", "doc_id", "tokens"))
-    placed = write_table(placed, "placed")
-    ends = cells.select("cell", F.lit(0).alias("side"), F.col("h1").alias("home"), F.col("b1").alias("part")).union(
-        cells.filter("h1 < h2 OR b1 < b2").select("cell", F.lit(1), "h2", "b2"))
-    tasks = max(1, members.count() // 256)
+             .filter("h1 < h2 OR b1 <= b2"))
+    ends = cells.select(
+        F.xxhash64("h1", "b1", "h2", "b2").alias("cell"),
+        F.inline(F.array(F.struct(F.lit(0).alias("side"), F.col("h1").alias("home"), F.col("b1").alias("part")),
+                         F.struct(F.when((F.col("h1") < F.col("h2")) | (F.col("b1") < F.col("b2")), 1).alias("side"),
+                                  F.col("h2").alias("home"), F.col("b2").alias("part"))))).filter("side IS NOT NULL")
+    placed = placed.select("home", "part", "doc_id", "tokens")
+    tasks = max(1, homes.count() // 256)
     rows = ends.join(placed, ["home", "part"]).select(
         F.pmod(F.xxhash64("cell"), F.lit(tasks)).alias("task"), "cell", "side", "doc_id", "tokens")
     return rows.groupBy("task").applyInArrow(_verify(percent), "u long, v long")
