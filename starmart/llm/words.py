@@ -87,8 +87,9 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words of every text; with ``lower``, A-Z count as a-z in the hash."""
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, kinds: np.ndarray | None = None) -> Words:
+    """Words of every text; with ``lower``, A-Z count as a-z in the hash.
+    With ``kinds``, a word also ends where bytes of kind 1 and 2 meet."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return Words(z, z, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
@@ -96,6 +97,11 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     begins, ends = word.copy(), word.copy()
     begins[1:] &= ~word[:-1]
     ends[:-1] &= ~word[1:]
+    if kinds is not None:
+        kind = kinds[data]
+        meet = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+        begins[meet] = True
+        ends[meet - 1] = True
     inner = offsets[1:-1]  # a text's border also ends a word
     inner = inner[(inner > 0) & (inner < len(data))]
     begins[inner] |= word[inner]
@@ -140,8 +146,3 @@ def inside(w: Words, k: int) -> np.ndarray:
         return np.zeros(0, bool)
     last = np.repeat(w.first[1:], np.diff(w.first))[:n]
     return np.arange(n) + k <= last
-
-
-def spans(mask: np.ndarray) -> np.ndarray:
-    """Indices where a boolean array is set (int64)."""
-    return np.flatnonzero(mask)
