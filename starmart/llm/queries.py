@@ -9,14 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import language_id, quality, toxicity
+from starmart.llm import language_id, quality, toxicity, warc
 from starmart.llm.common import ship_package, table
 from starmart.llm.mixing import mix
+from starmart.llm.near_vectors import near_dedup
 from starmart.llm.ngram_join import ngram_join
 from starmart.llm.packing import pack
 from starmart.llm.sample import fold
 from starmart.llm.sql import SQL
 from starmart.llm.substring_dedup import dedup_substrings
+from starmart.llm.vp_search import nearest
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -101,3 +103,22 @@ def op7_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     taken = mix(docs, domain_of(), F.col("lang"), F.col("source"), total_share=0.5, weights=MIX_WEIGHTS, max_epochs=2)
     return taken.select("doc_id", domain_of().alias("domain"), "lang", "source", F.col("_epoch").alias("epoch"))
+
+
+@query
+def op1_warc(spark, sf_dir):
+    """Pages written as WARC records and read back from the bundles."""
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op3_vp_search(spark, sf_dir):
+    """The 20 nearest rows of every twentieth vector by inner product."""
+    return nearest(table(spark, sf_dir, "embeddings"), 20, "vec_id % 20 = 0")
+
+
+@query
+def op5_near_vectors(spark, sf_dir):
+    """Links and components of vectors with a cosine of 0.95 or more."""
+    return near_dedup(table(spark, sf_dir, "embeddings"))

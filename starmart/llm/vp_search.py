@@ -61,7 +61,7 @@ class Tree:
                 nodes[parent][2 + side] = me
             if b - a <= leaf_rows:
                 continue
-            own = order[a:b]
+            own = order[a:b].copy()
             far = ((x[own] - x[own[0]]) ** 2).sum(1)
             v = int(np.argmax(far))  # far from an arbitrary row: splits well
             d = np.sqrt(((x[own] - x[own[v]]) ** 2).sum(1))
