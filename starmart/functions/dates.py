@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def date_key(d: Column) -> Column:
     """``to_char(d, 'YYYYMMDD')::integer``: 2001-08-02 -> 20010802."""
-    return F.date_format(d, "yyyyMMdd").cast("int")
+    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
 def day_of_week0(d: Column) -> Column:

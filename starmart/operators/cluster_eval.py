@@ -15,7 +15,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import broadcast_if_small
 
 
 def _sq_norm(cols: Sequence[str], prefix: str = "") -> Column:
@@ -33,7 +32,7 @@ def calinski_harabasz(df: DataFrame, label: str, cols: Sequence[str]) -> DataFra
     cluster sums of squares.  B comes from the k-row centroid table alone
     (``sum_c n_c m_c^2 - (sum_c n_c m_c)^2 / n`` per feature), W from the
     points joined to their centroid.  One row ``calinski_harabasz``."""
-    cen = broadcast_if_small(centroids(df, label, cols))
+    cen = centroids(df, label, cols)
     within = df.join(cen, label).agg(
         F.sum(sum(((F.col(c) - F.col(f"m_{c}")) ** 2 for c in cols), F.lit(0.0))).alias("w"))
     between = cen.agg(*[F.sum(F.col("n") * F.col(f"m_{c}") * F.col(f"m_{c}")).alias(f"a_{c}")
@@ -68,7 +67,7 @@ def davies_bouldin(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """ML-14: mean over clusters of the worst ``(s_i + s_j) / d(c_i, c_j)``,
     s the mean Euclidean distance of a cluster's points to its centroid.
     The pairwise part runs over the k centroids inside one array."""
-    cen = broadcast_if_small(centroids(df, label, cols))
+    cen = centroids(df, label, cols)
     dist = F.sqrt(sum(((F.col(c) - F.col(f"m_{c}")) ** 2 for c in cols), F.lit(0.0)))
     scatter = df.join(cen, label).groupBy(label).agg(F.avg(dist).alias("s"))
     cs = cen.join(scatter, label).select(
@@ -133,7 +132,7 @@ def segment_mix(df: DataFrame, label: str, segment: str = "segment") -> DataFram
     """ML-16 / AG-14 long form: share of each segment inside each cluster."""
     counts = df.groupBy(label, segment).agg(F.count(F.lit(1)).alias("c"))
     tot = counts.groupBy(label).agg(F.sum("c").alias("t"))
-    return counts.join(broadcast_if_small(tot), label).select(
+    return counts.join(tot, label).select(
         label, segment, (F.col("c").cast("double") / F.col("t")).alias("share"))
 
 

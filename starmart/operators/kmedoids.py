@@ -1,94 +1,101 @@
-"""K-Medoids (ML-10) as CLARA (Kaufman & Rousseeuw, 1990).
-
-* ``samples`` hashed Bernoulli samples of about ``sample_size`` rows each are
-  drawn in one pass (a row joins sample i when ``xxhash64(id, i)`` falls under
-  a threshold) and exploded into (sample, row) pairs: the work grows with the
-  number of samples, not with pairs of rows.
-* Each sample is clustered by ``groupBy(sample).applyInPandas``: the
-  "alternate" PAM variant (heuristic start: the k points with the smallest
-  total distance; then assign / re-pick each cluster's medoid until stable).
-  A group holds one sample, bounded by the sample size.
-* The cost of every candidate medoid set over **all** rows is one aggregate of
-  ``least(dist to m_1, ..., dist to m_k)`` (JVM expressions; the medoids are
-  k literals per set).  The cheapest set labels every row the same way.
-
-With ``n <= sample_size`` the only sample is the whole data, so the result is
-exactly PAM on everything (what the reference computes).
+"""K-Medoids (ML-10) over all rows, without a sample.
+
+Start: k-means|| centres, each replaced by the nearest row.  A round then
+
+* assigns every row to its nearest medoid (JVM expressions, k literals),
+* moves each cluster's centre to its geometric median by a few Weiszfeld
+  steps, each one aggregate with a row per cluster,
+* takes the ``shortlist`` rows nearest to that centre (a bounded top-k per
+  cluster and map task),
+* and sums, in one aggregate, the distances of the whole cluster to every
+  shortlisted row; the cheapest row is the next medoid.
+
+Rounds end when no medoid moves.  Every sum covers all rows; k * shortlist
+rows reach the driver.  The result is a local optimum, as with PAM's
+alternate method; tests hold its cost against exhaustive search.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_CLUSTER = "__km"
+
+
+def _distance(cols: Sequence[str], point: Sequence[float]) -> Column:
+    return F.sqrt(sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, point)), F.lit(0.0)))
+
+
+def _pick(points: Sequence[Sequence[float]], cols: Sequence[str]) -> Column:
+    """The distance of a row to its own cluster's point."""
+    out = F.lit(None).cast("double")
+    for i, p in enumerate(points):
+        out = F.when(F.col(_CLUSTER) == i, _distance(cols, p)).otherwise(out)
+    return out
+
+
+def _nearest_rows(rows: DataFrame, id_col: str, cols: Sequence[str], points, n: int) -> dict[int, list]:
+    """Per cluster, the n rows nearest to its point (ties to the smaller id)."""
+    near = rows.withColumn("__d", _pick(points, cols))
+    order = Window.partitionBy(_CLUSTER).orderBy("__d", id_col)
+    near = near.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= n)
+    found: dict[int, list] = {}
+    for r in near.select(_CLUSTER, "__r", *cols).orderBy(_CLUSTER, "__r").collect():
+        found.setdefault(r[_CLUSTER], []).append([float(r[c]) for c in cols])
+    return found
+
+
+def _start(df: DataFrame, id_col: str, cols: Sequence[str], k: int, seed: int) -> list[list[float]]:
+    if k == 1:
+        centres = [[float(v) for v in df.agg(*[F.avg(c) for c in cols]).first()]]
+    else:
+        vec = VectorAssembler(inputCols=list(cols), outputCol="__vec").transform(df.select(*cols))
+        centres = [list(map(float, c)) for c in
+                   KMeans(k=k, seed=seed, featuresCol="__vec", maxIter=5).fit(vec).clusterCenters()]
+    placed = assign(df, cols, centres, _CLUSTER)
+    found = _nearest_rows(placed, id_col, cols, centres, 1)
+    return [found[i][0] for i in sorted(found)]
+
 
-def _pam_alternate(x: np.ndarray, k: int, max_iter: int = 300) -> np.ndarray:
-    """Indices of k medoids of the rows of x (Euclidean), alternate method."""
-    m = len(x)
-    k = min(k, m)
-    # pairwise distances of one bounded sample
-    sq = (x * x).sum(axis=1)
-    d = np.sqrt(np.maximum(sq[:, None] + sq[None, :] - 2.0 * x @ x.T, 0.0))
-    medoids = np.argsort(d.sum(axis=1), kind="stable")[:k]
+def fit_medoids(df: DataFrame, id_col: str, cols: Sequence[str], k: int, seed: int = 42,
+                steps: int = 4, shortlist: int = 16, max_iter: int = 20) -> list[list[float]]:
+    """k rows (feature vectors) that are a local optimum of the summed
+    distance of all rows to their nearest one."""
+    df = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
+    medoids = _start(df, id_col, cols, k, seed)
     for _ in range(max_iter):
-        labels = np.argmin(d[:, medoids], axis=1)
-        new = medoids.copy()
-        for c in range(k):
-            members = np.flatnonzero(labels == c)
-            if len(members) == 0:
-                continue
-            within = d[np.ix_(members, members)].sum(axis=1)
-            new[c] = members[np.argmin(within)]
-        if np.array_equal(new, medoids):
+        rows = assign(df, cols, medoids, _CLUSTER)
+        centres = [list(m) for m in medoids]
+        for _ in range(steps):
+            w = F.lit(1.0) / F.greatest(_pick(centres, cols), F.lit(1e-9))
+            for r in rows.groupBy(_CLUSTER).agg(F.sum(w).alias("__w"), *[
+                    F.sum(w * F.col(c)).alias(c) for c in cols]).collect():
+                centres[r[_CLUSTER]] = [r[c] / r["__w"] for c in cols]
+        found = _nearest_rows(rows, id_col, cols, centres, shortlist)
+        options = [(i, p) for i, m in enumerate(medoids) for p in [m, *found.get(i, [])]]
+        cost = rows.agg(*[F.sum(F.when(F.col(_CLUSTER) == i, _distance(cols, p))).alias(f"o{n}")
+                          for n, (i, p) in enumerate(options)]).first()
+        best: dict[int, tuple[float, int]] = {}
+        for n, (i, _) in enumerate(options):
+            c = cost[f"o{n}"]
+            if c is not None and (i not in best or c < best[i][0] * (1 - 1e-12)):
+                best[i] = (c, n)
+        moved = [options[best[i][1]][1] if i in best else m for i, m in enumerate(medoids)]
+        if moved == medoids:
             break
-        medoids = new
+        medoids = moved
     return medoids
 
 
-def _distance(cols: Sequence[str], medoid: Sequence[float]) -> Column:
-    return F.sqrt(sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, medoid)),
-                      F.lit(0.0)))
-
-
-def fit_medoids(df: DataFrame, id_col: str, cols: Sequence[str], k: int, samples: int = 5,
-                sample_size: int = 1000, seed: int = 42) -> list[list[float]]:
-    """Best medoid set (k feature vectors) over ``samples`` CLARA samples."""
-    n = df.count()
-    frac = min(1.0, sample_size / max(n, 1))
-    samples = 1 if frac >= 1.0 else samples
-    threshold = int(frac * 2**31)
-    sid = F.explode(F.filter(
-        F.sequence(F.lit(0), F.lit(samples - 1)),
-        lambda i: F.pmod(F.xxhash64(F.col(id_col), i, F.lit(seed)), F.lit(2**31)) < threshold))
-    exploded = df.select(sid.alias("sample"), F.col(id_col).alias("id"),
-                         *[F.col(c).cast("double").alias(c) for c in cols])
-
-    def pam(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", kind="stable")
-        x = pdf[list(cols)].to_numpy(dtype=float)
-        idx = _pam_alternate(x, k)
-        out = pdf.iloc[idx][list(cols)].copy()
-        out.insert(0, "rank", np.arange(len(idx), dtype="int32"))
-        out.insert(0, "sample", int(pdf["sample"].iloc[0]))
-        return out
-
-    schema = "sample int, rank int, " + ", ".join(f"`{c}` double" for c in cols)
-    cands = exploded.groupBy("sample").applyInPandas(pam, schema)
-    rows = cands.collect()  # samples * k rows: bounded by the parameters
-    sets: dict[int, list] = {}
-    for r in sorted(rows, key=lambda r: (r["sample"], r["rank"])):
-        sets.setdefault(r["sample"], []).append([float(r[c]) for c in cols])
-    if len(sets) == 1:
-        return next(iter(sets.values()))
-    costs = df.agg(*[F.sum(F.least(*[_distance(cols, m) for m in ms]) if len(ms) > 1
-                           else _distance(cols, ms[0])).alias(f"s{s}")
-                     for s, ms in sets.items()]).first()
-    best = min(sets, key=lambda s: (costs[f"s{s}"], s))
-    return sets[best]
+def total_cost(df: DataFrame, cols: Sequence[str], medoids: Sequence[Sequence[float]]) -> float:
+    """Summed distance of all rows to their nearest medoid."""
+    d = [_distance(cols, m) for m in medoids]
+    return df.agg(F.sum(F.least(*d) if len(d) > 1 else d[0])).first()[0]
 
 
 def assign(df: DataFrame, cols: Sequence[str], medoids: Sequence[Sequence[float]],
@@ -102,6 +109,6 @@ def assign(df: DataFrame, cols: Sequence[str], medoids: Sequence[Sequence[float]
     return df.withColumn(out, label)
 
 
-def kmedoids(df: DataFrame, id_col: str, cols: Sequence[str], k: int, samples: int = 5,
-             sample_size: int = 1000, seed: int = 42, out: str = "cluster") -> DataFrame:
-    return assign(df, cols, fit_medoids(df, id_col, cols, k, samples, sample_size, seed), out)
+def kmedoids(df: DataFrame, id_col: str, cols: Sequence[str], k: int, seed: int = 42,
+             out: str = "cluster") -> DataFrame:
+    return assign(df, cols, fit_medoids(df, id_col, cols, k, seed), out)

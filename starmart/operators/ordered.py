@@ -18,13 +18,11 @@ products.  The operators here keep the work distributed:
    sums become a literal array of offsets.
 4. Each row adds its partition's offset to its position inside the partition.
 
-Ties (``rank``) and quantiles are answered with aggregates on top of the
-numbering, which Spark computes with map-side partial aggregation.
-
-Like a broadcast behind a size check, an input proven small by a row count
-(at most ``starmart.ordered.localRows`` rows, session conf, default one
-million; 0 turns it off) takes Spark's plain window instead: one task, a
-bounded sort, no extra jobs.  Both paths give identical rows (tests).
+``rank`` needs the first row of each run of equal keys: a window inside each
+partition finds it, and what a run carries over a partition border comes from
+the border rows (two per partition).  Quantiles are aggregates on top of the
+numbering, which Spark computes with map-side partial aggregation.  There is
+one path for every input size.
 """
 
 from __future__ import annotations
@@ -40,32 +38,12 @@ _PID = "__sm_pid"
 _LOCAL = "__sm_local"
 
 
-LOCAL_ROWS_CONF = "starmart.ordered.localRows"
-DEFAULT_LOCAL_ROWS = 1_000_000
-
-
-def _small(df: DataFrame, size_check: bool = True) -> int | None:
-    """Row count of ``df`` when it is at most the local limit, else None.
-    Callers whose input is fact-sized by construction pass
-    ``size_check=False``: counting it would cost a full extra pass."""
-    limit = int(df.sparkSession.conf.get(LOCAL_ROWS_CONF, str(DEFAULT_LOCAL_ROWS)))
-    if limit <= 0 or not size_check:
-        return None
-    n = df.count()
-    return n if n <= limit else None
-
-
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _range_layout(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
     """Range-partitioned, sorted rows with ``__sm_pid`` and ``__sm_local``
     (0-based position inside the partition), written and read back."""
-    n = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without a number, the session's setting holds and AQE joins small ranges
+    cut = [num_partitions] if num_partitions else []
+    ranged = df.repartitionByRange(*cut, *order).sortWithinPartitions(*order)
     pid = F.spark_partition_id()
     # monotonically_increasing_id is (partition id << 33) + record number,
     # evaluated in the sorted partition
@@ -74,46 +52,47 @@ def _range_layout(df: DataFrame, order: Sequence[Column], num_partitions: int |
     return write_table(tagged, "ordered")
 
 
-def _offsets(per_partition: dict[int, int]) -> tuple[list[int], int]:
-    """Exclusive prefix sums indexed by partition id, and the grand total."""
+def _offsets(per_partition: dict[int, object]) -> tuple[list, object]:
+    """Exclusive prefix sums indexed by partition id, and the grand total, in
+    the type of the sums (a partition whose values are all NULL adds nothing)."""
     size = (max(per_partition) + 1) if per_partition else 1
-    offsets, running = [], 0
+    offsets: list = []
+    running = 0
     for pid in range(size):
         offsets.append(running)
-        running += int(per_partition.get(pid, 0) or 0)
+        value = per_partition.get(pid)
+        running = running if value is None else running + value
     return offsets, running
 
 
-def _lookup(offsets: list[int], pid: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(int(o)).cast("long") for o in offsets]), pid + 1)
+def _lookup(offsets: list, pid: Column, dtype: str = "bigint") -> Column:
+    """The offset of a row's partition, as ``dtype``."""
+    return F.element_at(F.array(*[F.lit(o).cast(dtype) for o in offsets]), pid + 1)
+
+
+def _number(laid: DataFrame, out: str) -> tuple[DataFrame, int]:
+    counts = {r[0]: r[1] for r in laid.groupBy(_PID).count().collect()}
+    offsets, total = _offsets(counts)
+    return laid.withColumn(out, _lookup(offsets, F.col(_PID)) + F.col(_LOCAL) + 1), total
 
 
 def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
-                    num_partitions: int | None = None,
-                    size_check: bool = True) -> tuple[DataFrame, int]:
+                    num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """``row_number() over (order by <order>)`` computed in parallel.
 
     ``order`` must be a total order (end it in a unique key).  Returns the
     frame with a 1-based LONG column ``out`` and the row count.
     """
-    n = _small(df, size_check)
-    if n is not None:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("long")), n
-    laid = _range_layout(df, order, num_partitions)
-    counts = {r[0]: r[1] for r in laid.groupBy(_PID).count().collect()}
-    offsets, total = _offsets(counts)
-    numbered = laid.withColumn(out, _lookup(offsets, F.col(_PID)) + F.col(_LOCAL) + 1)
+    numbered, total = _number(_range_layout(df, order, num_partitions), out)
     return numbered.drop(_PID, _LOCAL), total
 
 
 def with_ntile(df: DataFrame, buckets: int, order: Sequence[Column], out: str,
-               num_partitions: int | None = None, size_check: bool = True) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """``ntile(buckets) over (order by <order>)``: with N rows, q = N div n and
     m = N mod n, the first m buckets hold q + 1 rows and the rest q."""
-    if _small(df, size_check) is not None:
-        return df.withColumn(out, F.ntile(buckets).over(Window.orderBy(*order)).cast("int"))
     rn_col = f"__{out}_rn"
-    numbered, total = with_row_number(df, order, rn_col, num_partitions, size_check=False)
+    numbered, total = with_row_number(df, order, rn_col, num_partitions)
     q, m = divmod(total, buckets)
     big = m * (q + 1)
     rn = F.col(rn_col)
@@ -129,25 +108,51 @@ def with_rank(df: DataFrame, value_cols: Sequence[str], value_order: Sequence[Co
 
     The rank of a row is the position of the first row of its tie group,
     minus the position of the first row of its partition group, plus one.
-    Both firsts are ``min`` aggregates (partial aggregation keeps a hot value
-    cheap) joined back null-safely on the value / partition columns.
+    Both are read off the sorted layout, so a hot value joins nothing.
     """
-    if _small(df) is not None:
-        w = Window.partitionBy(*partition_cols) if partition_cols else Window
-        return df.withColumn(out, F.rank().over(w.orderBy(*value_order)).cast("long"))
     rn_col = f"__{out}_rn"
     order = [F.col(c).asc_nulls_last() for c in partition_cols] + list(value_order) + list(tiebreak)
-    numbered, _ = with_row_number(df, order, rn_col, num_partitions, size_check=False)
-    tie_keys = list(partition_cols) + list(value_cols)
-    tie_first = numbered.groupBy(*tie_keys).agg(F.min(rn_col).alias("__tie_first"))
-    ranked = _null_safe_join(numbered, tie_first, tie_keys)
+    numbered, _ = _number(_range_layout(df, order, num_partitions), rn_col)
+    ranked = _run_start(numbered, [*partition_cols, *value_cols], rn_col, "__tie_first")
+    rank = F.col("__tie_first")
     if partition_cols:
-        part_first = numbered.groupBy(*partition_cols).agg(F.min(rn_col).alias("__part_first"))
-        ranked = _null_safe_join(ranked, part_first, list(partition_cols))
-        rank = F.col("__tie_first") - F.col("__part_first") + 1
-    else:
-        rank = F.col("__tie_first")
-    return ranked.withColumn(out, rank.cast("long")).drop(rn_col, "__tie_first", "__part_first")
+        ranked = _run_start(ranked, list(partition_cols), rn_col, "__part_first")
+        rank = rank - F.col("__part_first") + 1
+    return (ranked.withColumn(out, rank.cast("long"))
+            .drop(rn_col, _PID, _LOCAL, "__tie_first", "__part_first"))
+
+
+def _same(a, b) -> bool:
+    """Equality of two border rows' keys as Spark sees it (NaN equals NaN)."""
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
+def _run_start(laid: DataFrame, keys: Sequence[str], rn: str, out: str) -> DataFrame:
+    """Add ``out``: the number of the first row of the run of equal ``keys``
+    that a row stands in.  ``laid`` is a numbered range layout in which equal
+    keys are neighbours."""
+    key = F.struct(*keys)
+    rows = Window.partitionBy(_PID).orderBy(_LOCAL)
+    start = (F.col(_LOCAL) == 0) | ~key.eqNullSafe(F.lag(key).over(rows))
+    found = laid.withColumn(out, F.when(start, F.col(rn))).withColumn(
+        out, F.max(out).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    edges = found.groupBy(_PID).agg(
+        F.min_by(key, _LOCAL).alias("head"), F.max_by(key, _LOCAL).alias("tail"),
+        F.min(rn).alias("first"), F.max(out).alias("last")).orderBy(_PID).collect()
+    carried: dict[int, int] = {}  # partitions whose first run began earlier
+    tail, last = None, None
+    for e in edges:
+        begins = last if tail is not None and _same(tail, e["head"]) else None
+        if begins is not None:
+            carried[e[_PID]] = begins
+        one_run = e["last"] == e["first"]
+        tail, last = e["tail"], begins if one_run and begins is not None else e["last"]
+    if not carried:
+        return found
+    size = max(carried) + 1
+    begins = F.get(F.array(*[F.lit(carried.get(p)).cast("bigint") for p in range(size)]), F.col(_PID))
+    first_run = F.col(out) == F.min(rn).over(Window.partitionBy(_PID))
+    return found.withColumn(out, F.when(first_run & begins.isNotNull(), begins).otherwise(F.col(out)))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -161,7 +166,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 
 def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column],
-                      num_partitions: int | None = None) -> tuple[DataFrame, dict[str, float]]:
+                      num_partitions: int | None = None) -> tuple[DataFrame, dict]:
     """Inclusive running sums ``sum(x) over (order by <order> rows unbounded preceding)``.
 
     Inside one range partition the running sum is a window partitioned by the
@@ -169,25 +174,27 @@ def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Co
     partitions come from one small per-partition aggregate.  Returns the frame
     and the grand totals.
     """
-    if _small(df) is not None:
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.withColumns({name: F.sum(expr).over(w) for name, expr in sums.items()})
-        tot = df.agg(*[F.sum(expr).alias(name) for name, expr in sums.items()]).first()
-        return out, {name: tot[name] for name in sums}
     laid = _range_layout(df, order, num_partitions)
     for name, expr in sums.items():
         laid = laid.withColumn(f"__w_{name}", expr)
-    agg = laid.groupBy(_PID).agg(*[F.sum(f"__w_{n}").alias(n) for n in sums]).collect()
+    per_partition = laid.groupBy(_PID).agg(*[F.sum(f"__w_{n}").alias(n) for n in sums])
+    sum_types = {n: per_partition.schema[n].dataType.simpleString() for n in sums}
+    agg = per_partition.collect()
     result = laid
-    totals: dict[str, float] = {}
+    totals: dict = {}
     local_w = Window.partitionBy(_PID).orderBy(_LOCAL).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     for name in sums:
         per = {r[_PID]: r[name] for r in agg}
-        offsets, total = _offsets(per)
-        totals[name] = total
+        offsets, totals[name] = _offsets(per)
+        inner = F.sum(f"__w_{name}").over(local_w)
+        dtype = sum_types[name]
+        before = _lookup(offsets, F.col(_PID), dtype)
+        # NULL until the first value, as the plain window gives it
+        seen = [any(per.get(q) is not None for q in range(p)) for p in range(len(offsets))]
+        held = F.element_at(F.array(*[F.lit(x) for x in seen]), F.col(_PID) + 1)
         result = result.withColumn(
-            name, _lookup(offsets, F.col(_PID)) + F.sum(f"__w_{name}").over(local_w))
+            name, F.when(held, F.coalesce(before + inner, before)).otherwise(inner).cast(dtype))
     return result.drop(_PID, _LOCAL, *[f"__w_{n}" for n in sums]), totals
 
 

@@ -30,11 +30,14 @@ def key_violations(df: DataFrame, key: str, table: str) -> DataFrame:
 def orphan_count(fact: DataFrame, fk: str, dim: DataFrame, pk: str, name: str) -> DataFrame:
     """CHK-2: fact rows whose foreign key has no dimension row (``left_anti``).
     The unknown member -1 has no dimension row, so it is reported too."""
-    keys = dim.select(F.col(pk).alias("__pk")).distinct()
-    orphans = fact.select(fk).join(keys, F.col(fk) == F.col("__pk"), "left_anti")
+    keys = dim.select(F.col(pk).alias("__pk"))
+    # the fact is reduced to its distinct keys before it meets the dimension
+    counted = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("__n"))
+    orphans = counted.join(keys, F.col(fk) == F.col("__pk"), "left_anti")
+    zero = F.lit(0).cast("long")
     return orphans.agg(F.lit(name).alias("constraint_name"),
-                       F.count(F.lit(1)).alias("orphan_rows"),
-                       F.count(F.when(F.col(fk) == -1, 1)).alias("unknown_member_rows"))
+                       F.coalesce(F.sum("__n"), zero).alias("orphan_rows"),
+                       F.coalesce(F.sum(F.when(F.col(fk) == -1, F.col("__n"))), zero).alias("unknown_member_rows"))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

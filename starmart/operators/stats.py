@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.special import chi2_sf
-from starmart.operators.joins import broadcast_if_small
 from starmart.operators.ordered import grouped_exact_quantiles
 
 
@@ -46,7 +45,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None,
     )
     q = grouped_exact_quantiles(long, "column_name", "value", [0.25, 0.5, 0.75],
                                 ["q25", "q50", "q75"], num_partitions)
-    return moments.join(broadcast_if_small(q), "column_name").select(
+    return moments.join(q, "column_name").select(
         "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -62,7 +61,7 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], id_col: str, threshold:
     """ST-2: rows with ``|z| > threshold`` per column, long form
     ``column_name, id, value, z``."""
     long = long_form(df, cols, [id_col])
-    m = broadcast_if_small(population_moments(long))
+    m = population_moments(long)
     z = F.when(F.col("std_pop") != 0, (F.col("value") - F.col("mean")) / F.col("std_pop"))
     return (long.join(m, "column_name").withColumn("z", z)
             .where(F.abs(F.col("z")) > threshold)
@@ -74,8 +73,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
     falls into the last bin (numpy / seaborn convention).  Empty bins are
     not listed."""
     long = long_form(df, cols).where(F.col("value").isNotNull())
-    rng = broadcast_if_small(long.groupBy("column_name").agg(F.min("value").alias("lo"),
-                                                             F.max("value").alias("hi")))
+    rng = long.groupBy("column_name").agg(F.min("value").alias("lo"),
+                                                             F.max("value").alias("hi"))
     span = F.col("hi") - F.col("lo")
     b = F.when(span == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / span * bins), F.lit(bins - 1)))
@@ -98,7 +97,7 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5,
     lo_fence = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(whisker) * F.col("iqr")
     v = F.col("value")
-    return (long.join(broadcast_if_small(q), "column_name")
+    return (long.join(q, "column_name")
             .groupBy("column_name", "q1", "median", "q3", "iqr")
             .agg(F.min(F.when(v >= lo_fence, v)).alias("lower_whisker"),
                  F.max(F.when(v <= hi_fence, v)).alias("upper_whisker"),
@@ -172,8 +171,8 @@ def chi_square_stat(df: DataFrame, row_col: str, col_col: str,
     """
     pairs = df.where(F.col(row_col).isNotNull() & F.col(col_col).isNotNull())
     cells = pairs.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("o"))
-    r = broadcast_if_small(cells.groupBy(row_col).agg(F.sum("o").alias("r")))
-    c = broadcast_if_small(cells.groupBy(col_col).agg(F.sum("o").alias("c")))
+    r = cells.groupBy(row_col).agg(F.sum("o").alias("r"))
+    c = cells.groupBy(col_col).agg(F.sum("o").alias("c"))
     j = cells.join(r, row_col).join(c, col_col)
     agg = j.agg(F.sum(F.col("o").cast("double") * F.col("o") / (F.col("r") * F.col("c")))
                 .alias("s"),

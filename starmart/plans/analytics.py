@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.ordered import exact_quantiles
+from starmart.operators.ordered import exact_quantiles, with_rank
 from starmart.params import Params
 from starmart.plans import marts
 from starmart.plans.star import Star
@@ -97,20 +97,22 @@ def churn_labelled(star: Star, params: Params) -> DataFrame:
     return df.withColumn("churn", F.when(F.col("days_since_last_purchase") > med, 1).otherwise(0))
 
 
-def split_hash(id_col: str, seed: int = 42):
-    """Uniform number in [0, 1) from the first 32 bits of md5(seed|id)."""
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string"))), 1, 8),
-               16, 10).cast("long")
-    return h.cast("double") / F.lit(4294967296.0)
-
-
 def stratified_split(df: DataFrame, id_col: str = "customer_id", test_frac: float = 0.2,
-                     seed: int = 42) -> DataFrame:
-    """CH-3: ``split`` = 'test' when the row's hash falls below ``test_frac``.
-    The hash is independent of the class, so each class is split in the same
-    proportion in expectation; no shuffle, repeatable, same in SQL."""
-    u = split_hash(id_col, seed)
-    return df.withColumn("split", F.when(u < test_frac, "test").otherwise("train"))
+                     seed: int = 42, num_partitions: int | None = None) -> DataFrame:
+    """CH-3: ``split`` = 'test' for exactly ``round(test_frac * n)`` rows of
+    each class: the first in the order of a seeded hash of the id (the
+    numbering inside a class is distributed)."""
+    label = "churn"
+    hashed = df.withColumn("__u", F.substring(
+        F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string"))), 1, 8))
+    order = [F.col("__u").asc(), F.col(id_col).asc()]
+    placed = with_rank(hashed, ["__u", id_col], order, [], "__place", [label], num_partitions)
+    # one row per class
+    sizes = df.groupBy(F.col(label).alias("__class")).agg(
+        F.round(F.lit(test_frac) * F.count(F.lit(1))).alias("__quota"))
+    return (placed.join(sizes, F.col(label).eqNullSafe(F.col("__class")))
+            .withColumn("split", F.when(F.col("__place") <= F.col("__quota"), "test").otherwise("train"))
+            .drop("__u", "__place", "__class", "__quota"))
 
 
 def churn_standin(df: DataFrame) -> DataFrame:

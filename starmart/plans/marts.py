@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import days_between, month_start, pct, safe_div
-from starmart.operators.joins import broadcast_if_small
 from starmart.operators.ordered import with_ntile, with_rank
 from starmart.params import Params
 from starmart.plans.star import Star
@@ -38,7 +37,7 @@ def _current_year(params: Params) -> Column:
 
 
 def _dated(fact: DataFrame, d_date: DataFrame, how: str = "left") -> DataFrame:
-    return fact.join(broadcast_if_small(d_date), fact.order_date_key == d_date.date_key, how)
+    return fact.join(d_date, fact.order_date_key == d_date.date_key, how)
 
 
 def _time_measures() -> list[Column]:
@@ -97,19 +96,27 @@ def sales_monthly(star: Star, params: Params) -> DataFrame:
 def product_sales(star: Star, params: Params) -> DataFrame:
     """T-9: one row per (category, sub-category, product id), with global
     sales / profit ranks and the rank inside the category (distributed)."""
-    p = star.dim_product.select("product_key", "category", "sub_category", "product_id",
-                                "product_name")
-    j = star.fact.join(p, "product_key", "left")
-    agg = j.groupBy("category", "sub_category", "product_id").agg(
+    group = ["category", "sub_category", "product_id"]
+    p = star.dim_product.select("product_key", *group, "product_name")
+    # lines are reduced by product key before they meet the names; orders are
+    # counted over distinct key and order pairs, as an id can have two keys
+    per_key = star.fact.groupBy("product_key").agg(
+        F.sum("sales").alias("__sales"), F.sum("profit").alias("__profit"), F.sum("cost").alias("__cost"),
+        F.count("sales").alias("__n"), F.sum("discount").alias("__disc"),
+        F.count("discount").alias("__disc_n"), F.sum("quantity").alias("__q"))
+    sums = per_key.join(p, "product_key", "left").groupBy(*group).agg(
         F.min("product_name").alias("product_name"),
-        F.countDistinct("order_id").alias("times_ordered"),
-        F.sum("sales").alias("__sales"),
-        F.sum("profit").alias("__profit"),
-        _d(F.sum("cost")).alias("total_costs"),
-        _avg("sales").alias("avg_sale_price"),
-        (_avg("discount") * 100).alias("avg_discount_pct"),
-        F.sum("quantity").cast("long").alias("total_quantity"),
+        F.sum("__sales").alias("__sales"), F.sum("__profit").alias("__profit"),
+        _d(F.sum("__cost")).alias("total_costs"),
+        safe_div(_d(F.sum("__sales")), F.sum("__n")).alias("avg_sale_price"),
+        (safe_div(_d(F.sum("__disc")), F.sum("__disc_n")) * 100).alias("avg_discount_pct"),
+        F.sum("__q").cast("long").alias("total_quantity"),
     )
+    orders = (star.fact.select("product_key", "order_id").distinct()
+              .join(p.drop("product_name"), "product_key", "left")
+              .groupBy(*[F.col(g).alias(f"__{g}") for g in group])
+              .agg(F.countDistinct("order_id").alias("times_ordered")))
+    agg = sums.join(orders, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]).drop(*[f"__{g}" for g in group])
     # the aggregate is written once (it is the mart's CREATE TABLE AS); the
     # three rankings then read that table instead of re-aggregating the fact
     agg = write_table(agg, "product_sales_agg")
@@ -143,13 +150,12 @@ def customer_base(star: Star, params: Params) -> DataFrame:
 
 
 def compute_customer_base(star: Star, params: Params) -> DataFrame:
-    """The ``customer_base`` CTE: fact JOIN date (lines with an unknown date
-    drop out) LEFT JOIN customer, one row per customer.  ``total_sales`` and
-    ``total_profit`` stay exact decimals here."""
+    """One row per customer: lines with a known date, reduced by customer key
+    before they meet the customer names (the unknown member -1 has none).
+    ``total_sales`` and ``total_profit`` stay exact decimals here."""
     c = star.dim_customer.select("customer_key", *CUSTOMER_KEYS)
     d = star.dim_date.select("date_key", "full_date")
-    j = _dated(star.fact, d, "inner").join(c, "customer_key", "left")
-    agg = j.groupBy(*CUSTOMER_KEYS).agg(
+    agg = _dated(star.fact, d, "inner").groupBy("customer_key").agg(
         F.max("full_date").alias("last_purchase_date"),
         F.min("full_date").alias("first_purchase_date"),
         F.countDistinct("order_id").alias("total_orders"),
@@ -158,7 +164,8 @@ def compute_customer_base(star: Star, params: Params) -> DataFrame:
         _avg("sales").alias("avg_order_value"),
         _avg("discount").alias("avg_discount_rate"),
     )
-    return agg.withColumns({
+    measures = [x for x in agg.columns if x != "customer_key"]
+    return agg.join(c, "customer_key", "left").select(*CUSTOMER_KEYS, *measures).withColumns({
         "days_since_last_purchase": days_between(F.lit(params.as_of), F.col("last_purchase_date")),
         "customer_lifetime_days": days_between(F.col("last_purchase_date"),
                                                F.col("first_purchase_date")),
@@ -225,7 +232,7 @@ def customer_cohorts(star: Star, params: Params) -> DataFrame:
     monthly activity is reduced to distinct (month, customer) pairs before it
     meets the first-purchase table, so no fact-sized join is needed.
     """
-    d = broadcast_if_small(star.dim_date.select("date_key", "full_date", "year", "month"))
+    d = star.dim_date.select("date_key", "full_date", "year", "month")
     first = (star.fact.groupBy("customer_key").agg(F.min("order_date_key").alias("first_key"))
              .join(d, F.col("first_key") == F.col("date_key"))
              .select("customer_key", month_start(F.col("full_date")).alias("first_purchase_month")))
@@ -316,6 +323,14 @@ def row_count_report(marts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def written_marts(star: Star, params: Params) -> dict[str, DataFrame]:
+    """The marts, each written once where the star carries a table cache."""
+    built = build_marts(star, params)
+    if star.tables is None:
+        return {name: write_table(df, name) for name, df in built.items()}
+    return {name: star.tables(f"mart_{name}", lambda df=df: df) for name, df in built.items()}
+
+
 def build_marts(star: Star, params: Params) -> dict[str, DataFrame]:
     return {
         "sales_daily": sales_daily(star, params),

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import quality
-from starmart.operators.joins import broadcast_if_small
 from starmart.params import Params
 from starmart.plans import churn, marts
 from starmart.plans.star import Star, build_star
@@ -40,7 +39,7 @@ def run(spark: SparkSession, staging: DataFrame, base_path: str, params: Params,
     catalog.replace_table(star.dim_ship, "dwh.dim_ship")
     d = star.dim_date.select("date_key", F.year("full_date").alias("order_year"),
                              F.month("full_date").alias("order_month"))
-    fact = star.fact.join(broadcast_if_small(d), F.col("order_date_key") == F.col("date_key"),
+    fact = star.fact.join(d, F.col("order_date_key") == F.col("date_key"),
                           "left").drop("date_key")
     catalog.replace_table(fact, "dwh.fact_sales", partition_by=("order_year", "order_month"))
     star = Star(staging, spark.table("dwh.dim_customer"), spark.table("dwh.dim_product"),

@@ -20,7 +20,6 @@ from starmart.functions import (
     pct,
 )
 from starmart.operators import quality
-from starmart.operators.joins import broadcast_if_small
 from starmart.operators.ordered import with_ntile, with_rank
 from starmart.params import Params
 from starmart.plans import marts
@@ -68,9 +67,11 @@ def lag_growth(star: Star, params: Params) -> DataFrame:
     each region.  The window runs on the (region, month) aggregate."""
     c = star.dim_customer.select("customer_key", "region")
     d = star.dim_date.select("date_key", "year", "month")
-    agg = (star.fact.join(c, "customer_key", "left")
-           .join(broadcast_if_small(d), F.col("order_date_key") == F.col("date_key"))
-           .groupBy("region", "year", "month").agg(_d(F.sum("sales")).alias("total_sales")))
+    # lines are reduced to (customer, month) before they meet the customers
+    monthly = (star.fact.join(d, F.col("order_date_key") == F.col("date_key"))
+               .groupBy("customer_key", "year", "month").agg(F.sum("sales").alias("__s")))
+    agg = (monthly.join(c, "customer_key", "left")
+           .groupBy("region", "year", "month").agg(_d(F.sum("__s")).alias("total_sales")))
     w = Window.partitionBy("region").orderBy(F.col("year").asc_nulls_last(),
                                              F.col("month").asc_nulls_last())
     prev = F.lag("total_sales").over(w)
@@ -91,9 +92,10 @@ def rank_global(star: Star, params: Params) -> DataFrame:
 def rank_in_category(star: Star, params: Params) -> DataFrame:
     """RANK per category by quantity sold (W-3, distributed with a partition)."""
     p = star.dim_product.select("product_key", "category", "product_id")
-    agg = (star.fact.join(p, "product_key", "left")
+    sold = star.fact.groupBy("product_key").agg(F.sum("quantity").alias("__q"))
+    agg = (sold.join(p, "product_key", "left")
            .groupBy("category", "product_id")
-           .agg(F.sum("quantity").cast("long").alias("total_quantity")))
+           .agg(F.sum("__q").cast("long").alias("total_quantity")))
     ranked = with_rank(agg, ["total_quantity"], [F.col("total_quantity").desc_nulls_first()],
                        [F.col("product_id").asc_nulls_last()], "quantity_rank",
                        partition_cols=["category"], num_partitions=params.order_partitions)
@@ -105,7 +107,7 @@ def ntile_global(star: Star, params: Params) -> DataFrame:
     f = star.fact.select("sales_key", "sales")
     tiled = with_ntile(f, 10, [F.col("sales").desc_nulls_first(),
                                F.col("sales_key").asc_nulls_last()], "sales_decile",
-                       params.order_partitions, size_check=False)
+                       params.order_partitions)
     return tiled.select("sales_key", _d(F.col("sales")).alias("sales"), "sales_decile")
 
 
@@ -124,7 +126,7 @@ def distinct_on(star: Star, params: Params) -> DataFrame:
 # --- joins ----------------------------------------------------------------------
 def role_playing_dates(star: Star, params: Params) -> DataFrame:
     """dim_date joined twice, as order and as ship date (J-3)."""
-    d = broadcast_if_small(star.dim_date.select("date_key", "full_date", "year"))
+    d = star.dim_date.select("date_key", "full_date", "year")
     od = d.select(F.col("date_key").alias("od_key"), F.col("full_date").alias("od"),
                   F.col("year").alias("order_year"))
     sd = d.select(F.col("date_key").alias("sd_key"), F.col("full_date").alias("sd"),
@@ -142,11 +144,14 @@ def left_join_unknown_member(star: Star, params: Params) -> DataFrame:
     """Fact LEFT JOIN customer; lines without a customer row count as
     'Unknown' (J-1, PF-9)."""
     c = star.dim_customer.select("customer_key", "segment")
-    j = star.fact.join(c, "customer_key", "left")
+    per_key = star.fact.groupBy("customer_key").agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("sales").alias("__s"))
+    j = per_key.join(c, "customer_key", "left")
     return j.groupBy(F.coalesce(F.col("segment"), F.lit("Unknown")).alias("segment")).agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count(F.when(F.col("customer_key") == -1, 1)).alias("unknown_key_lines"),
-        _d(F.sum("sales")).alias("total_sales"))
+        F.sum("__n").alias("lines"),
+        F.coalesce(F.sum(F.when(F.col("customer_key") == -1, F.col("__n"))), F.lit(0).cast("long"))
+        .alias("unknown_key_lines"),
+        _d(F.sum("__s")).alias("total_sales"))
 
 
 def scalar_subqueries(star: Star, params: Params) -> DataFrame:
@@ -163,7 +168,7 @@ def scalar_subqueries(star: Star, params: Params) -> DataFrame:
 # --- aggregates ---------------------------------------------------------------
 def conditional_sums(star: Star, params: Params) -> DataFrame:
     """SUM(CASE ...) by ship mode (AG-7, AG-10)."""
-    s = broadcast_if_small(star.dim_ship.select("ship_mode_key", "ship_mode"))
+    s = star.dim_ship.select("ship_mode_key", "ship_mode")
     j = star.fact.join(s, "ship_mode_key", "left")
     with_disc = F.sum(F.when(F.col("discount") > 0, F.col("sales")).otherwise(F.lit(0)))
     return j.groupBy("ship_mode").agg(
@@ -175,7 +180,7 @@ def conditional_sums(star: Star, params: Params) -> DataFrame:
 
 def conditional_distinct(star: Star, params: Params) -> DataFrame:
     """COUNT(DISTINCT CASE ...) by year (AG-9)."""
-    d = broadcast_if_small(star.dim_date.select("date_key", "year"))
+    d = star.dim_date.select("date_key", "year")
     j = star.fact.join(d, F.col("order_date_key") == F.col("date_key"))
     return j.groupBy("year").agg(
         F.countDistinct(F.when(F.col("discount") > 0, F.col("customer_key")))
@@ -280,15 +285,11 @@ def key_check(star: Star, params: Params) -> DataFrame:
     return out
 
 
-def mart_key_check(star: Star, params: Params) -> DataFrame:
-    """Primary keys of the marts unique and not null (CHK-1)."""
-    checks = [quality.key_violations(marts.product_sales(star, params), "product_id",
-                                     "product_sales"),
-              quality.key_violations(marts.customers(star, params), "customer_id", "customers"),
-              quality.key_violations(marts.customer_cohorts(star, params), "cohort_month",
-                                     "customer_cohorts"),
-              quality.key_violations(marts.executive_summary(star, params), "metric_scope",
-                                     "executive_summary")]
+def mart_key_check(built: dict[str, DataFrame]) -> DataFrame:
+    """Primary keys of the written marts unique and not null (CHK-1)."""
+    keys = (("product_sales", "product_id"), ("customers", "customer_id"),
+            ("customer_cohorts", "cohort_month"), ("executive_summary", "metric_scope"))
+    checks = [quality.key_violations(built[mart], key, mart) for mart, key in keys]
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)
@@ -333,7 +334,7 @@ def status_breakdown(star: Star, params: Params) -> DataFrame:
 
 def yoy_growth(star: Star, params: Params) -> DataFrame:
     """D-4: yearly sales and growth against the previous year present."""
-    d = broadcast_if_small(star.dim_date.select("date_key", "year"))
+    d = star.dim_date.select("date_key", "year")
     y = (star.fact.join(d, F.col("order_date_key") == F.col("date_key"))
          .groupBy("year").agg(F.sum("sales").alias("__s")))
     prev = F.lag("__s").over(Window.orderBy(F.col("year").asc_nulls_last()))  # one row per year
@@ -356,20 +357,21 @@ def discount_impact(star: Star, params: Params) -> DataFrame:
 def revenue_by_region(star: Star, params: Params) -> DataFrame:
     """D-6: sales and profit per customer region."""
     c = star.dim_customer.select("customer_key", "region")
-    return (star.fact.join(c, "customer_key", "left").groupBy("region")
-            .agg(_d(F.sum("sales")).alias("total_sales"), _d(F.sum("profit")).alias("total_profit"),
-                 F.countDistinct("customer_key").alias("customers")))
+    per_key = star.fact.groupBy("customer_key").agg(F.sum("sales").alias("__s"), F.sum("profit").alias("__p"))
+    return (per_key.join(c, "customer_key", "left").groupBy("region")
+            .agg(_d(F.sum("__s")).alias("total_sales"), _d(F.sum("__p")).alias("total_profit"),
+                 F.count("customer_key").alias("customers")))
 
 
 def category_profit(star: Star, params: Params) -> DataFrame:
     """D-7: products, revenue and profit per category (from the product mart's
     groups)."""
     p = star.dim_product.select("product_key", "category", "product_id")
-    j = star.fact.join(p, "product_key", "left")
-    return j.groupBy("category").agg(
-        F.countDistinct("product_id").alias("products"), _d(F.sum("sales")).alias("total_sales"),
-        _d(F.sum("profit")).alias("total_profit"),
-        pct(_d(F.sum("profit")), _d(F.sum("sales"))).alias("profit_margin_pct"))
+    per_key = star.fact.groupBy("product_key").agg(F.sum("sales").alias("__s"), F.sum("profit").alias("__p"))
+    return per_key.join(p, "product_key", "left").groupBy("category").agg(
+        F.countDistinct("product_id").alias("products"), _d(F.sum("__s")).alias("total_sales"),
+        _d(F.sum("__p")).alias("total_profit"),
+        pct(_d(F.sum("__p")), _d(F.sum("__s"))).alias("profit_margin_pct"))
 
 
 def top_sellers(star: Star, params: Params, k: int = 10) -> DataFrame:

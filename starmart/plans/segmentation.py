@@ -68,10 +68,9 @@ def gmm(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return model.transform(df).drop("cluster_probability")
 
 
-def kmedoids(df: DataFrame, feats: Sequence[str], k: int, seed: int = 42,
-             samples: int = 5, sample_size: int = 1000) -> DataFrame:
-    """ML-10: CLARA K-Medoids (see :mod:`starmart.operators.kmedoids`)."""
-    return km.kmedoids(df, "customer_id", feats, k, samples, sample_size, seed)
+def kmedoids(df: DataFrame, feats: Sequence[str], k: int, seed: int = 42) -> DataFrame:
+    """ML-10: K-Medoids over all rows (see :mod:`starmart.operators.kmedoids`)."""
+    return km.kmedoids(df, "customer_id", feats, k, seed)
 
 
 METHODS = {"kmeans": kmeans, "bisecting": bisecting, "gmm": gmm}

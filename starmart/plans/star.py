@@ -13,9 +13,9 @@ from starmart.functions import (
     day_of_week0,
     month_name_padded,
 )
-from starmart.operators.joins import broadcast_if_small
 from starmart.operators.ordered import with_row_number
 from starmart.params import Params
+from starmart.session import write_table
 
 CUSTOMER_ATTRS = ("city", "state", "segment", "country", "postal_code", "region", "customer_name")
 
@@ -105,15 +105,17 @@ def fact_sales(staging: DataFrame, d_customer: DataFrame, d_product: DataFrame,
                d_ship: DataFrame, d_date: DataFrame, params: Params) -> DataFrame:
     """T-6: order-line fact; unresolved keys become -1 (unknown member).
 
-    dim_date (bounded by the calendar) and dim_ship are broadcast after a row
-    count proves them small; customer and product dims are joined by key and
-    left to AQE, which broadcasts them only when their runtime size allows.
+    The dimensions are read from written tables, so the planner knows their
+    bytes and AQE their runtime size; each is broadcast only under the
+    session's threshold.  The joined lines are written before they are
+    numbered: range sampling then reads three columns instead of repeating
+    the joins.
     """
     s = staging.where(F.col("order_id").isNotNull())
     cust = d_customer.select("customer_id", "customer_key")
     prod = d_product.select("product_id", "product_key")
-    ship = broadcast_if_small(d_ship.select("ship_mode", "ship_mode_key"))
-    dates = broadcast_if_small(d_date.select("date_key"))
+    ship = d_ship.select("ship_mode", "ship_mode_key")
+    dates = d_date.select("date_key")
     od = dates.select(F.col("date_key").alias("od_key"))
     sd = dates.select(F.col("date_key").alias("sd_key"))
     joined = (s.join(cust, "customer_id", "left")
@@ -135,8 +137,10 @@ def fact_sales(staging: DataFrame, d_customer: DataFrame, d_product: DataFrame,
         _audit(params).alias("loaded_at"),
     )
     keyed, _ = with_row_number(
-        fact, [F.col("order_id").asc_nulls_last(), F.col("row_id").asc_nulls_last()],
-        "sales_key", params.order_partitions, size_check=False)
+        write_table(fact, "fact_lines"),
+        # the product key tells apart the lines of an id with two names
+        [F.col(c).asc_nulls_last() for c in ("order_id", "row_id", "product_key")],
+        "sales_key", params.order_partitions)
     return keyed.select("sales_key", *[c for c in fact.columns])
 
 
@@ -165,8 +169,9 @@ class Star:
 
 
 def build_star(staging: DataFrame, params: Params) -> Star:
-    dc = dim_customer(staging, params)
-    dp = dim_product(staging, params)
-    dd = dim_date(staging)
-    ds = dim_ship(staging, params)
+    """Dimensions first, each computed and written once; then the fact."""
+    dc = write_table(dim_customer(staging, params), "dim_customer")
+    dp = write_table(dim_product(staging, params), "dim_product")
+    dd = write_table(dim_date(staging), "dim_date")
+    ds = write_table(dim_ship(staging, params), "dim_ship")
     return Star(staging, dc, dp, dd, ds, fact_sales(staging, dc, dp, ds, dd, params))

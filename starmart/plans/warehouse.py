@@ -44,12 +44,6 @@ def fixture_star(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARA
         star = _STARS.get(key)
         if star is None:
             star = build_star(clean(raw, params), params)
-            # CREATE TABLE AS: dimensions and fact become written tables
-            star = Star(star.staging, write_table(star.dim_customer, "dim_customer"),
-                        write_table(star.dim_product, "dim_product"),
-                        write_table(star.dim_date, "dim_date"),
-                        write_table(star.dim_ship, "dim_ship"),
-                        star.fact)  # fact-sized: already written by its numbering
             star.tables = lambda name, build: materialized(spark, sf_dir, name, params, build)
             _STARS[key] = star
         return star

@@ -101,7 +101,12 @@ def q_executive_summary(spark, sf_dir):
 
 @register("row_count_report", oracle.MARTS["row_count_report"])
 def q_row_count_report(spark, sf_dir):
-    return marts.row_count_report(marts.build_marts(_star(spark, sf_dir), P))
+    return marts.row_count_report(marts.written_marts(_star(spark, sf_dir), P))
+
+
+@register("mart_key_check", oracle.REPORTS["mart_key_check"])
+def q_mart_key_check(spark, sf_dir):
+    return reports.mart_key_check(marts.written_marts(_star(spark, sf_dir), P))
 
 
 # --- single-operator reports and dashboard (exact oracle) ------------------------
@@ -112,7 +117,6 @@ _SIMPLE = ["rfm_scores", "customer_status", "value_tier", "lag_growth", "rank_gl
            "left_join_unknown_member", "scalar_subqueries", "conditional_sums",
            "conditional_distinct", "pivot_share", "crosstab", "value_counts",
            "union_distinct_dates", "union_all_counts", "date_parts", "top_k", "key_check",
-           "mart_key_check",
            "fk_check", "customer_kpis", "status_breakdown", "yoy_growth", "discount_impact",
            "revenue_by_region", "category_profit", "top_sellers"]
 
@@ -457,6 +461,25 @@ def q_csv_staging(spark, sf_dir):
     return _money_out(_csv_staging(spark, sf_dir))
 
 
+@register("load_rejects", oracle.REPORTS["load_rejects"])
+def q_load_rejects(spark, sf_dir):
+    """IO-1, IO-2, PF-3: a real CSV dialect (doubled quotes, commas) with bad
+    dates, numbers, row ids and ship modes seeded into the given lines: what
+    the load rejects, and what it keeps, by kind."""
+    text = csv_ingest.read_sales_text(spark, memo(
+        spark, sf_dir, "seeded_csv", P, lambda: csv_ingest.export_seeded(
+            fixture_raw(spark, sf_dir, P), scratch_path(spark, "csv"))))
+    staged = csv_ingest.clean(csv_ingest.typed(text), P.with_(bad_row_ids=(5,)))
+    counts = csv_ingest.reject_counts(text).select(
+        F.concat(F.lit("rejected "), "column_name").alias("kind"), F.col("rejects").alias("rows"))
+    kept = [("staged", F.count(F.lit(1))), ("quoted", F.count(F.when(F.col("product_name").startswith('A ", "'), 1))),
+            ("ship_mode sas", F.count(F.when(F.col("ship_mode") == "sas", 1))),
+            ("without sales", F.count(F.when(F.col("sales").isNull(), 1)))]
+    row = staged.agg(*[c.alias(n) for n, c in kept])
+    return counts.unionByName(row.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("kind"), F.col(f"`{n}`").alias("rows")) for n, _ in kept])).alias("k")).select("k.*"))
+
+
 @register("stream_staging", oracle.REPORTS["stream_staging"])
 def q_stream_staging(spark, sf_dir):
     """The same load as a Structured Streaming file source (availableNow)."""

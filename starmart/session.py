@@ -15,17 +15,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("STARMART_SHUFFLE_PARTITIONS", "8"))
+    # only what the caller asks for: a cluster's own settings stand
+    parts = shuffle_partitions or os.environ.get("STARMART_SHUFFLE_PARTITIONS")
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+    if os.environ.get("STARMART_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", os.environ["STARMART_DRIVER_MEMORY"])
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -55,13 +58,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable (not local) checkpoint: cuts lineage, survives executor loss,
-    and keeps partition ids and the order inside each partition stable."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str = "t") -> str:
     """A fresh folder for a written table, inside the shared checkpoint
     folder of the cluster (never a machine-local temp dir on a cluster)."""

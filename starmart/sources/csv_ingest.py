@@ -1,8 +1,9 @@
 """CSV ingestion and cleaning: the raw sales file to the staging table (T-1).
 
-The file is read with an explicit schema (no inference pass over 100 TB),
-dates arrive as ``dd/mm/yyyy`` text and are parsed with ``try_to_date`` so a
-bad value becomes NULL and is counted instead of failing the job.
+Columns are taken by header name as text (only the header is read ahead, no
+inference pass), quotes are doubled as in RFC 4180, and values are parsed
+with ``try_`` functions: what does not parse becomes NULL in staging and one
+row of the rejects table, never a silent loss.
 """
 
 from __future__ import annotations
@@ -40,7 +41,9 @@ CSV_COLUMNS = (
 
 RAW_COLUMNS_ORDER = tuple(dst for _, dst, _ in CSV_COLUMNS)
 
-CSV_SCHEMA = T.StructType([T.StructField(src, typ, True) for src, _, typ in CSV_COLUMNS])
+CSV_NAMES = tuple(src for src, _, _ in CSV_COLUMNS)
+CORRUPT = "_corrupt_record"  # a line with too few or too many fields
+DATE_COLUMNS = ("order_date", "ship_date")
 
 # columns the reference profiles and casts to a categorical type
 CATEGORICAL_COLUMNS = ("region", "category", "sub_category", "segment", "ship_mode",
@@ -49,23 +52,63 @@ CATEGORICAL_COLUMNS = ("region", "category", "sub_category", "segment", "ship_mo
 DATE_FORMAT = "d/M/yyyy"  # accepts one- and two-digit days and months
 
 
-def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
-    """IO-1 + PF-1: the CSV with the reference header, renamed to snake case.
-    Postal codes stay text, so "05401" keeps its leading zero."""
-    df = spark.read.schema(CSV_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst, _ in CSV_COLUMNS])
+def text_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Text columns in the order of the file's own header, and the column for
+    corrupt lines.  A missing column is an error, an extra one is read over."""
+    names = csv_options(spark.read).csv(path).columns
+    missing = [c for c in CSV_NAMES if c not in names]
+    if missing:
+        raise ValueError(f"the file has no column {', '.join(missing)}")
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
 
 
-def parse_dates(df: DataFrame, cols=("order_date", "ship_date")) -> DataFrame:
-    """IO-2: ``dd/mm/yyyy`` text to DATE; an unparseable value becomes NULL."""
-    return df.withColumns({c: F.try_to_date(F.col(c), DATE_FORMAT) for c in cols})
+def csv_options(reader, multi_line: bool = False):
+    """RFC 4180: header, doubled quotes; ``multi_line`` for quoted newlines
+    (then a file is one task)."""
+    return (reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE").option("columnPruning", False))  # counts a line's fields
 
 
-def date_rejects(raw_text: DataFrame, cols=("order_date", "ship_date")) -> DataFrame:
-    """Count of non-empty date texts that do not parse, per column (one row)."""
-    return raw_text.agg(*[
-        F.count(F.when(F.col(c).isNotNull() & F.try_to_date(F.col(c), DATE_FORMAT).isNull(),
-                       1)).alias(f"{c}_rejects") for c in cols])
+def by_name(text: DataFrame) -> DataFrame:
+    """PF-1: the reference's columns, by name, in snake case, still text."""
+    return text.select(*[F.col(f"`{src}`").alias(dst) for src, dst, _ in CSV_COLUMNS], CORRUPT)
+
+
+def read_sales_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """IO-1: the raw texts of the file(s).  Every file must have the header
+    of the first one; another order raises instead of shifting columns."""
+    reader = csv_options(spark.read.schema(text_schema(spark, path)), multi_line)
+    return by_name(reader.option("enforceSchema", False)
+                   .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+
+
+def _parsed(dst: str, typ: T.DataType):
+    c = F.trim(F.col(dst))
+    if dst in DATE_COLUMNS:
+        return F.try_to_date(c, DATE_FORMAT)
+    return F.col(dst) if isinstance(typ, T.StringType) else c.try_cast(typ)
+
+
+def typed(text: DataFrame) -> DataFrame:
+    """IO-2: ``dd/mm/yyyy`` dates and numbers; what does not parse is NULL."""
+    return text.select(*[_parsed(dst, typ).alias(dst) for _, dst, typ in CSV_COLUMNS])
+
+
+def rejects(text: DataFrame) -> DataFrame:
+    """One row per value that does not parse, and per corrupt line:
+    row_id (text), column_name, value."""
+    bad = [F.when((F.trim(F.col(dst)) != "") & _parsed(dst, typ).isNull(),
+                  F.struct(F.lit(dst).alias("column_name"), F.col(dst).alias("value")))
+           for _, dst, typ in CSV_COLUMNS if dst in DATE_COLUMNS or not isinstance(typ, T.StringType)]
+    bad.append(F.when(F.col(CORRUPT).isNotNull(),
+                      F.struct(F.lit("*").alias("column_name"), F.col(CORRUPT).alias("value"))))
+    return (text.select("row_id", F.explode(F.filter(F.array(*bad), lambda x: x.isNotNull())).alias("r"))
+            .select("row_id", "r.column_name", "r.value"))
+
+
+def reject_counts(text: DataFrame) -> DataFrame:
+    """Rejected values per column, beside the row count check of the load."""
+    return rejects(text).groupBy("column_name").agg(F.count(F.lit(1)).alias("rejects"))
 
 
 def drop_bad_rows(df: DataFrame, bad_row_ids) -> DataFrame:
@@ -94,7 +137,7 @@ def clean(raw: DataFrame, params: Params) -> DataFrame:
 
 def stage_csv(spark: SparkSession, path: str, params: Params) -> DataFrame:
     """CSV file(s) to the staging frame."""
-    return clean(parse_dates(read_sales_csv(spark, path)), params)
+    return clean(typed(read_sales_text(spark, path)), params)
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -111,4 +154,21 @@ def export_csv(raw: DataFrame, path: str) -> None:
         if dst in ("order_date", "ship_date"):
             c = F.date_format(c, "dd/MM/yyyy")
         out.append(c.cast("string").alias(src))
-    raw.select(*out).write.mode("overwrite").option("header", True).csv(path)
+    raw.select(*out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def export_seeded(raw: DataFrame, path: str) -> str:
+    """The lines as CSV with values that a load must reject or carry, every
+    so many row ids: a bad date, a bad number, a name with quotes and commas,
+    the junk ship mode.  Returns ``path``."""
+    out = []
+    for src, dst, _ in CSV_COLUMNS:
+        c = F.date_format(dst, "dd/MM/yyyy") if dst in DATE_COLUMNS else F.col(dst).cast("string")
+        every = {"order_date": (97, "31/2/2018"), "sales": (101, "N/A"), "ship_mode": (83, "sas")}.get(dst)
+        if every:
+            c = F.when(F.col("row_id") % every[0] == 0, every[1]).otherwise(c)
+        if dst == "product_name":
+            c = F.when(F.col("row_id") % 89 == 0, F.concat(F.lit('A ", " '), c)).otherwise(c)
+        out.append(c.alias(src))
+    raw.select(*out).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return path

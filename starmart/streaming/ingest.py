@@ -2,7 +2,7 @@
 
 The reference reloads its whole CSV each time.  The same cleaning (T-1) can
 run as a file-source stream: each new CSV file in a landing folder is parsed
-with the fixed schema, cleaned, and appended to the staging parquet table;
+by header name, cleaned, and appended to the staging parquet table;
 the stream's checkpoint (in the shared folder) records which files are done,
 so a restarted job neither skips nor repeats a file.  ``availableNow``
 processes what is there and stops, which suits scheduled batch loads.
@@ -19,10 +19,10 @@ from starmart.sources import csv_ingest
 
 def staging_stream(spark: SparkSession, landing: str, params: Params,
                    max_files_per_trigger: int = 100) -> DataFrame:
-    raw = (spark.readStream.schema(csv_ingest.CSV_SCHEMA).option("header", True)
+    raw = (csv_ingest.csv_options(spark.readStream.schema(csv_ingest.text_schema(spark, landing)))
+           .option("enforceSchema", False).option("columnNameOfCorruptRecord", csv_ingest.CORRUPT)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing))
-    typed = raw.select(*[raw[f"`{src}`"].alias(dst) for src, dst, _ in csv_ingest.CSV_COLUMNS])
-    return csv_ingest.clean(csv_ingest.parse_dates(typed), params)
+    return csv_ingest.clean(csv_ingest.typed(csv_ingest.by_name(raw)), params)
 
 
 def start_staging_load(spark: SparkSession, landing: str, target: str, checkpoint: str,

@@ -31,38 +31,46 @@ def blobs(spark):
 COLS = ["a", "b", "c"]
 
 
-def test_kmedoids_single_sample_recovers_blobs(blobs):
+def test_kmedoids_recovers_blobs(blobs):
     df, x, lab = blobs
-    out = kmedoids.kmedoids(df, "id", COLS, 3, sample_size=1000).select("id", "cluster")
-    got = dict(out.collect())
+    med = kmedoids.fit_medoids(df, "id", COLS, 3)
+    for m in med:  # every medoid is a data point
+        assert np.min(np.abs(x - np.array(m)).sum(axis=1)) < 1e-12
+    got = dict(kmedoids.assign(df, COLS, med).select("id", "cluster").collect())
     core = range(117)
     for b in range(3):
-        ids = [i for i in core if lab[i] == b]
-        assert len({got[i] for i in ids}) == 1
+        assert len({got[i] for i in core if lab[i] == b}) == 1
     assert len({got[i] for i in core}) == 3
 
 
-def test_kmedoids_clara_samples(blobs):
-    df, x, lab = blobs
-    med = kmedoids.fit_medoids(df, "id", COLS, 3, samples=4, sample_size=60)
-    assert len(med) == 3
-    # every medoid is a data point and the three blobs get one medoid each
-    for m in med:
-        assert np.min(np.abs(x - np.array(m)).sum(axis=1)) < 1e-12
-    near = sorted(int(np.argmin(((np.array(m) - np.array([[0, 0, 0], [8, 8, 0], [0, 8, 8]])) ** 2)
-                                .sum(axis=1))) for m in med)
-    assert near == [0, 1, 2]
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_kmedoids_cost_against_exhaustive_search(spark, seed):
+    """Within 5 % of the best pair of rows, without any structure to find."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(150, 2))
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    best = min(np.minimum(d[:, i], d[:, j]).sum() for i in range(150) for j in range(i + 1, 150))
+    df = spark.createDataFrame([(f"id{i}", *map(float, v)) for i, v in enumerate(x)], "id string, a double, b double")
+    med = kmedoids.fit_medoids(df, "id", ["a", "b"], 2)
+    assert kmedoids.total_cost(df, ["a", "b"], med) <= 1.05 * best
 
 
-def test_pam_alternate_matches_brute_force_on_tiny_set():
-    rng = np.random.default_rng(1)
-    x = rng.normal(size=(12, 2))
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
-    best = min(((i, j) for i in range(12) for j in range(i + 1, 12)),
-               key=lambda p: d[:, list(p)].min(axis=1).sum())
-    got = kmedoids._pam_alternate(x, 2)
-    # alternate is a local search: its cost is within the brute-force optimum's
-    assert d[:, list(got)].min(axis=1).sum() <= d[:, list(best)].min(axis=1).sum() * 1.25
+def test_kmedoids_with_one_cluster_and_equal_rows(spark):
+    df = spark.createDataFrame([(i, 1.0, 2.0) for i in range(20)], "id long, a double, b double")
+    assert kmedoids.fit_medoids(df, "id", ["a", "b"], 1) == [[1.0, 2.0]]
+    assert {r.cluster for r in kmedoids.kmedoids(df, "id", ["a", "b"], 2).collect()} == {0}
+
+
+def test_stratified_split_is_exact_per_class(spark):
+    from starmart.plans.analytics import stratified_split
+
+    df = spark.createDataFrame([(f"c{i}", int(i % 7 == 0)) for i in range(403)], "customer_id string, churn int")
+    for parts in (1, 3):
+        out = stratified_split(df, num_partitions=parts).groupBy("churn", "split").count().collect()
+        got = {(r.churn, r["split"]): r["count"] for r in out}
+        n1 = sum(i % 7 == 0 for i in range(403))
+        assert got[1, "test"] == round(0.2 * n1) and got[0, "test"] == round(0.2 * (403 - n1))
+        assert sum(got.values()) == 403
 
 
 def test_isolation_forest_ranks_planted_outliers_first(blobs):

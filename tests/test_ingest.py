@@ -1,7 +1,10 @@
 """CSV ingestion and cleaning (T-1) on a dirty file."""
 
+import csv
 import datetime as dt
 
+import pytest
+
 from starmart.params import Params
 from starmart.sources import csv_ingest
 
@@ -32,8 +35,47 @@ def test_stage_csv(spark, tmp_path):
     assert rows[4].postal_code == "05401"
     assert rows[3].order_date is None  # impossible date -> NULL, counted below
     assert str(rows[4].discount) == "0.45"
-    text = csv_ingest.read_sales_csv(spark, str(path))
-    rej = csv_ingest.date_rejects(text).first()
-    assert (rej.order_date_rejects, rej.ship_date_rejects) == (1, 0)
+    text = csv_ingest.read_sales_text(spark, str(path))
+    assert {r.column_name: r.rejects for r in csv_ingest.reject_counts(text).collect()} == {"order_date": 1}
     assert sorted(r.ship_mode for r in csv_ingest.distinct_values(staged, "ship_mode").collect()) \
         == ["First Class", "Standard Class", "sas"]
+
+
+def _write(path, header, rows):
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(header)
+        w.writerows(rows)
+
+
+def test_rfc4180_file_with_swapped_columns_and_bad_values(spark, tmp_path):
+    """Written by Python's csv module: doubled quotes, commas, columns in
+    another order, a bad date, a bad number, a short line."""
+    names = HEADER.split(",")
+    rows = [dict(zip(names, ln.split(","))) for ln in LINES]
+    rows[1]["Product Name"] = 'Acme "Slim" Table, 3" Oak'
+    rows[2]["Sales"] = "N/A"
+    swapped = [*reversed(names), "Extra"]
+    path = tmp_path / "swapped.csv"
+    _write(path, swapped, [[r.get(n, "x") for n in swapped] for r in rows] + [["9.9", "0.1"]])
+    text = csv_ingest.read_sales_text(spark, str(path))
+    staged = {r.row_id: r for r in csv_ingest.clean(csv_ingest.typed(text), Params()).collect()}
+    assert staged[2].product_name == 'Acme "Slim" Table, 3" Oak'
+    assert (staged[2].state, staged[2].region, str(staged[2].sales)) == ("Vermont", "East", "14.6200")
+    assert staged[3].sales is None and staged[3].order_date is None
+    got = sorted((r.row_id or "", r.column_name, r.value) for r in csv_ingest.rejects(text).collect())
+    assert got == [("", "*", "9.9,0.1"), ("3", "order_date", "31/02/2021"), ("3", "sales", "N/A")]
+
+
+def test_quoted_newlines(spark, tmp_path):
+    names = HEADER.split(",")
+    row = dict(zip(names, LINES[1].split(","))) | {"Product Name": "two\nlines"}
+    _write(tmp_path / "n.csv", names, [[row[n] for n in names]])
+    text = csv_ingest.read_sales_text(spark, str(tmp_path / "n.csv"), multi_line=True)
+    assert [r.product_name for r in csv_ingest.typed(text).collect()] == ["two\nlines"]
+
+
+def test_missing_column_is_an_error(spark, tmp_path):
+    _write(tmp_path / "m.csv", HEADER.split(",")[1:], [])
+    with pytest.raises(ValueError, match="Row ID"):
+        csv_ingest.read_sales_text(spark, str(tmp_path / "m.csv"))

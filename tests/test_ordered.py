@@ -1,5 +1,5 @@
-"""Two-path equality: the distributed ordering operators against Spark's
-single-partition windows, on data with heavy ties and a hot value."""
+"""The distributed ordering operators against Spark's single-partition
+windows, on data with heavy ties and a hot value."""
 
 import numpy as np
 import pytest
@@ -16,16 +16,6 @@ from starmart.operators.ordered import (
 )
 
 
-@pytest.fixture(autouse=True, params=["distributed", "local"])
-def path(request, spark):
-    """Every test runs on both paths: the distributed one (limit 0) and the
-    size-checked single-window one."""
-    spark.conf.set("starmart.ordered.localRows", "0" if request.param == "distributed" else
-                   "1000000")
-    yield request.param
-    spark.conf.unset("starmart.ordered.localRows")
-
-
 @pytest.fixture(scope="module")
 def skewed(spark):
     rng = np.random.default_rng(7)
@@ -79,6 +69,31 @@ def test_rank_null_values_first_when_descending(spark):
     assert sorted((r.id, r.r) for r in out.collect()) == [(1, 1), (2, 2), (3, 2), (4, 4)]
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_rank_of_a_run_over_many_partitions(spark, parts):
+    """One value and one group span whole range partitions; NaN and NULL too."""
+    rows = [(i, float("nan") if i % 10 == 0 else None if i % 11 == 0 else 5.0 if i % 4 else float(i % 3),
+             "hot" if i % 5 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, v double, g string")
+    for keys in ([], ["g"]):
+        ours = with_rank(df, ["v"], [F.col("v").desc_nulls_first()], [F.col("id")], "r", keys, parts)
+        w = (Window.partitionBy(*keys) if keys else Window).orderBy(F.col("v").desc_nulls_first())
+        ref = {r.id: r.x for r in df.withColumn("x", F.rank().over(w)).collect()}
+        assert {r.id: r.r for r in ours.collect()} == ref
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+@pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "bigint"])
+def test_running_sums_keep_their_type(spark, parts, kind):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 7 != 0, (F.col("id") % 13 - 6) * F.lit(0.75)).cast(kind).alias("v"))
+    ours, total = with_running_sums(df, [F.col("id").asc()], {"cum": F.col("v")}, parts)
+    w = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ref = df.withColumn("ref", F.sum("v").over(w))
+    assert ours.schema["cum"].dataType == ref.schema["ref"].dataType
+    assert ours.join(ref, "id").where(~F.col("cum").eqNullSafe(F.col("ref"))).count() == 0
+    assert total["cum"] == df.agg(F.sum("v")).first()[0]
+
+
 def test_running_sums(skewed):
     order = [F.col("v").asc(), F.col("id").asc()]
     ours, tot = with_running_sums(skewed, order, {"cum": F.col("v")}, num_partitions=5)
@@ -106,13 +121,11 @@ def test_grouped_quantiles_match_numpy(skewed):
         assert [got[g].a, got[g].b, got[g].c] == pytest.approx(list(exp), abs=1e-12)
 
 
-def test_hot_value_is_spread_over_partitions(skewed, path):
+def test_hot_value_is_spread_over_partitions(skewed):
     """A third of the rows share one value; ordering ends in the unique id,
     so the range layout still splits them evenly (no straggler task)."""
     from starmart.operators.ordered import _PID, _range_layout
 
-    if path == "local":
-        pytest.skip("layout only exists on the distributed path")
     laid = _range_layout(skewed, [F.col("v").asc(), F.col("id").asc()], 8)
     sizes = [r["count"] for r in laid.groupBy(_PID).count().collect()]
     assert sum(sizes) == 3000 and len(sizes) == 8

@@ -152,26 +152,15 @@ def test_invariants_daily_monthly_executive(make_staging):
     assert ex.total_number_customers == 5 and ex.active_customers + 0 <= 5
 
 
-def test_broadcast_only_behind_a_size_check(spark):
-    """Under the row bound the side is broadcast; above it the join stays a
-    shuffle join (automatic broadcasting is switched off to see the choice)."""
-    import contextlib
-    import io
-
-    from starmart.operators.joins import broadcast_if_small
-
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        def plan(side):
-            buf = io.StringIO()
-            with contextlib.redirect_stdout(buf):
-                big.join(side, "k").explain()
-            return buf.getvalue()
-
-        assert "BroadcastHashJoin" in plan(broadcast_if_small(small, max_rows=10))
-        assert "BroadcastHashJoin" not in plan(broadcast_if_small(small, max_rows=5))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+def test_each_dimension_is_computed_once(spark, make_staging):
+    """The fact is joined from written dimensions, not from their plans."""
+    rows = [line(i, 10 + i, D(2021, 1, 1 + i), customer_id=i, product_id=i) for i in range(1, 6)]
+    star = build_star(make_staging(rows), P)
+    for d in (star.dim_customer, star.dim_product, star.dim_date, star.dim_ship, star.fact):
+        assert d.inputFiles() and "Join" not in d._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sales_key_order_is_total_with_two_names(spark, make_staging):
+    rows = [line(1, 10, D(2021, 1, 1), product_name="A"), line(2, 11, D(2021, 1, 2), product_name="B")]
+    fact = build_star(make_staging(rows), P).fact.orderBy("sales_key").collect()
+    assert [(f.sales_key, f.row_id, f.product_key) for f in fact] == [(1, 1, 1), (2, 1, 2), (3, 2, 1), (4, 2, 2)]
