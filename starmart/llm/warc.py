@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from starmart.llm.common import write_table
 from starmart.llm.joins import join_counted
 
-BUNDLE_BYTES = 8 << 20  # of payload per bundle, about
+BUNDLE_BYTES = 4 << 20  # of payload per bundle, about
+READ_BYTES = 1 << 20  # of payload handed on at a time
 FRAME_BYTES = 128 << 10  # of records per frame, at least one record
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -182,7 +183,7 @@ def read(archives: DataFrame, only: DataFrame | None = None) -> DataFrame:
         for b in batches:
             for data, records in zip(b.column(0), b.column(1)):
                 blob = memoryview(data.as_buffer())
-                places, out, current, raw = frames(blob), [], -1, b""
+                places, out, held, current, raw = frames(blob), [], 0, -1, b""
                 for r in sorted(records.as_py(), key=lambda r: (r["frame"], r["offset"])):
                     if r["frame"] != current:
                         current = r["frame"]
@@ -198,6 +199,10 @@ def read(archives: DataFrame, only: DataFrame | None = None) -> DataFrame:
                                 "refers_to": int(refers) if refers else None, "payload_digest": digest,
                                 "payload_bytes": len(payload) if whole else int(head["http:Content-Length"]),
                                 "payload": payload if whole else None})
+                    held += len(payload)
+                    if held >= READ_BYTES:
+                        yield pa.RecordBatch.from_pylist(out, schema=_READ_SCHEMA)
+                        out, held = [], 0
                 yield pa.RecordBatch.from_pylist(out, schema=_READ_SCHEMA)
 
     return archives.select("data", "records").mapInArrow(run, _READ)
