@@ -32,7 +32,7 @@ FIT_ROWS = 20_000
 SIZES = (3, 4, 5, 6)
 BITS = 20  # of hashed n-grams
 CHUNK = 1 << 14  # n-grams per counting group
-MIN_Z, MAX_FEATURES = 4.0, 1 << 15
+MIN_Z, MAX_FEATURES = 4.0, 1 << 12
 _STEP = U(0x9E3779B97F4A7C15)
 _BLANK = re.compile(r"\s+")
 _SLICE = 1 << 20  # characters handled at a time
@@ -162,10 +162,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
                 yield pa.RecordBatch.from_arrays(
                     [b.column(1).slice(i, j - i), pa.array([x.tobytes() for x in own], pa.binary())], ["y", "f"])
 
-    rows = sample.select("text", "y").mapInArrow(features, "y int, f binary").collect()
-    y = np.array([x.y for x in rows], float)
-    own = [np.frombuffer(x.f, "<i4") for x in rows]
-    doc, at = np.repeat(np.arange(len(rows)), [len(x) for x in own]), np.concatenate(own)
+    rows = sample.select("text", "y").mapInArrow(features, "y int, f binary").toArrow()
+    y = rows["y"].to_numpy().astype(float)
+    blobs = rows["f"].to_pylist()
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), [len(x) // 4 for x in blobs])
+    at = np.frombuffer(b"".join(blobs), "<i4")
+    del rows, blobs
     coef, bias = _logistic(doc, at, r, y)
     return Model(feature, r * coef, bias)
 
