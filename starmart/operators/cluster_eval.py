@@ -1,8 +1,8 @@
 """Cluster-quality measures and cluster profiles (ML-12 ... ML-16).
 
-Everything is O(n * k): per-cluster sums (k rows, k a parameter) reach the
-points through a join with that k-row table or as one literal array of k
-structs, never through pairs of points.
+Everything is O(n * k): per-cluster sums reach the points through a join with
+that k-row table or as one array of k structs from a scalar subquery, never
+through pairs of points.
 Feature columns are plain DOUBLE columns.
 """
 
@@ -49,18 +49,10 @@ def calinski_harabasz(df: DataFrame, label: str, cols: Sequence[str]) -> DataFra
 
 
 def _cluster_array(stats: DataFrame, fields: Sequence[str]) -> Column:
-    """The k rows of a per-cluster table as one literal array of structs.
-
-    k is the number of clusters, a parameter: this is the model-sized
-    broadcast every k-means ``predict`` makes, never data-sized.
-    """
-    def lit(v):
-        if isinstance(v, (list, tuple)):
-            return F.array(*[F.lit(float(x)) for x in v])
-        return F.lit(v)
-
-    rows = stats.select(*fields).collect()
-    return F.array(*[F.struct(*[lit(r[f]).alias(f) for f in fields]) for r in rows])
+    """The rows of a per-cluster table as one array of structs: a scalar
+    subquery, so it stays off the driver (every point is held against every
+    cluster, as in any k-means ``predict``)."""
+    return stats.select(F.sort_array(F.collect_list(F.struct(*fields)))).scalar()
 
 
 def davies_bouldin(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
@@ -72,8 +64,8 @@ def davies_bouldin(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     scatter = df.join(cen, label).groupBy(label).agg(F.avg(dist).alias("s"))
     cs = cen.join(scatter, label).select(
         F.col(label).alias("c"), "s", F.array(*[F.col(f"m_{c}") for c in cols]).alias("m"))
-    others = _cluster_array(cs, ["c", "s", "m"])
-    own_m = F.col("m")
+    cs = cs.withColumn("__all", _cluster_array(cs, ["c", "s", "m"]))
+    others, own_m = F.col("__all"), F.col("m")
 
     def ratio(e):
         d = F.sqrt(F.aggregate(F.zip_with(own_m, e["m"], lambda p, q: (p - q) * (p - q)),
@@ -94,7 +86,8 @@ def silhouette_squared(df: DataFrame, label: str, cols: Sequence[str]) -> DataFr
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(c) for c in cols]).alias("s"),
         F.sum(_sq_norm(cols)).alias("q"))
-    arr = _cluster_array(stats.withColumnRenamed(label, "c"), ["c", "n", "q", "s"])
+    df = df.withColumn("__all", _cluster_array(stats.withColumnRenamed(label, "c"), ["c", "n", "q", "s"]))
+    arr = F.col("__all")
     x = F.array(*[F.col(c) for c in cols])
     x2 = _sq_norm(cols)
 
@@ -137,64 +130,11 @@ def segment_mix(df: DataFrame, label: str, segment: str = "segment") -> DataFram
 
 
 def all_scores(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """Silhouette (squared Euclidean), Calinski-Harabasz and Davies-Bouldin
-    in two passes: the k cluster summaries (collected, k a parameter), then
-    one grouped pass over the points.  One row."""
+    """Silhouette (squared Euclidean), Calinski-Harabasz and Davies-Bouldin of
+    one labelling, one row; all NULL with fewer than two clusters."""
     cols = list(cols)
-    stats = df.groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s_{c}") for c in cols],
-        F.sum(_sq_norm(cols)).alias("q")).collect()
-    k = len(stats)
-    if k < 2:
-        return df.sparkSession.range(1).select(
-            F.lit(None).cast("double").alias("silhouette"),
-            F.lit(None).cast("double").alias("calinski_harabasz"),
-            F.lit(None).cast("double").alias("davies_bouldin"))
-    arr = F.array(*[F.struct(F.lit(r[label]).alias("c"), F.lit(r["n"]).alias("n"),
-                             F.lit(float(r["q"])).alias("q"),
-                             F.array(*[F.lit(float(r[f"s_{c}"])) for c in cols]).alias("s"))
-                    for r in stats])
-    x = F.array(*[F.col(c) for c in cols])
-    x2 = _sq_norm(cols)
-
-    def mean_d(e):
-        dot = F.aggregate(F.zip_with(x, e["s"], lambda p, q: p * q), F.lit(0.0),
-                          lambda acc, v: acc + v)
-        return (e["n"] * x2 - 2 * dot + e["q"]) / e["n"]
-
-    own = F.filter(arr, lambda e: e["c"] == F.col(label))[0]
-    own_n = own["n"]
-    a = mean_d(own) * own_n / F.when(own_n > 1, own_n - 1)
-    b = F.array_min(F.transform(F.filter(arr, lambda e: e["c"] != F.col(label)), mean_d))
-    s = (F.when(own_n <= 1, F.lit(0.0)).when(a < b, 1 - a / b).when(a > b, b / a - 1)
-         .otherwise(F.lit(0.0)))
-    cen = {r[label]: [r[f"s_{c}"] / r["n"] for c in cols] for r in stats}
-    own_m = F.element_at(F.create_map(*[v for lab_, m in cen.items() for v in
-                                        (F.lit(lab_), F.array(*[F.lit(float(z)) for z in m]))]),
-                         F.col(label))
-    d2 = F.aggregate(F.zip_with(x, own_m, lambda p, q: (p - q) * (p - q)), F.lit(0.0),
-                     lambda acc, v: acc + v)
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum(s).alias("s_sum"),
-                                F.sum(d2).alias("w"), F.avg(F.sqrt(d2)).alias("scatter"))
-    n_all = sum(r["n"] for r in stats)
-    g = [sum(r[f"s_{c}"] for r in stats) / n_all for c in cols]
-    between = sum(len_ * sum((m - gg) ** 2 for m, gg in zip(cen[lab_], g))
-                  for lab_, len_ in ((r[label], r["n"]) for r in stats))
-    # Davies-Bouldin: worst (s_i + s_j) / d(c_i, c_j) per cluster, over k literal centroids
-    labs = list(cen)
-    dist = {(i, j): sum((p - q) ** 2 for p, q in zip(cen[i], cen[j])) ** 0.5
-            for i in labs for j in labs if i != j}
-    sc = F.col("scatter")
-    scat = {lab_: F.first(F.when(F.col(label) == lab_, sc), ignorenulls=True) for lab_ in labs}
-    db_terms = []
-    for i in labs:
-        ratios = [(scat[i] + scat[j]) / F.lit(dist[(i, j)]) for j in labs
-                  if j != i and dist[(i, j)] > 0]
-        db_terms.append(F.greatest(*ratios) if len(ratios) > 1 else
-                        (ratios[0] if ratios else F.lit(None).cast("double")))
-    w = F.sum("w")
-    return per.agg(
-        (F.sum("s_sum") / F.sum("n")).alias("silhouette"),
-        F.when(w != 0, (F.lit(between) / (k - 1)) / (w / (F.sum("n") - k)))
-        .otherwise(F.lit(1.0)).alias("calinski_harabasz"),
-        (sum(db_terms, F.lit(0.0)) / k).alias("davies_bouldin"))
+    clusters = df.select(F.countDistinct(label)).scalar()
+    row = calinski_harabasz(df, label, cols).select(
+        silhouette_squared(df, label, cols).scalar().alias("silhouette"), "calinski_harabasz",
+        davies_bouldin(df, label, cols).scalar().alias("davies_bouldin"))
+    return row.select(*[F.when(clusters > 1, F.col(c)).alias(c) for c in row.columns])

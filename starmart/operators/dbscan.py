@@ -35,6 +35,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from starmart.operators.ordered import with_row_number
 from starmart.session import scratch_path, write_table
@@ -80,6 +81,11 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 3.0,
            out: str = "cluster") -> DataFrame:
     spark = df.sparkSession
     cols = list(cols)
+    if not isinstance(df.schema[id_col].dataType, IntegralType):
+        # any orderable id: number it, and cluster by the number
+        numbered, _ = with_row_number(df, [F.col(id_col)], "__dbscan_number")
+        done = dbscan(write_table(numbered, "dbscan_ids"), "__dbscan_number", cols, eps, min_samples, anchor_cap, batch, out)
+        return done.drop("__dbscan_number")
     eps2 = float(eps) ** 2
     pts = write_table(df.select(F.col(id_col).cast("long").alias("id"),
                                 *[F.col(c).cast("double").alias(c) for c in cols]), "dbscan_pts")

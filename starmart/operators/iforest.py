@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.ordered import exact_quantiles
+from starmart.session import write_table
 
 EULER = 0.5772156649015329
 
@@ -127,7 +128,8 @@ def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], contaminat
     """``df`` plus ``score`` and ``anomaly`` (-1 for the most isolated
     ``contamination`` share, else 1)."""
     forest, psi = fit_forest(df, id_col, cols, n_trees, max_samples, seed)
-    scored = score(df, cols, forest, psi)
+    # written once: the cut and the result read it, the trees run once per row
+    scored = write_table(score(df, cols, forest, psi), "iforest")
     cut = exact_quantiles(scored, "score", [contamination], ["cut"],
                           num_partitions).select("cut").scalar()
     return scored.withColumn("anomaly", F.when(F.col("score") < cut, -1).otherwise(1))

@@ -1,6 +1,8 @@
 """K-Medoids (ML-10) over all rows, without a sample.
 
-Start: k-means|| centres, each replaced by the nearest row.  A round then
+Start: greedily, the row that lowers the summed distance of all rows most,
+among ``pool`` rows drawn by hash (a few far outliers cannot hold a start, as
+they can with k-means).  A round then
 
 * assigns every row to its nearest medoid (JVM expressions, k literals),
 * moves each cluster's centre to its geometric median by a few Weiszfeld
@@ -19,8 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,24 +50,26 @@ def _nearest_rows(rows: DataFrame, id_col: str, cols: Sequence[str], points, n:
     return found
 
 
-def _start(df: DataFrame, id_col: str, cols: Sequence[str], k: int, seed: int) -> list[list[float]]:
-    if k == 1:
-        centres = [[float(v) for v in df.agg(*[F.avg(c) for c in cols]).first()]]
-    else:
-        vec = VectorAssembler(inputCols=list(cols), outputCol="__vec").transform(df.select(*cols))
-        centres = [list(map(float, c)) for c in
-                   KMeans(k=k, seed=seed, featuresCol="__vec", maxIter=5).fit(vec).clusterCenters()]
-    placed = assign(df, cols, centres, _CLUSTER)
-    found = _nearest_rows(placed, id_col, cols, centres, 1)
-    return [found[i][0] for i in sorted(found)]
+def _start(df: DataFrame, id_col: str, cols: Sequence[str], k: int, seed: int, pool: int) -> list[list[float]]:
+    """PAM's greedy build over a bounded pool; every cost is over all rows."""
+    drawn = df.orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), id_col).limit(pool).select(*cols).collect()
+    points = [list(p) for p in dict.fromkeys(tuple(float(v) for v in r) for r in drawn)]
+    chosen: list[list[float]] = []
+    for _ in range(min(k, len(points))):
+        near = [_distance(cols, m) for m in chosen]
+        costs = df.agg(*[F.sum(F.least(_distance(cols, p), *near) if near else _distance(cols, p)).alias(f"p{i}")
+                         for i, p in enumerate(points)]).first()
+        best = min(range(len(points)), key=lambda i: (costs[f"p{i}"], i))
+        chosen.append(points[best])
+    return chosen
 
 
 def fit_medoids(df: DataFrame, id_col: str, cols: Sequence[str], k: int, seed: int = 42,
-                steps: int = 4, shortlist: int = 16, max_iter: int = 20) -> list[list[float]]:
+                steps: int = 4, shortlist: int = 16, pool: int = 64, max_iter: int = 20) -> list[list[float]]:
     """k rows (feature vectors) that are a local optimum of the summed
     distance of all rows to their nearest one."""
     df = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    medoids = _start(df, id_col, cols, k, seed)
+    medoids = _start(df, id_col, cols, k, seed, pool)
     for _ in range(max_iter):
         rows = assign(df, cols, medoids, _CLUSTER)
         centres = [list(m) for m in medoids]

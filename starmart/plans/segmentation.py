@@ -87,33 +87,18 @@ def cluster(df: DataFrame, feats: Sequence[str], method: str, k: int, seed: int
     return METHODS[method](df, k, seed)
 
 
-def labels(df: DataFrame) -> DataFrame:
-    return df.select("customer_id", F.col("cluster").cast("int").alias("cluster"))
-
-
-def sse(df: DataFrame, feats: Sequence[str], label: str = "cluster") -> DataFrame:
-    """Within-cluster sum of squares of labelled rows (one row ``sse``)."""
-    cen = df.groupBy(label).agg(*[F.avg(c).alias(f"m_{c}") for c in feats])
-    # k centroids, k a parameter: a bounded broadcast
-    return df.join(F.broadcast(cen), label).agg(
-        F.sum(sum(((F.col(c) - F.col(f"m_{c}")) ** 2 for c in feats), F.lit(0.0))).alias("sse"))
-
-
 def elbow(df: DataFrame, feats: Sequence[str], ks: Sequence[int] = range(1, 11), seed: int = 42
           ) -> DataFrame:
     """ML-7: SSE for each k.  k = 1 is ``sum n * var_pop`` (KMeans rejects
-    k = 1); for k >= 2 the k-means labels' within sum of squares."""
-    parts = []
+    k = 1); for k >= 2 the training cost of the fit, without another pass."""
+    rows = []
     for k in ks:
         if k == 1:
-            part = df.agg(sum((F.count(c) * F.var_pop(c) for c in feats), F.lit(0.0)).alias("sse"))
+            cost = df.agg(sum((F.count(c) * F.var_pop(c) for c in feats), F.lit(0.0))).first()[0]
         else:
-            part = sse(kmeans(df, k, seed), feats)
-        parts.append(part.select(F.lit(k).alias("k"), "sse"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            cost = KMeans(k=k, seed=seed, featuresCol="features").fit(df).summary.trainingCost
+        rows.append((int(k), float(cost)))
+    return df.sparkSession.createDataFrame(rows, "k int, sse double")
 
 
 def pca2(df: DataFrame, feats: Sequence[str]) -> DataFrame:
@@ -144,4 +129,10 @@ def final_segments(df: DataFrame, labels: Sequence[str] = FINAL_LABELS) -> DataF
 def final_segmentation(star: Star, params: Params, seed: int = 42) -> DataFrame:
     """The reference's choice: K-Medoids, k = 2, reduced features."""
     df, feats = features_frame(star, params, "reduced")
-    return final_segments(kmedoids(df, feats, 2, seed))
+
+    def build():
+        return kmedoids(df, feats, 2, seed).withColumn("cluster", F.col("cluster").cast("int"))
+
+    # the labels of the last pass, fitted once
+    last = f"labels_kmedoids_{len(PASSES) - 1}"
+    return final_segments(star.tables(last, build) if star.tables is not None else build())

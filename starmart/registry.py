@@ -3,6 +3,7 @@ DuckDB oracle string that must give the same rows."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from starmart.plans import analytics, marts, reports, segmentation, star
 from starmart.plans import churn as churn_plan
 from starmart.plans.warehouse import fixture_raw, fixture_star, memo
 from starmart.session import scratch_path, ship_package
-from starmart.sources import csv_ingest
+from starmart.sources import catalog, csv_ingest
 from starmart.streaming import ingest as stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,8 +347,13 @@ def q_elbow(spark, sf_dir):
 
 @register("pca")
 def q_pca(spark, sf_dir):
-    df, feats = segmentation.features_frame(_star(spark, sf_dir), P, "full")
-    return segmentation.pca2(df, feats)
+    """The first two components of the full and of the reduced features."""
+    out = None
+    for fs in ("full", "reduced"):
+        df, feats = segmentation.features_frame(_star(spark, sf_dir), P, fs)
+        part = segmentation.pca2(df, feats).select(F.lit(fs).alias("features"), "customer_id", "pc1", "pc2")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 METHOD_NAMES = ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan")
@@ -386,6 +392,21 @@ def q_cluster_profiles(spark, sf_dir):
     return out
 
 
+@register("cluster_segment_mix")
+def q_cluster_segment_mix(spark, sf_dir):
+    """ML-16 for every method and pass: the share of each customer segment
+    inside each cluster."""
+    out = None
+    for method in METHOD_NAMES:
+        for i in range(len(segmentation.PASSES)):
+            lab, _, k, _ = _labelled(spark, sf_dir, method, i)
+            mix = cluster_eval.segment_mix(lab, "cluster").select(
+                F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
+                "cluster", "segment", "share")
+            out = mix if out is None else out.unionByName(mix)
+    return out
+
+
 @register("isolation_forest")
 def q_isolation_forest(spark, sf_dir):
     ml = _ml(spark, sf_dir)
@@ -413,6 +434,39 @@ def q_churn_model_metrics(spark, sf_dir):
     return classification.confusion(pred).withColumn("roc_auc", auc)
 
 
+@register("churn_class_report")
+def q_churn_class_report(spark, sf_dir):
+    """CH-6b on the held-out split of the trained model."""
+    return classification.class_report(churn_plan.holdout_predictions(_churn_model(spark, sf_dir)))
+
+
+@register("churn_roc_curve")
+def q_churn_roc_curve(spark, sf_dir):
+    """CH-6d on the held-out split of the trained model."""
+    return classification.roc_curve(churn_plan.holdout_predictions(_churn_model(spark, sf_dir)),
+                                    num_partitions=P.order_partitions)
+
+
+@register("churn_features", oracle.REPORTS["churn_features"])
+def q_churn_features(spark, sf_dir):
+    """CH-2: the feature frame of the churn model with label and split."""
+    df, feats = churn_plan.churn_frame(_star(spark, sf_dir), P)
+    return df.select("customer_id", *feats, "churn", "split")
+
+
+@register("catalog_round_trip", oracle.REPORTS["catalog_round_trip"])
+def q_catalog_round_trip(spark, sf_dir):
+    """IO-3, IO-4, IO-5: the monthly mart replace-loaded into a catalog table,
+    twice, and read back with projection and filter."""
+    name = f"starmart_{os.path.basename(scratch_path(spark)).replace('-', '_')}"
+    catalog.create_namespaces(spark, scratch_path(spark, "catalog"), (name,))
+    mart = marts.sales_monthly(_star(spark, sf_dir), P)
+    for _ in range(2):  # the second load replaces the first
+        catalog.replace_table(mart, f"{name}.sales_monthly")
+    return catalog.read_table(spark, f"{name}.sales_monthly", ["year", "month", "total_sales"],
+                              f"year = {P.current_year}")
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     return churn_plan.feature_importance(_churn_model(spark, sf_dir))

@@ -238,3 +238,22 @@ def test_final_segments_are_named_by_rising_sales(spark):
     got = {r.customer_id: (r.final_cluster, r.final_cluster_label)
            for r in final_segments(df).collect()}
     assert got[3] == (0, FINAL_LABELS[0]) and got[1] == (1, FINAL_LABELS[1])
+
+
+def test_dbscan_with_text_ids(spark, blobs):
+    from starmart.operators.dbscan import dbscan
+
+    df, x, _ = blobs
+    df = df.select("id", *COLS)
+    plain = dict(dbscan(df, "id", COLS, eps=1.2, min_samples=5).select("id", "cluster").collect())
+    named = df.withColumn("id", F.concat(F.lit("CG-"), F.lpad(F.col("id").cast("string"), 5, "0")))
+    got = dict(dbscan(named, "id", COLS, eps=1.2, min_samples=5).select("id", "cluster").collect())
+    assert {int(k[3:]): v for k, v in got.items()} == plain
+
+
+def test_segment_mix_shares_sum_to_one(spark):
+    df = spark.createDataFrame([(i, i % 3, ("a", "b")[i % 5 == 0]) for i in range(100)], "id long, cluster int, segment string")
+    total = {}
+    for r in cluster_eval.segment_mix(df, "cluster").collect():
+        total[r.cluster] = total.get(r.cluster, 0) + r.share
+    assert total == pytest.approx({0: 1.0, 1: 1.0, 2: 1.0})

@@ -28,7 +28,8 @@ def test_pipeline_tables(spark, make_staging, tmp_path):
     assert {"staging", "dwh", "mart"} <= names
     counts = {r.table_name: r.rows for r in out["row_count_report"].collect()}
     assert counts["executive_summary"] == 1 and counts["customers"] == 6
-    assert out["fk_check"].first().orphan_rows == 0
+    assert [r.orphan_rows for r in out["fk_check"].collect()] == [0] * 5
+    assert all(r.null_keys == 0 and r.duplicate_keys == 0 for r in out["key_check"].collect())
     # the fact is partitioned by order year / month: a filter prunes partitions
     fact = catalog.read_table(spark, "dwh.fact_sales", ["sales_key", "sales"],
                               "order_year = 2021 AND order_month = 3")
@@ -40,6 +41,22 @@ def test_pipeline_tables(spark, make_staging, tmp_path):
     assert not spark.catalog.tableExists("dwh.fact_sales")
 
 
+def test_pipeline_with_machine_learning_from_csv(spark, make_staging, tmp_path):
+    """CSV with text ids to the ML results; few boosting rounds."""
+    staged = make_staging([
+        line(i, 100 + i // 2, D(2021, 1 + i % 12, 1 + i % 28), customer_id=i % 40, product_id=i % 5,
+             sales=f"{20 + i * 7 % 90}.5", profit=f"{i % 7 - 2}.25", discount="0.2" if i % 4 == 0 else "0",
+             segment=("Consumer", "Corporate")[i % 40 % 2]) for i in range(1, 400)])
+    text = staged.withColumn("customer_id", F.concat(F.lit("CG-"), "customer_id"))
+    csv_ingest.export_csv(text, str(tmp_path / "csv"))
+    out = pipeline.run(spark, csv_ingest.stage_csv(spark, str(tmp_path / "csv"), P), str(tmp_path / "wh"), P,
+                       churn_rounds=3)
+    rows = out["customers_ML_results"].collect()
+    assert rows and all(r.customer_id.startswith("CG-") and 0 <= r.churn_probability <= 1 for r in rows)
+    assert {r.final_cluster_label for r in rows} == {"Occasional Buyers", "Loyal High-Value Customers"}
+    assert sum(r["rows"] for r in out["row_count_report"].collect()) > 0
+
+
 def test_streaming_ingest_is_incremental(spark, make_staging, tmp_path):
     staged = _staging(make_staging)
     landing, target, ck = (str(tmp_path / x) for x in ("landing", "out", "ck"))
