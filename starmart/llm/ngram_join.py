@@ -19,7 +19,7 @@ documents link when 100 * intersection >= percent * union.
 4. Candidates: documents with shared signatures gather under the smallest
    document of their buckets; only pairs of such groups are listed, so a
    group of near copies is one row, not its square.
-5. Verification: group pairs are cut into cells of at most 128 x 128 sets,
+5. Verification: group pairs are cut into cells of at most 256 x 256 sets,
    checked in numpy; a cell returns a spanning forest of its links.
 6. Components of the forests, copies added.
 
@@ -44,7 +44,7 @@ from starmart.llm.joins import join_counted
 
 RARE = 512  # the largest count of a single-token signature
 CLASSES = 32  # of frequent n-grams
-CELL = 128  # sets on a side of a verification cell
+CELL = 256  # sets on a side of a verification cell
 _NO_ID = np.iinfo(np.int64).min
 _SETS = "doc_id long, digest binary, n_shingles long, sigs array<long>, tokens binary"
 
@@ -159,12 +159,21 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
                         .filter("c > 1"), "buckets")
     homes = write_table(join_counted(entry, least, "sig", "c", "doc_id", "inner")
                         .groupBy("doc_id").agg(F.min("home").alias("home")), "homes")
-    parts = write_table(homes.groupBy("home").agg(
-        F.ceil(F.count("*") / F.lit(CELL)).alias("parts"), F.count("*").alias("c")), "parts")
+    # once more over the homes: groups that share buckets gather under one home
+    held = write_table(homes.join(sets, "doc_id").select("home", F.explode("sigs").alias("sig")).distinct(), "held")
+    least = write_table(held.groupBy("sig").agg(F.min("home").alias("top"), F.count("*").alias("c")), "tops")
+    tops = write_table(join_counted(held, least, "sig", "c", "home", "inner").groupBy("home").agg(
+        F.min("top").alias("top"), F.count("*").alias("c")), "top")
+    held = write_table(join_counted(held, tops, "home", "c", "sig", "inner")
+                       .select("sig", F.col("top").alias("home")).distinct(), "shared")
+    sizes = write_table(homes.groupBy("home").agg(F.count("*").alias("n")).join(tops.drop("c"), "home"), "sizes")
+    parts = write_table(sizes.groupBy("top").agg(F.sum("n").alias("c")).select(
+        F.col("top").alias("home"), F.ceil(F.col("c") / F.lit(CELL)).alias("parts"), "c"), "parts")
+    members = join_counted(homes, sizes.withColumnRenamed("n", "c"), "home", "c", "doc_id", "inner")
+    members = members.select("doc_id", F.col("top").alias("home"))
     placed = write_table(
-        join_counted(homes, parts, "home", "c", "doc_id", "inner").join(sets, "doc_id")
-        .select("home", F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part"), "doc_id", "sigs", "tokens"), "placed")
-    held = write_table(placed.select("home", F.explode("sigs").alias("sig")).distinct(), "held")
+        join_counted(members, parts, "home", "c", "doc_id", "inner").join(sets, "doc_id")
+        .select("home", F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part"), "doc_id", "tokens"), "placed")
     pairs = held.alias("x").join(held.alias("y"), "sig").filter("x.home < y.home").select(
         F.col("x.home").alias("h1"), F.col("y.home").alias("h2")).distinct()
     pairs = pairs.union(parts.filter("c > 1").select(F.col("home").alias("h1"), F.col("home").alias("h2")))
@@ -178,7 +187,6 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         F.inline(F.array(F.struct(F.lit(0).alias("side"), F.col("h1").alias("home"), F.col("b1").alias("part")),
                          F.struct(F.when((F.col("h1") < F.col("h2")) | (F.col("b1") < F.col("b2")), 1).alias("side"),
                                   F.col("h2").alias("home"), F.col("b2").alias("part"))))).filter("side IS NOT NULL")
-    placed = placed.select("home", "part", "doc_id", "tokens")
     tasks = max(1, homes.count() // 256)
     rows = ends.join(placed, ["home", "part"]).select(
         F.pmod(F.xxhash64("cell"), F.lit(tasks)).alias("task"), "cell", "side", "doc_id", "tokens")
