@@ -82,12 +82,13 @@ def main() -> None:
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--as-of", default=dt.date.today().isoformat())
     a = ap.parse_args()
-    from starmart.session import get_session
+    from starmart.session import drop_scratch, get_session
 
     spark = get_session()
     params = Params(as_of=dt.date.fromisoformat(a.as_of))
     out = run(spark, csv_ingest.stage_csv(spark, a.csv, params), a.warehouse, params)
     out["row_count_report"].show()
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -201,9 +201,11 @@ def q_chi_square(spark, sf_dir):
     return stats.chi_square_stat(_ml(spark, sf_dir), "segment", "state", digits=6)
 
 
-@register("chi_square_test")
+@register("chi_square_test", oracle.REPORTS["chi_square_test"])
 def q_chi_square_test(spark, sf_dir):
-    return stats.chi_square_test(_ml(spark, sf_dir), "segment", "state")
+    """ST-7 with its p-value; rounded for the engine comparison."""
+    return stats.chi_square_test(_ml(spark, sf_dir), "segment", "state").withColumns(
+        {"statistic": F.round("statistic", 6), "p_value": F.round("p_value", 6)})
 
 
 @register("density_curve", oracle.REPORTS["density_curve"])

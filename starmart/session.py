@@ -61,8 +61,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str = "t") -> str:
     """A fresh folder for a written table, inside the shared checkpoint
     folder of the cluster (never a machine-local temp dir on a cluster)."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """One folder per application, so that a run can drop what it wrote."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/starmart/{name}-{uuid.uuid4().hex}"
+    return f"{base}/starmart/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete the tables this application wrote to the shared folder; call it
+    when nothing reads them any more (at the end of a batch run)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return root.getFileSystem(conf).delete(root, True)
 
 
 def write_table(df: DataFrame, name: str = "t") -> DataFrame:

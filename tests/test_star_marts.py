@@ -164,3 +164,20 @@ def test_sales_key_order_is_total_with_two_names(spark, make_staging):
     rows = [line(1, 10, D(2021, 1, 1), product_name="A"), line(2, 11, D(2021, 1, 2), product_name="B")]
     fact = build_star(make_staging(rows), P).fact.orderBy("sales_key").collect()
     assert [(f.sales_key, f.row_id, f.product_key) for f in fact] == [(1, 1, 1), (2, 1, 2), (3, 2, 1), (4, 2, 2)]
+
+
+def test_scratch_of_a_run_can_be_dropped(spark):
+    """In a folder of its own: other tests' tables stay."""
+    import os
+
+    from starmart import session
+
+    own = session._scratch_root
+    session._scratch_root = lambda s: own(s) + "-drop-test"
+    try:
+        path = session.scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        local = path.removeprefix("file:")
+        assert os.path.isdir(local) and session.drop_scratch(spark) and not os.path.exists(local)
+    finally:
+        session._scratch_root = own
