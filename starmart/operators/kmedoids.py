@@ -28,7 +28,9 @@ _CLUSTER = "__km"
 
 
 def _distance(cols: Sequence[str], point: Sequence[float]) -> Column:
-    return F.sqrt(sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, point)), F.lit(0.0)))
+    # as one SQL text: a shortlist's expressions are many, and each call to the JVM counts
+    parts = [f"(`{c}` - ({float(v)!r}D)) * (`{c}` - ({float(v)!r}D))" for c, v in zip(cols, point)]
+    return F.expr(f"sqrt({' + '.join(parts)})")
 
 
 def _pick(points: Sequence[Sequence[float]], cols: Sequence[str]) -> Column:
