@@ -33,7 +33,7 @@ from starmart.llm.tokens import loaded
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 1 << 20
-QUERY_TERMS = 64
+TERM_BLOCK = 64  # posting lists added at a time
 K1, B = 1.2, 0.75
 _TOKENS = "doc_id long, n long, ids binary, terms binary"
 _PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
@@ -88,7 +88,7 @@ def frequencies(tokens: DataFrame) -> dict[int, int]:
 class Index:
     """BM25 inverted index of one shard."""
 
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float, query_terms: int):
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float, term_block: int = TERM_BLOCK):
         parts = [np.unique(d, return_counts=True) for d in docs]
         n = np.array([len(p[0]) for p in parts])
         term = np.concatenate([p[0] for p in parts]).astype(np.int64)
@@ -97,22 +97,21 @@ class Index:
         length = np.array([len(d) for d in docs])[doc]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
         order = np.argsort(term, kind="stable")
-        self.doc, self.weight, self.size = doc[order], weight[order], len(docs)
+        self.doc, self.weight, self.size, self.block = doc[order], weight[order], len(docs), term_block
         self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
         here = np.diff(self.first)
-        value = np.where(here[term] > 1, weight, 0)  # terms of no other document find nothing
+        finds = here[term] > 1  # terms of no other document find nothing
         ends = np.cumsum(n)
-        self.query = []
-        for a, b in zip(ends - n, ends):
-            best = a + np.argsort(-value[a:b], kind="stable")[:query_terms]
-            self.query.append(term[best[value[best] > 0]])
+        self.query = [term[a:b][finds[a:b]] for a, b in zip(ends - n, ends)]
 
     def scores(self, seed: int) -> np.ndarray:
-        spans = [slice(self.first[t], self.first[t + 1]) for t in self.query[seed]]
-        if not spans:
-            return np.zeros(self.size)
-        return np.bincount(np.concatenate([self.doc[s] for s in spans]),
-                           np.concatenate([self.weight[s] for s in spans]), self.size)
+        """BM25 scores of all documents for all terms of the seed."""
+        total, query = np.zeros(self.size), self.query[seed]
+        for at in range(0, len(query), self.block):
+            spans = [slice(self.first[t], self.first[t + 1]) for t in query[at:at + self.block]]
+            total += np.bincount(np.concatenate([self.doc[s] for s in spans]),
+                                 np.concatenate([self.weight[s] for s in spans]), self.size)
+        return total
 
 
 def arrange(docs: list[np.ndarray], index: Index, window: int) -> Iterator[int]:
@@ -152,7 +151,7 @@ def sequences(total: int, window: int) -> Iterator[int]:
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         shard_tokens: int = SHARD_TOKENS, query_terms: int = QUERY_TERMS) -> DataFrame:
+         shard_tokens: int = SHARD_TOKENS, term_block: int = TERM_BLOCK) -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens, sequence_id, offset and ids
     (little-endian unsigned 32-bit)."""
     tokens = tokenise(pick(docs, id_col, text_col), tokenizer)
@@ -172,7 +171,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         out: list[tuple] = []
         lengths = sequences(sum(map(len, ids)), window)
         sequence, offset, room = key[0].as_py() << 32, 0, next(lengths)
-        for d in arrange(ids, Index(ids, idf, mean, query_terms), window):
+        for d in arrange(ids, Index(ids, idf, mean, term_block), window):
             start = 0
             while start < len(ids[d]):
                 n = min(room - offset, len(ids[d]) - start)

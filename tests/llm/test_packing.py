@@ -93,6 +93,21 @@ def test_bm25_scores_by_definition():
     assert s[1] == pytest.approx(weight(1, 1)) and s[2] == pytest.approx(weight(2, 2))
 
 
+@pytest.mark.parametrize("block", [7, 64])
+def test_bm25_scores_take_all_terms_of_a_seed(block):
+    """A seed of 500 terms; one document shares only its 20 lightest ones."""
+    g = np.random.default_rng(1)
+    docs = [np.arange(500), np.arange(20), np.r_[np.arange(400, 420), 600], g.integers(0, 500, 300), np.arange(700, 900)]
+    idf, mean = np.linspace(0.1, 3, 1000), 200.0
+    s = P.Index(docs, idf, mean, block).scores(0)
+    for d in range(1, len(docs)):
+        shared = np.intersect1d(docs[0], docs[d])
+        tf = np.array([(docs[d] == t).sum() for t in shared])
+        full = idf[shared] * tf * (P.K1 + 1) / (tf + P.K1 * (1 - P.B + P.B * len(docs[d]) / mean))
+        assert s[d] == pytest.approx(full.sum())
+    assert s[1] > 0 and s[4] == 0
+
+
 def test_sequences():
     assert list(P.sequences(2048 * 2 + 1000, 2048)) == [2048, 2048, 512, 256, 128, 64, 32, 8]
     assert list(P.sequences(0, 2048)) == []
