@@ -108,6 +108,31 @@ def test_bm25_scores_take_all_terms_of_a_seed(block):
     assert s[1] > 0 and s[4] == 0
 
 
+def test_shards_hold_what_is_alike(spark, make_docs, prose):
+    """Near copies and documents on one subject meet although many shards
+    could part them; windows stay inside a shard."""
+    g = np.random.default_rng(2)
+    subjects = [[f"{c}{k}" for k in range(60)] for c in ("alpha", "bravo", "carbon", "delta")]
+    texts = [" ".join(g.choice(subjects[i % 4], 80)) for i in range(400)]
+    texts += [texts[i].rsplit(" ", 1)[0] for i in range(0, 400, 4)]  # near copies
+    rows = P.pack(make_docs(texts), PATH, window=256, shard_tokens=20_000).collect()
+    shard = {r.doc_id: r.sequence_id >> 32 for r in rows}
+    assert len(set(shard.values())) >= 4
+    assert np.mean([shard[400 + k] == shard[4 * k] for k in range(100)]) > 0.7
+    kinds = collections.defaultdict(collections.Counter)
+    for i in range(400):
+        kinds[shard[i]][i % 4] += 1
+    assert sum(max(c.values()) for c in kinds.values()) > 0.8 * 400
+
+
+def test_router_deals_copies_out():
+    g = np.random.default_rng(3)
+    x = np.r_[np.repeat(g.normal(size=(1, 8)), 500, 0), g.normal(size=(500, 8))].astype(np.float32)
+    tree = P.Router(x, np.ones(1000, np.int64), 20)
+    size = np.bincount(tree.route(x, g.integers(0, 1 << 62, 1000)), minlength=20)
+    assert size.min() > 0 and size.max() < 250
+
+
 def test_sequences():
     assert list(P.sequences(2048 * 2 + 1000, 2048)) == [2048, 2048, 512, 256, 128, 64, 32, 8]
     assert list(P.sequences(0, 2048)) == []
