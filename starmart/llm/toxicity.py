@@ -4,8 +4,10 @@
 2. Spark counts, per class, in how many texts each hashed n-gram (3 to 6
    characters, lower case, runs of white space as one blank) occurs; the log-count ratio r of
    an n-gram and its standard error give a z-score, and the n-grams with
-   |z| >= ``min_z`` (``max_features`` at most) are the features.
-3. Logistic regression on r times presence, in numpy.
+   |z| >= ``min_z`` are the features, all of them unless ``max_features``
+   is given.
+3. Logistic regression on r times presence, in numpy by blocks of rows; the
+   driver holds four bytes per feature present in a sampled text.
 4. Every whole text is scored in batches.
 
 Nulls and ties: null and empty texts score as texts without features.  Null
@@ -32,10 +34,11 @@ FIT_ROWS = 20_000
 SIZES = (3, 4, 5, 6)
 BITS = 20  # of hashed n-grams
 CHUNK = 1 << 14  # n-grams per counting group
-MIN_Z, MAX_FEATURES = 4.0, 1 << 12
+MIN_Z = 4.0
 _STEP = U(0x9E3779B97F4A7C15)
 _BLANK = re.compile(r"\s+")
 _SLICE = 1 << 20  # characters handled at a time
+_PART = 1 << 20  # present features handled at a time
 
 
 def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -104,7 +107,7 @@ class Model:
         return score
 
 
-def _ratios(sample: DataFrame, ones: int, zeros: int, min_z: float, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def _ratios(sample: DataFrame, ones: int, zeros: int, min_z: float, limit: int | None) -> tuple[np.ndarray, np.ndarray]:
     """The features and their log-count ratios."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,13 +138,14 @@ def _ratios(sample: DataFrame, ones: int, zeros: int, min_z: float, limit: int)
 
     parts = sample.select("text", "y").mapInArrow(count, "chunk long, counts binary")
     rows = parts.groupBy("chunk").applyInArrow(ratio, "gram long, r double, z double")
-    best = rows.orderBy(F.desc("z"), "gram").limit(limit).collect()
-    best.sort(key=lambda r: r.gram)
-    return np.array([r.gram for r in best], np.int64), np.array([r.r for r in best])
+    if limit is not None:
+        rows = rows.orderBy(F.desc("z"), "gram").limit(limit)
+    best = rows.select("gram", "r").toArrow().sort_by("gram")  # 2 ** BITS rows at most
+    return best["gram"].to_numpy().astype(np.int64), best["r"].to_numpy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int = FIT_ROWS,
-        min_z: float = MIN_Z, max_features: int = MAX_FEATURES) -> Model:
+        min_z: float = MIN_Z, max_features: int | None = None) -> Model:
     """Fit on (doc_id, text) and (doc_id, label)."""
     sample = labelled_texts(docs, labels, label, fit_rows)
     size = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -164,23 +168,45 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
 
     rows = sample.select("text", "y").mapInArrow(features, "y int, f binary").toArrow()
     y = rows["y"].to_numpy().astype(float)
-    blobs = rows["f"].to_pylist()
-    doc = np.repeat(np.arange(len(y), dtype=np.int32), [len(x) // 4 for x in blobs])
-    at = np.frombuffer(b"".join(blobs), "<i4")
-    del rows, blobs
-    coef, bias = _logistic(doc, at, r, y)
+    held, size = [], []
+    for c in rows["f"].chunks:  # views of Arrow's memory
+        ends = np.frombuffer(c.buffers()[1], "<i4", len(c) + 1, 4 * c.offset)
+        size.append(np.diff(ends) // 4)
+        held.append(np.frombuffer(c.buffers()[2] or b"", "<i4", (ends[-1] - ends[0]) // 4, ends[0]))
+    coef, bias = _logistic(held, size, r, y)
     return Model(feature, r * coef, bias)
 
 
-def _logistic(doc: np.ndarray, at: np.ndarray, value: np.ndarray, y: np.ndarray, rounds: int = 300,
+def _parts(held: list[np.ndarray], size: list[np.ndarray]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of rows with about ``_PART`` present features: the first row, the
+    features, and how many each row has."""
+    out, row = [], 0
+    for at, n in zip(held, size):
+        ends = np.r_[0, np.cumsum(n, dtype=np.int64)]
+        a = 0
+        while a < len(n):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + _PART, "right")) - 1)
+            out.append((row + a, at[ends[a]:ends[b]], n[a:b]))
+            a = b
+        row += len(n)
+    return out
+
+
+def _logistic(held: list[np.ndarray], size: list[np.ndarray], value: np.ndarray, y: np.ndarray, rounds: int = 300,
               rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on presence times value, by Adam on all rows."""
     w = np.zeros(len(value) + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
+    parts = _parts(held, size)
     for t in range(1, rounds + 1):
-        z = w[-1] + np.bincount(doc, (w[:-1] * value)[at], len(y))
-        err = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y) / len(y)
-        g = np.r_[np.bincount(at, err[doc], len(value)) * value + ridge * w[:-1], err.sum()]
+        own, g = w[:-1] * value, np.zeros_like(w)
+        for first, at, n in parts:
+            doc = np.repeat(np.arange(len(n)), n)
+            z = w[-1] + np.bincount(doc, own[at], len(n))
+            err = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[first:first + len(n)]) / len(y)
+            g[:-1] += np.bincount(at, err[doc], len(value))
+            g[-1] += err.sum()
+        g[:-1] = g[:-1] * value + ridge * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return w[:-1], float(w[-1])

@@ -62,6 +62,24 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
 
 
+def test_toxicity_keeps_n_grams_of_rarer_insults(spark):
+    """A frequent long passage has over 4,096 n-grams of larger z than the
+    rarer insult's; documents with only the insult are still found."""
+    g = random.Random(5)
+    passage = "".join(g.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(2000))
+    rows = []
+    for i in range(900):
+        words = sentence(g, "aa", 20)
+        kind = i % 12  # a half is clean, a third has the passage, a sixth the insult
+        rows.append((i, words + (" " + passage if 6 <= kind < 10 else " zwurbel " + sentence(g, "aa", 3) if kind >= 10 else ""),
+                     int(kind >= 6)))
+    rows = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = T.fit(rows.select("doc_id", "text"), rows.filter("doc_id < 600").select("doc_id", "toxic"))
+    assert len(model.feature) > 4096
+    out = T.score(rows, model).filter("doc_id >= 600").collect()
+    assert all(r.predicted == int(r.doc_id % 12 >= 6) for r in out)
+
+
 def test_toxicity_edges(spark):
     rows = spark.createDataFrame([(1, None, 0), (2, "", 1), (None, "x", 1), (3, "word " * 3000, None), (3, "again", 1)],
                                  "doc_id long, text string, score int")
