@@ -15,6 +15,9 @@
 At a cosine of 0.95 in 64 dimensions, 4 tables of 8 probes miss under one
 pair in a thousand; closer pairs are missed less.
 
+Vectors of different lengths never link: each length has buckets of its own,
+numbered within the length.
+
 Nulls and ties: see ``vectors.usable`` for what takes part; all other rows
 have no links and are their own component.  Rows that repeat an id count once
 per row; a null id has a null component.
@@ -26,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,51 +129,58 @@ def near_dedup(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
                block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``table``."""
     vectors = usable(table, id_col, vector_col)
-    size = vectors.agg(F.count("*"), F.max(F.size("vec"))).first()
-    count, dim = size[0], size[1] or 1
-    d = 1 << max(1, (dim - 1).bit_length())
-    parts = 1
-    while parts < 2 * d and count * 3 > 2 * d * parts * bucket_rows:
-        parts *= 2
-    signs = np.random.default_rng(seed).choice([-1.0, 1.0], size=(tables, 2, 3, d))
+    count = vectors.count()
+
+    def shape(dim: int) -> tuple[int, np.ndarray]:
+        d = 1 << max(1, (dim - 1).bit_length())
+        parts = 1
+        while parts < 2 * d and count * 3 > 2 * d * parts * bucket_rows:
+            parts *= 2
+        return parts, np.random.default_rng(seed).choice([-1.0, 1.0], size=(tables, 2, 3, d))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes: dict[int, tuple[int, np.ndarray]] = {}
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, 1024)
+            lengths = pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
+            for dim, at in ((n, i) for n in np.unique(lengths).tolist() for i in range(0, int((lengths == n).sum()), 1024)):
+                part = b.take(pa.array(np.flatnonzero(lengths == dim)[at:at + 1024]))
+                if dim not in shapes:
+                    shapes[dim] = shape(dim)
+                parts, signs = shapes[dim]
                 x = matrix(part.column(1))
                 scale = np.abs(x).max(1, keepdims=True)
                 x = x / scale
                 x /= np.sqrt((x ** 2).sum(1, keepdims=True))
                 c = buckets(x, signs, parts, probes)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array([v.astype("<f8").tobytes() for v in x], pa.binary()),
+                    [part.column(0), part.column(2), pa.array([dim] * len(x), pa.int64()),
+                     pa.array([v.astype("<f8").tobytes() for v in x], pa.binary()),
                      pa.array([v.astype("<i8").tobytes() for v in c], pa.binary()),
                      pa.array([v[v >= 0].tolist() for v in c], pa.list_(pa.int64()))],
-                    ["vec_id", "row", "vec", "codes", "buckets"])
+                    ["vec_id", "row", "dim", "vec", "codes", "buckets"])
 
     # a row's number only has to tell rows of one written table apart
     numbered = write_table(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
     coded = write_table(numbered.mapInArrow(
-        code, "vec_id long, row long, vec binary, codes binary, buckets array<long>"), "codes")
-    sizes = coded.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
+        code, "vec_id long, row long, dim long, vec binary, codes binary, buckets array<long>"), "codes")
+    sizes = coded.select("dim", F.explode("buckets").alias("bucket")).groupBy("dim", "bucket").agg(
         F.ceil(F.count("*") / F.lit(block)).alias("blocks"), F.count("*").alias("c")).filter("c > 1")
-    # at most tables * 2d * parts rows, and parts is at most 2d
-    entry = coded.select("vec_id", "row", "vec", "codes", F.explode("buckets").alias("bucket")).join(
-        F.broadcast(write_table(sizes, "buckets")), "bucket")
+    # at most tables * 2d * parts rows a length, and parts is at most 2d
+    entry = coded.select("vec_id", "row", "dim", "vec", "codes", F.explode("buckets").alias("bucket")).join(
+        F.broadcast(write_table(sizes, "buckets")), ["dim", "bucket"])
     entry = entry.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    entry = entry.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+    entry = entry.select("dim", "bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
                          F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "vec_id", "row", "vec", "codes")
 
     def verify(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
         rows = part.to_pylist()
-        total, forest = near_links(rows, dim, least) if len(rows) > 1 else ({}, [])
+        total, forest = near_links(rows, key[0].as_py(), least) if len(rows) > 1 else ({}, [])
         return pa.table({"vec_id": pa.array([*total, *[u for u, _ in forest]], pa.int64()),
                          "other": pa.array([None] * len(total) + [v for _, v in forest], pa.int64()),
                          "links": pa.array([*total.values(), *[None] * len(forest)], pa.int64())})
 
-    found = write_table(entry.groupBy("bucket", "a", "b").applyInArrow(verify, "vec_id long, other long, links long"), "found")
+    found = write_table(entry.groupBy("dim", "bucket", "a", "b").applyInArrow(verify, "vec_id long, other long, links long"), "found")
     links = found.filter("links IS NOT NULL").groupBy("vec_id").agg(F.sum("links").alias("n_links"))
     comp = components(found.filter("other IS NOT NULL").select(F.col("vec_id").alias("u"), F.col("other").alias("v")))
     result = (table.select(F.col(id_col).cast("long").alias("vec_id")).join(links, "vec_id", "left")

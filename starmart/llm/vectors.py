@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 
 
 def usable(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vec) of the rows whose vector is not null or zero, holds only
-    finite components and has the table's most frequent length (the smaller
-    one of a tie); rows without an id are left out."""
+    """(vec_id, vec) of the rows whose vector is not null or zero and holds
+    only finite components; rows without an id are left out.  Vectors of
+    different lengths do not compare: callers keep lengths apart."""
     vec = F.col(vector_col)
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")).filter(
+    return table.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")).filter(
         F.col("vec_id").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
         & F.exists("vec", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.filter(F.size("vec") == (sizes[0].d if sizes else 0))
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -13,7 +13,8 @@ factors prune more.  Each (shard, block) pair is one task's work; the index is
 written once; the k best of all shards are the result.
 
 Nulls and ties: see ``vectors.usable`` for what takes part.  Ties go to the
-smaller id.  Repeated rows are candidates each; a query's own id is not.
+smaller id.  Shards and blocks hold vectors of one length, and meet only
+those of the same length.  Repeated rows are candidates each; a query's own id is not.
 """
 
 from __future__ import annotations
@@ -146,7 +147,7 @@ def search(x: np.ndarray, ids: np.ndarray, tree: Tree, q: np.ndarray, own: np.nd
 
 
 def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Written index of ``vectors.usable`` rows, one row per shard."""
+    """Written index of ``vectors.usable`` rows, one row per shard and length."""
     shards = max(1, -(-vectors.count() // shard_rows))
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -161,7 +162,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
                          "tree": pa.array([tree.nodes.astype("<f8").tobytes()], pa.binary())})
 
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard")
-    return write_table(vectors.select(shard, "vec_id", "vec").groupBy("shard").applyInArrow(run, _INDEX), "vp_index")
+    return write_table(vectors.select(shard, F.size("vec").alias("dim"), "vec_id", "vec").groupBy("shard", "dim").applyInArrow(run, _INDEX), "vp_index")
 
 
 def nearest(table: DataFrame, k: int, queries: str, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -172,16 +173,15 @@ def nearest(table: DataFrame, k: int, queries: str, id_col: str = "vec_id", vect
     index = build_index(vectors, shard_rows)
     asked = vectors.filter(queries)
     blocks = max(1, -(-asked.count() // query_rows))
-    shards = index.select("shard")
 
     def block(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
         x = matrix(part["vec"].combine_chunks())
-        return pa.table({"query_ids": pa.array([part["vec_id"].to_numpy().astype("<i8").tobytes()], pa.binary()),
+        return pa.table({"dim": pa.array([x.shape[1]], pa.int64()), "query_ids": pa.array([part["vec_id"].to_numpy().astype("<i8").tobytes()], pa.binary()),
                          "queries": pa.array([x.astype("<f8").tobytes()], pa.binary())})
 
     by = F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(blocks)).alias("block")
-    packed = write_table(asked.select(by, "vec_id", "vec").groupBy("block").applyInArrow(
-        block, "query_ids binary, queries binary"), "queries")
+    packed = write_table(asked.select(by, F.size("vec").alias("dim"), "vec_id", "vec").groupBy("block", "dim").applyInArrow(
+        block, "dim long, query_ids binary, queries binary"), "queries")
     count = index.agg(F.max("shard")).first()[0]
     if count is None:
         return index.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -197,7 +197,7 @@ def nearest(table: DataFrame, k: int, queries: str, id_col: str = "vec_id", vect
                                                  ["query_id", "vec_id", "score"])
 
     cells = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count))))
-    found = cells.join(index, "shard").drop("shard").repartition(
+    found = cells.join(index, ["shard", "dim"]).drop("shard").repartition(
         F.xxhash64("query_ids"), F.xxhash64("ids")).mapInArrow(run, _FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -125,6 +125,26 @@ def test_recall_at_the_threshold():
         assert np.mean(hit) > 0.995
 
 
+def test_two_lengths_are_searched_and_linked_each(spark):
+    """55 % of the vectors have 12 components and 45 % have 6; both sides
+    give what the SQL's condition len(a.e) = len(b.e) does."""
+    x, y = fixture(110), fixture(96, 6, 1)[:90]
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)]
+                                  + [(1000 + i, v.tolist(), 1) for i, v in enumerate(y)], SCHEMA).repartition(3)
+    got = {}
+    for r in nearest(table, 5, "vec_id % 20 = 0", shard_rows=40, query_rows=3).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    links = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in V.near_dedup(table, block=16, bucket_rows=8).collect()}
+    for z, base in ((x, 0), (y, 1000)):
+        for q, want in brute_nearest(z, range(0, len(z), 20), 5).items():
+            assert [(v - base, s) for _, v, s in sorted(got[base + q])] == want
+        degree, label = brute_links(z, 0.95)
+        assert degree.max() > 30
+        assert [links[base + i] for i in range(len(z))] == [
+            (int(n), base + int(c), i == c) for i, (n, c) in enumerate(zip(degree, label))]
+    assert len(got) == 6 + 5
+
+
 def test_hadamard_is_orthogonal():
     h = V.hadamard(np.eye(16))
     assert np.allclose(h @ h.T, np.eye(16))
