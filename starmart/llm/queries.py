@@ -9,13 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import language_id, quality, toxicity, warc
+from starmart.llm import alignment, language_id, quality, toxicity, warc
 from starmart.llm.common import ship_package, table
+from starmart.llm.hard_negatives import mine
 from starmart.llm.mixing import mix
 from starmart.llm.near_vectors import near_dedup
 from starmart.llm.ngram_join import ngram_join
 from starmart.llm.packing import pack
 from starmart.llm.sample import fold
+from starmart.llm.sharding import shuffle_shards
 from starmart.llm.sql import SQL
 from starmart.llm.substring_dedup import dedup_substrings
 from starmart.llm.vp_search import nearest
@@ -122,3 +124,28 @@ def op3_vp_search(spark, sf_dir):
 def op5_near_vectors(spark, sf_dir):
     """Links and components of vectors with a cosine of 0.95 or more."""
     return near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_token_alignment(spark, sf_dir):
+    """Groups and links of two tokenizers' tokens over every document."""
+    aligned = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.path("piece_bpe_32k.model"))
+    rows = aligned.select("key", "doc_id", "n_a", "n_b", "n_groups", "n_links",
+                          F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"))
+    return rows.join(alignment.link_counts(aligned), "key").drop("key")
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Three hard negatives for each of the five positives of every fiftieth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", positives=5, negatives=3, low=50, high=95, label=label)
+
+
+@query
+def op13_shuffle_shards(spark, sf_dir):
+    """All documents in eight shards of equal counts, in a random order."""
+    placed = shuffle_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
+    return placed.select("row.doc_id", "size", F.crc32(F.coalesce("row.text", F.lit(""))).alias("text_crc32"),
+                         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

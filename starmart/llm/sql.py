@@ -105,10 +105,38 @@ SELECT words.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(words.doc_id, c
 FROM words LEFT JOIN size USING (doc_id) LEFT JOIN low ON words.doc_id = low.u
 """
 
+OP12 = """
+WITH vec AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_dot_product(a.e, v.e)::BIGINT AS score
+    FROM vec a JOIN vec v ON a.vec_id <> v.vec_id AND len(a.e) = len(v.e)
+    WHERE a.vec_id % 50 = 0
+),
+positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+negative AS (
+    SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+    FROM positive JOIN scored USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 3
+"""
+
 SQL: dict[str, str] = {
     "op1_warc": OP1,
     "op3_vp_search": OP3,
     "op5_near_vectors": OP5,
     "op6_ngram_join": OP6,
     "op8_substring_dedup": OP8,
+    "op12_hard_negatives": OP12,
 }
