@@ -291,12 +291,18 @@ def mine(table: DataFrame, anchors: str, positives: int, negatives: int, low: in
     cells = shard_rows.withColumn("parcel", F.explode(F.sequence(zero, _by_length(parcels) - 1)))
     key = "dim", "shard", "parcel"
 
-    def meet(side: DataFrame, run, schema: str) -> DataFrame:
+    def meet(side: DataFrame, run, *fields: str) -> DataFrame:
         copies = side.withColumn("shard", F.explode(F.sequence(zero, _by_length(shards) - 1)))
-        return cells.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(run, schema)
 
-    def find_positives(left: pa.Table, right: pa.Table) -> pa.Table:
-        x, a = _Cell(left), _Cell(right)
+        def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not len(left) or not len(right):  # a shard or parcel that no row was dealt to
+                return _columns(**dict.fromkeys(fields, np.zeros(0, np.int64)))
+            return run(_Cell(left), _Cell(right))
+
+        return cells.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(
+            cell, ", ".join(f"{f} long" for f in fields))
+
+    def find_positives(x: _Cell, a: _Cell) -> pa.Table:
         parcel, (x_label, a_label) = a.raw["parcel"], _codes(x.labels, a.labels)
         found = []
         for b in np.unique(a.blocks):
@@ -308,7 +314,7 @@ def mine(table: DataFrame, anchors: str, positives: int, negatives: int, low: in
                                   anchor_id=a.ids[at], positive_id=best.ids, positive_score=best.score))
         return pa.concat_tables(found)
 
-    found = meet(parcel_rows, find_positives, "dim long, parcel long, anchor long, anchor_id long, positive_id long, positive_score long")
+    found = meet(parcel_rows, find_positives, "dim", "parcel", "anchor", "anchor_id", "positive_id", "positive_score")
     order = Window.partitionBy("anchor").orderBy(F.desc("positive_score"), "positive_id")
     targets = write_table(found.withColumn("place", F.row_number().over(order).cast("long"))
                           .filter(F.col("place") <= positives), "targets")
@@ -322,8 +328,7 @@ def mine(table: DataFrame, anchors: str, positives: int, negatives: int, low: in
         pack_targets, "dim long, parcel long, anchor binary, place binary, positive_score binary")
     aimed = write_table(parcel_rows.join(packed, ["dim", "parcel"]), "aimed")
 
-    def find_negatives(left: pa.Table, right: pa.Table) -> pa.Table:
-        x, a = _Cell(left), _Cell(right)
+    def find_negatives(x: _Cell, a: _Cell) -> pa.Table:
         x_label, a_label = _codes(x.labels, a.labels)
         anchor, place, score = (np.frombuffer(a.raw[c], "<i8") for c in ("anchor", "place", "positive_score"))
         by = np.argsort(a.rows)
@@ -340,7 +345,7 @@ def mine(table: DataFrame, anchors: str, positives: int, negatives: int, low: in
             found.append(_columns(anchor=anchor[at], place=place[at], negative_id=best.ids, negative_score=best.score))
         return pa.concat_tables(found)
 
-    mined = meet(aimed, find_negatives, "anchor long, place long, negative_id long, negative_score long")
+    mined = meet(aimed, find_negatives, "anchor", "place", "negative_id", "negative_score")
     order = Window.partitionBy("anchor", "place").orderBy(F.desc("negative_score"), "negative_id")
     mined = mined.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= negatives)
     return mined.join(targets, ["anchor", "place"]).select(
