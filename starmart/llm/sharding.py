@@ -85,7 +85,8 @@ def shuffle_shards(docs: DataFrame, shards: int, seed: int = 1, bucket_bytes: in
     counts = mixed.groupBy("bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     total = counts.agg(F.sum("n")).first()[0] or 0
-    firsts = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    # written, so that the planner knows its size and decides how to join it
+    firsts = write_table(counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "firsts")
     at = F.col("first") + F.col("position")
     # the last shard that begins at or before a position: floor(s * N / n) <= at
     shard = F.expr(f"cast(((first + position + 1) * {shards} - 1) div {max(total, 1)} as int)")
