@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,10 @@ from pyspark.sql import functions as F
 
 from starmart.llm import words as W
 from starmart.llm.common import pick, write_table
+from starmart.llm.exchange import find
 from starmart.session import scratch_path
 
-BLOCK_BYTES = 8 << 20  # text per block; a longer text is a block of its own
+BLOCK_BYTES = 4 << 20  # text per block; a longer text is a block of its own
 TABLE_PARTS = 1 << 20  # distinct parts a worker keeps
 
 _ALIGNED = pa.schema([
@@ -62,25 +64,30 @@ def byte_characters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(other)}}
 
 
-def slices(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
+def slices(ends_a: list[int], ends_b: list[int]) -> np.ndarray:
     """For each end that both lists hold, in order: how many tokens of A and
     of B end there or before."""
     at_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
     at_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
-    return [(at_a[e], at_b[e]) for e in sorted(at_a.keys() & at_b.keys())]
+    common = sorted(at_a.keys() & at_b.keys())
+    return np.array([[at_a[e] for e in common], [at_b[e] for e in common]], np.int64)
 
 
-def links(ends_a: list[int], ends_b: list[int], i: int, i_end: int, j: int, j_end: int) -> Iterator[tuple[int, int]]:
-    """Overlapping tokens of the slice A[i:i_end], B[j:j_end], as indices."""
-    if i_end - i == 1:
-        yield from ((i, k) for k in range(j, j_end))
-    elif j_end - j == 1:
-        yield from ((k, j) for k in range(i, i_end))
-    else:
-        while i < i_end and j < j_end:
-            yield i, j
-            a, b = ends_a[i], ends_b[j]  # equal only at the slice's end
-            i, j = i + (a <= b), j + (b <= a)
+def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slices' overlapping tokens, as indices, and the byte where each
+    overlap ends: the bytes up to an end of either list, from the end before
+    it, are of one token of A and one of B."""
+    ends = np.unique(np.concatenate([ends_a, ends_b]))
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends), ends
+
+
+def digits(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of the numbers below ``size``, with room for a mark
+    after them, and their lengths."""
+    text = [str(i).encode() for i in range(size)]
+    width = max(map(len, text)) + 1
+    table = np.frombuffer(b"".join(t.ljust(width) for t in text), np.uint8).reshape(-1, width)
+    return table, np.array([len(t) for t in text])
 
 
 def cut_parts(raw: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -135,11 +142,14 @@ class Aligner:
             raise ValueError("B must not join words")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.length_a, self.length_b = (np.array([len(x) for x in of]) for of in (self.bytes_a, self.bytes_b))
+        self.digits = digits(max(len(self.bytes_a), len(self.bytes_b)))
         self.lead = len(self.b.encode("x"))  # tokens of the space and letter put before a part
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[int, int] = {}  # part hash -> place in the lists below
+        self.known = np.zeros(0, np.uint64)  # hashes of parts, sorted
+        self.place = np.zeros(0, np.int64)  # and where the parts stand in the lists below
         self.text: list[bytes] = []  # the part's groups as text
         self.counts = np.zeros((1 << 16, 4), np.int32)  # tokens of A and B, groups, links; 0 when its bytes differ
         self.first = np.zeros(1 << 16, np.int64)  # of its links
@@ -147,37 +157,48 @@ class Aligner:
         self.filled = 0
         self.pair_number: dict[int, int] = {}
 
-    def _learn(self, hashes: list[int], parts: list[bytes]) -> None:
+    def _learn(self, parts: list[bytes]) -> None:
+        """Encode and align new parts, all of them end to end."""
         texts = [p.decode() for p in parts]
         ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         ids_b = [x[self.lead:] for x in self.b.encode(["x" + t for t in texts], num_threads=1)]
-        flat: list[int] = []
-        for h, part, a, b in zip(hashes, parts, ids_a, ids_b):
-            k = len(self.text)
-            if k == len(self.first):
-                self.first = np.concatenate([self.first, self.first])
-                self.counts = np.concatenate([self.counts, self.counts])
-            self.number[h] = k
-            self.first[k] = self.filled + len(flat)
-            bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            if b"".join(bytes_a) != part or b"".join(bytes_b) != part:
-                self.text.append(b"")
-                self.counts[k] = 0
-                continue
-            ends_a, ends_b = (np.cumsum([len(x) for x in xs]).tolist() for xs in (bytes_a, bytes_b))
-            i = j = 0
-            groups, begin = [], len(flat)
-            for i_end, j_end in slices(ends_a, ends_b):
-                groups.append(",".join(map(str, a[i:i_end])) + "|" + ",".join(map(str, b[j:j_end])))
-                for x, y in links(ends_a, ends_b, i, i_end, j, j_end):
-                    flat.append(self.pair_number.setdefault(a[x] << 32 | b[y], len(self.pair_number)))
-                i, j = i_end, j_end
-            self.text.append(";".join(groups).encode())
-            self.counts[k] = len(a), len(b), len(groups), len(flat) - begin
-        while self.filled + len(flat) > len(self.linked):
+        for i, part in enumerate(parts):
+            if b"".join([self.bytes_a[t] for t in ids_a[i]]) != part or b"".join([self.bytes_b[t] for t in ids_b[i]]) != part:
+                ids_a[i] = ids_b[i] = []
+        counts = np.zeros((len(parts), 4), np.int32)
+        counts[:, 0], counts[:, 1] = [len(x) for x in ids_a], [len(x) for x in ids_b]
+        a = np.fromiter(chain.from_iterable(ids_a), np.int64)
+        b = np.fromiter(chain.from_iterable(ids_b), np.int64)
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        to = np.cumsum([len(p) if x else 0 for p, x in zip(parts, ids_a)])  # where the parts end
+        cut_a, cut_b = slices(ends_a.tolist(), ends_b.tolist())
+        counts[:, 2] = np.diff(np.searchsorted(ends_a[cut_a - 1], to, "right"), prepend=0)
+        i, j, ends = links(ends_a, ends_b)
+        counts[:, 3] = np.diff(np.searchsorted(ends, to, "right"), prepend=0)
+        pairs, pair = np.unique(a[i] << 32 | b[j], return_inverse=True)
+        numbers = np.array([self.pair_number.setdefault(p, len(self.pair_number)) for p in pairs.tolist()], np.int32)
+        # the groups as text: ids of A, then of B, each with the mark that follows it
+        group_a, group_b = (np.searchsorted(c, np.arange(len(x)), "right") for c, x in ((cut_a, a), (cut_b, b)))
+        place = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        rows = np.concatenate([self.digits[0][a], self.digits[0][b]])
+        size = np.concatenate([self.digits[1][a], self.digits[1][b]])
+        mark = np.full(len(rows), ord(","), np.uint8)
+        mark[cut_a - 1], mark[len(a) + cut_b - 1] = ord("|"), ord(";")
+        rows[np.arange(len(rows)), size] = mark
+        rows, size = rows[place], size[place]
+        blob = rows[np.arange(rows.shape[1]) <= size[:, None]].tobytes()
+        at = np.r_[0, np.cumsum(size + 1)][np.r_[0, np.cumsum(counts[:, 0] + counts[:, 1])]].tolist()
+        self.text += [blob[x:max(x, y - 1)] for x, y in zip(at, at[1:])]
+        k, n, first = len(self.text) - len(parts), len(pair), self.filled
+        while k + len(parts) > len(self.first):
+            self.first = np.concatenate([self.first, self.first])
+            self.counts = np.concatenate([self.counts, self.counts])
+        while first + n > len(self.linked):
             self.linked = np.concatenate([self.linked, self.linked])
-        self.linked[self.filled:self.filled + len(flat)] = flat
-        self.filled += len(flat)
+        self.counts[k:k + len(parts)] = counts
+        self.first[k:k + len(parts)] = first + np.cumsum(counts[:, 3]) - counts[:, 3]
+        self.linked[first:first + n] = numbers[pair] if n else pair
+        self.filled += n
 
     def block(self, raws: list[bytes]) -> dict[str, list | np.ndarray]:
         """Columns for the texts (each with its space before it; b"" for none)
@@ -190,12 +211,16 @@ class Aligner:
         start = cut_parts(raw, (to - size)[size > 0]) if len(raw) else np.zeros(0, np.int64)
         end = np.r_[start[1:], len(raw)] if len(start) else start
         distinct, at, part = np.unique(span_hashes(raw, start, end), return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.number]
-        for k in range(0, len(new), 4096):
-            some = new[k:k + 4096]
-            self._learn([keys[i] for i in some], [raw[start[at[i]]:end[at[i]]].tobytes() for i in some])
-        code = np.fromiter((self.number[h] for h in keys), np.int64, len(keys))[part]
+        new = np.flatnonzero(~find(self.known, distinct)[1])
+        if len(new):
+            places = np.arange(len(self.text), len(self.text) + len(new))
+            for k in range(0, len(new), 4096):
+                some = at[new[k:k + 4096]]
+                self._learn([raw[a:b].tobytes() for a, b in zip(start[some], end[some])])
+            known = np.concatenate([self.known, distinct[new]])
+            order = np.argsort(known, kind="stable")
+            self.known, self.place = known[order], np.concatenate([self.place, places])[order]
+        code = self.place[find(self.known, distinct)[0]][part]
         doc = np.searchsorted(to, start, "right")  # the text that a part belongs to
         good = np.ones(len(raws), bool)
         good[doc[self.counts[code, 0] == 0]] = False
