@@ -15,6 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import write_table
 
 
 def _sq_norm(cols: Sequence[str], prefix: str = "") -> Column:
@@ -121,20 +122,88 @@ def cluster_profile(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame
                                  *[F.avg(c).alias(f"mean_{c}") for c in cols])
 
 
-def segment_mix(df: DataFrame, label: str, segment: str = "segment") -> DataFrame:
-    """ML-16 / AG-14 long form: share of each segment inside each cluster."""
-    counts = df.groupBy(label, segment).agg(F.count(F.lit(1)).alias("c"))
-    tot = counts.groupBy(label).agg(F.sum("c").alias("t"))
+def segment_mix(df: DataFrame, label: str | Sequence[str], segment: str = "segment") -> DataFrame:
+    """ML-16 / AG-14 long form: share of each segment inside each cluster
+    (``label``: the column, or columns, that name a cluster)."""
+    label = [label] if isinstance(label, str) else list(label)
+    counts = df.groupBy(*label, segment).agg(F.count(F.lit(1)).alias("c"))
+    tot = counts.groupBy(*label).agg(F.sum("c").alias("t"))
     return counts.join(tot, label).select(
-        label, segment, (F.col("c").cast("double") / F.col("t")).alias("share"))
+        *label, segment, (F.col("c").cast("double") / F.col("t")).alias("share"))
+
+
+def _sum_array(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _squares(a: Column, b: Column) -> Column:
+    """Squared distance of two arrays."""
+    return _sum_array(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)))
+
+
+def labelling_scores(rows: DataFrame, keys: Sequence[str], label: str, dims: int,
+                     withheld: Column | None = None) -> DataFrame:
+    """ML-12 ... ML-15 of every labelling in ``rows`` (``keys`` name the
+    labelling, ``x`` is the point's array of ``dims`` doubles): silhouette
+    (squared Euclidean), Calinski-Harabasz and Davies-Bouldin, NULL with fewer
+    than two clusters.  Labellings with a cluster for which ``withheld`` holds
+    are left out.
+
+    Two passes over the points, whatever the number of labellings: sizes and
+    sums of all clusters, a written table with a row each; then every point
+    meets the sums of its labelling's clusters.
+    """
+    keys = list(keys)
+    x = F.col("x")
+    stats = rows.groupBy(*keys, label).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(x[i]) for i in range(dims)]).alias("s"),
+        F.sum(_sum_array(F.transform(x, lambda v: v * v))).alias("q"))
+    if withheld is not None:
+        stats = stats.join(stats.where(withheld).select(*keys).distinct(), keys, "left_anti")
+    stats = write_table(stats, "cluster_stats")
+    clusters = stats.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
+        F.col(label).alias("c"), "n", "q", "s"))).alias("all"))
+    points = rows.join(clusters, keys).withColumn("own", F.filter("all", lambda e: e["c"] == F.col(label))[0])
+    x2 = _sum_array(F.transform(x, lambda v: v * v))
+
+    def mean_d(e: Column) -> Column:
+        dot = _sum_array(F.zip_with(x, e["s"], lambda p, q: p * q))
+        return (e["n"] * x2 - 2 * dot + e["q"]) / e["n"]
+
+    own, n = F.col("own"), F.col("own.n")
+    points = points.withColumns({
+        "a": mean_d(own) * n / F.when(n > 1, n - 1),
+        "b": F.array_min(F.transform(F.filter("all", lambda e: e["c"] != F.col(label)), mean_d)),
+        "d2": _squares(x, F.transform(own["s"], lambda v: v / n))})
+    a, b = F.col("a"), F.col("b")
+    s = F.when(n <= 1, F.lit(0.0)).when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(F.lit(0.0))
+    spread = points.groupBy(*keys, label).agg(
+        F.sum(s).alias("sil"), F.sum("d2").alias("w"), F.avg(F.sqrt("d2")).alias("scatter"))
+    parts = stats.join(spread, [*keys, label]).withColumn("m", F.transform("s", lambda v: v / F.col("n")))
+    total = parts.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("sil").alias("sil"), F.sum("w").alias("w"),
+        sum((F.sum(F.col("s")[i] * F.col("m")[i]) for i in range(dims)), F.lit(0.0)).alias("own2"),
+        F.array(*[F.sum(F.col("s")[i]) for i in range(dims)]).alias("s"),
+        F.collect_list(F.struct(F.col(label).alias("c"), "scatter", "m")).alias("all"))
+    k, n, w = F.col("k"), F.col("n"), F.col("w")
+    between = F.col("own2") - _sum_array(F.transform("s", lambda v: v * v)) / n
+
+    def worst(e: Column) -> Column:
+        def ratio(o: Column) -> Column:
+            d = F.sqrt(_squares(e["m"], o["m"]))
+            return F.when(d != 0, (e["scatter"] + o["scatter"]) / d)
+        return F.array_max(F.transform(F.filter("all", lambda o: o["c"] != e["c"]), ratio))
+
+    ratios = F.filter(F.transform("all", worst), lambda v: v.isNotNull())
+    many = k > 1
+    return total.select(
+        *keys, F.when(many, F.col("sil") / n).alias("silhouette"),
+        F.when(many & (w != 0), (between / (k - 1)) / (w / (n - k))).when(many, F.lit(1.0)).alias("calinski_harabasz"),
+        F.when(many & (F.size(ratios) > 0), _sum_array(ratios) / F.size(ratios)).alias("davies_bouldin"))
 
 
 def all_scores(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """Silhouette (squared Euclidean), Calinski-Harabasz and Davies-Bouldin of
     one labelling, one row; all NULL with fewer than two clusters."""
-    cols = list(cols)
-    clusters = df.select(F.countDistinct(label)).scalar()
-    row = calinski_harabasz(df, label, cols).select(
-        silhouette_squared(df, label, cols).scalar().alias("silhouette"), "calinski_harabasz",
-        davies_bouldin(df, label, cols).scalar().alias("davies_bouldin"))
-    return row.select(*[F.when(clusters > 1, F.col(c)).alias(c) for c in row.columns])
+    rows = df.select(F.lit(0).alias("one"), label, F.array(*cols).alias("x"))
+    return labelling_scores(rows, ["one"], label, len(cols)).drop("one")

@@ -1,277 +1,285 @@
 """DBSCAN (ML-11): eps-neighbourhoods with ``<=``, the point itself counted
 (scikit-learn's conventions); noise is -1.
 
-On z-scored features an eps of 3 spans most of the data, so a grid or
-self-join would produce nearly all pairs.  Nothing here materializes pairs:
-every distance test runs inside ``mapInPandas`` against a *bounded* set of
-points shipped to the tasks, and emits counts or ids only.
-
-1. **Anchors**: at most ``anchor_cap`` points, chosen by hash (a top-k).  A
-   point with ``min_samples`` anchors within eps is proven core.
-2. **Exact counts** for the unproven points, in numbered batches of at most
-   ``batch`` points, each counted against all rows (partial counts, summed).
-3. **Links**: every core point joins the core anchors within eps into one
-   set (a union-find over anchor indices per partition; only anchor pairs
-   leave the task).  Core points with no core anchor within eps are promoted
-   to anchors and the pass repeats.
-4. **Merges**: with fewer anchors than points, two components may touch
-   through two non-anchor points.  Components whose bounding boxes are
-   within eps are tested exactly: the smaller one's core points, in batches,
-   against the other's.
-5. **Borders** take the smallest cluster id among their core neighbours
+Rows are numbered along a Z-order curve of their features and packed into
+blocks of ``block`` neighbours on that curve, each with its bounding box.
+Boxes of groups of blocks, then of blocks, tell which pairs of blocks can
+hold neighbours at all; such a pair is one task's work (two blocks in
+memory), inside which boxes of tiles prune once more.  No row reaches the
+driver, and no pair of rows leaves a task.
+
+1. **Counts** inside each block prove most points of dense data to be core.
+   Only pairs of blocks with unproven points are compared, and only those
+   points' counts come back.
+2. **Links**: the core points of a block fall into local components; blocks
+   next to each other on the curve are linked and contracted first
+   (:mod:`components`).  Then only pairs of blocks that still hold different
+   components are compared.  A pair returns a spanning forest.
+3. **Borders** take the smallest cluster id among their core neighbours
    (scikit-learn takes whichever cluster reaches them first).
 
-Cluster ids are numbered by the smallest id of their core points.  With
-``n <= anchor_cap`` every point is an anchor and steps 3-4 are brute force.
-Worst case (sparse data, most points unproven) the work is quadratic, but
-memory stays bounded by ``anchor_cap`` and ``batch``.
+Cluster ids are numbered by the smallest id of their core points.  ``id_col``
+is unique and of any orderable type.  Rows with a null or non-finite feature
+are noise.  Without any structure to prune, the work is quadratic in the
+rows, as for any exact method; the memory of a task stays two blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
+from starmart.operators.components import components
 from starmart.operators.ordered import with_row_number
-from starmart.session import scratch_path, write_table
+from starmart.session import write_table
+
+BLOCK = 4096
+TILE = 256
+GROUP = 64  # blocks whose boxes are held against others' first
+_PACKED = "block long, nums binary, x binary, labels binary, lo array<double>, hi array<double>"
+
+
+def _z_order(cols: Sequence[str], lows: Sequence[float], highs: Sequence[float]) -> Column:
+    """A row's place on the Z-order curve of its first 62 features."""
+    used = list(zip(cols, lows, highs))[:62]
+    bits = max(1, min(16, 62 // len(used)))
+    terms = []
+    for i, (c, lo, hi) in enumerate(used):
+        if hi > lo:
+            level = f"cast((`{c}` - ({lo!r}D)) / ({hi!r}D - ({lo!r}D)) * {(1 << bits) - 1} AS bigint)"
+            terms += [f"shiftleft(shiftright({level}, {b}) & 1L, {b * len(used) + i})" for b in range(bits)]
+    return F.expr(" | ".join(terms) if terms else "0L")
+
+
+def _pack(rows: DataFrame, cols: Sequence[str], label: str, name: str) -> DataFrame:
+    """Written table: a row per block with numbers, features, labels, box."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("num")
+        x = np.column_stack([table[c].to_numpy() for c in cols])
+        return pa.table({
+            "block": [table["block"][0].as_py()], "nums": pa.array([table["num"].to_numpy().astype("<i8").tobytes()], pa.binary()),
+            "x": pa.array([x.astype("<f8").tobytes()], pa.binary()),
+            "labels": pa.array([table["label"].to_numpy().astype("<i8").tobytes()], pa.binary()),
+            "lo": [x.min(0).tolist()], "hi": [x.max(0).tolist()]})
+
+    rows = rows.select("block", "num", F.col(label).cast("long").alias("label"), *cols)
+    return write_table(rows.groupBy("block").applyInArrow(run, _PACKED), name)
+
+
+class _Block:
+    """A packed block's points, in tiles with their boxes."""
+
+    def __init__(self, table: pa.Table, dims: int):
+        r = {c.rpartition("_")[2]: v for c, v in table.to_pylist()[0].items()}  # a pair's sides have a prefix
+        self.nums, self.labels = (np.frombuffer(r[c], "<i8") for c in ("nums", "labels"))
+        self.x = np.frombuffer(r["x"], "<f8").reshape(-1, dims)
+        self.firsts = np.arange(0, len(self.x), TILE)
+        self.lo, self.hi = np.minimum.reduceat(self.x, self.firsts), np.maximum.reduceat(self.x, self.firsts)
+
+    def tiles(self) -> Iterator[slice]:
+        return (slice(i, min(i + TILE, len(self.x))) for i in self.firsts.tolist())
 
-_CHUNK = 256
+    def near(self, x: np.ndarray, eps2: float) -> list[slice]:
+        """Tiles whose box lies within eps of the box of ``x``."""
+        gap = np.maximum(0, np.maximum(self.lo - x.max(0), x.min(0) - self.hi))
+        ok = (gap * gap).sum(1) <= eps2
+        return [t for t, use in zip(self.tiles(), ok) if use]
 
 
-def _within(x: np.ndarray, ref: np.ndarray, eps2: float) -> np.ndarray:
-    """Boolean (len(x), len(ref)): squared distance <= eps^2 (exact
-    differences, not the norm expansion, so boundary pairs are not lost)."""
-    out = np.zeros((len(x), len(ref)), dtype=bool)
-    for i in range(0, len(x), _CHUNK):
-        diff = x[i:i + _CHUNK, None, :] - ref[None, :, :]
-        out[i:i + _CHUNK] = np.einsum("ijk,ijk->ij", diff, diff) <= eps2
+def _within(a: np.ndarray, b: np.ndarray, eps2: float) -> np.ndarray:
+    """Which points of ``a`` and ``b`` lie within eps (plain differences, so
+    that pairs on the border are not lost)."""
+    d2 = np.zeros((len(a), len(b)))
+    for k in range(a.shape[1]):
+        d = a[:, k, None] - b[None, :, k]
+        d2 += d * d
+    return d2 <= eps2
+
+
+def _counts(a: np.ndarray, b: _Block, eps2: float, enough: int) -> np.ndarray:
+    """Neighbours in ``b`` of each point of ``a``; points with enough of them
+    are not counted on."""
+    out = np.zeros(len(a), np.int64)
+    for i in range(0, len(a), TILE):
+        x, c = a[i:i + TILE], out[i:i + TILE]
+        for t in b.near(x, eps2):
+            open_ = np.flatnonzero(c < enough)
+            if not len(open_):
+                break
+            c[open_] += _within(x[open_], b.x[t], eps2).sum(1)
     return out
 
 
-class _UnionFind:
-    def __init__(self, n: int):
-        self.p = list(range(n))
+class _Forest:
+    """Union-find over labels; ``edges`` are the links that joined two trees."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+        self.edges: list[tuple[int, int]] = []
 
     def find(self, a: int) -> int:
-        while self.p[a] != a:
-            self.p[a] = self.p[self.p[a]]
-            a = self.p[a]
+        while self.up.get(a, a) != a:
+            self.up[a] = a = self.up.get(self.up[a], self.up[a])
         return a
 
-    def union(self, a: int, b: int) -> None:
-        ra, rb = self.find(a), self.find(b)
-        if ra != rb:
-            self.p[max(ra, rb)] = min(ra, rb)
-
-
-def _collect_points(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    rows = df.select("id", *cols).collect()
-    ids = np.array([r[0] for r in rows], dtype=np.int64)
-    x = np.array([[r[c] for c in cols] for r in rows], dtype=float).reshape(len(rows), len(cols))
-    return ids, x
-
-
-def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 3.0,
-           min_samples: int = 5, anchor_cap: int = 2000, batch: int = 2000,
-           out: str = "cluster") -> DataFrame:
-    spark = df.sparkSession
-    cols = list(cols)
-    if not isinstance(df.schema[id_col].dataType, IntegralType):
-        # any orderable id: number it, and cluster by the number
-        numbered, _ = with_row_number(df, [F.col(id_col)], "__dbscan_number")
-        done = dbscan(write_table(numbered, "dbscan_ids"), "__dbscan_number", cols, eps, min_samples, anchor_cap, batch, out)
-        return done.drop("__dbscan_number")
-    eps2 = float(eps) ** 2
-    pts = write_table(df.select(F.col(id_col).cast("long").alias("id"),
-                                *[F.col(c).cast("double").alias(c) for c in cols]), "dbscan_pts")
-    n = pts.count()
-    # 1. anchors: a hashed top-k, bounded by anchor_cap
-    anchors = pts.orderBy(F.xxhash64("id"), "id").limit(anchor_cap)
-    a_ids, a_x = _collect_points(anchors, cols)
-    all_anchors = len(a_ids) == n
-
-    def anchor_counts(batches):
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            c = _within(x, a_x, eps2).sum(axis=1) if len(a_x) else np.zeros(len(x), int)
-            yield pd.DataFrame({"id": pdf["id"], "acount": c.astype("int64")})
-
-    counted = pts.mapInPandas(anchor_counts, "id long, acount long")
-    proven = counted.select("id", (F.col("acount") >= min_samples).alias("core"))
-    # 2. exact counts for the unproven, in numbered bounded batches
-    unproven = pts.join(proven.where(~F.col("core")).select("id"), "id")
-    if all_anchors:
-        flags = proven  # the anchor count is the exact neighbour count
-    else:
-        numbered, n_un = with_row_number(unproven, [F.col("id")], "__rn")
-        numbered = write_table(numbered, "dbscan_unproven")
-        found = scratch_path(spark, "dbscan_exact_core")  # per-batch results, appended
-        wrote = False
-        for start in range(0, n_un, batch):
-            b_ids, b_x = _collect_points(
-                numbered.where((F.col("__rn") > start) & (F.col("__rn") <= start + batch)), cols)
-
-            def partial(batches, b_x=b_x):
-                for pdf in batches:
-                    hits = _within(pdf[cols].to_numpy(dtype=float), b_x, eps2).sum(axis=0)
-                    yield pd.DataFrame({"bi": np.arange(len(b_x), dtype="int64"),
-                                        "c": hits.astype("int64")})
-
-            tot = pts.mapInPandas(partial, "bi long, c long").groupBy("bi").agg(
-                F.sum("c").alias("c")).where(F.col("c") >= min_samples)
-            (tot.select((F.col("bi") + start + 1).alias("__rn"))
-             .join(numbered.select("__rn", "id"), "__rn").select("id")
-             .write.mode("append").parquet(found))
-            wrote = True
-        flags = proven.where("core")
-        if wrote:
-            flags = flags.unionByName(spark.read.parquet(found).withColumn("core", F.lit(True)))
-        flags = pts.select("id").join(flags, "id", "left").select(
-            "id", F.coalesce("core", F.lit(False)).alias("core"))
-    flags = write_table(flags, "dbscan_core")
-    cores = pts.join(flags.where("core").select("id"), "id")
-    core_set = set(int(r[0]) for r in flags.where("core").join(anchors.select("id"), "id")
-                   .select("id").collect())
-    ca_ids = np.array([i for i in a_ids if int(i) in core_set], dtype=np.int64)
-    ca_x = a_x[np.isin(a_ids, ca_ids)]
-    if len(ca_ids) == 0 and cores.limit(1).count() == 0:
+    def join(self, a: int, b: int) -> None:
+        x, y = self.find(a), self.find(b)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+            self.edges.append((a, b))
+
+
+def _link(a: _Block, b: _Block, eps2: float) -> _Forest:
+    """A spanning forest of the labels of ``a`` and ``b`` that touch."""
+    forest = _Forest()
+    for s in a.tiles():
+        for t in b.near(a.x[s], eps2):
+            la, lb = (np.array([forest.find(v) for v in labels.tolist()]) for labels in (a.labels[s], b.labels[t]))
+            if la.min() == la.max() == lb.min() == lb.max():
+                continue
+            r, c = np.nonzero(_within(a.x[s], b.x[t], eps2))
+            for u, v in np.unique(np.column_stack([la[r], lb[c]]), axis=0).tolist():
+                forest.join(u, v)
+    return forest
+
+
+def _gap2() -> Column:
+    """Squared distance of the boxes (lo, hi) and (lo2, hi2)."""
+    sides = F.transform(F.arrays_zip("lo", "hi", "lo2", "hi2"), lambda s: F.greatest(
+        F.lit(0.0), s["lo"] - s["hi2"], s["lo2"] - s["hi"]))
+    return F.aggregate(sides, F.lit(0.0), lambda acc, v: acc + v * v)
+
+
+def _near_pairs(packed: DataFrame, dims: int, eps2: float) -> DataFrame:
+    """Written pairs a <= b of blocks whose boxes lie within eps: groups of
+    blocks first, then the blocks of such groups."""
+    boxes = packed.select("block", "lo", "hi", F.expr(f"block div {GROUP}").alias("group"))
+    groups = write_table(boxes.groupBy("group").agg(
+        F.array(*[F.min(F.col("lo")[i]) for i in range(dims)]).alias("lo"),
+        F.array(*[F.max(F.col("hi")[i]) for i in range(dims)]).alias("hi")), "groups")
+    last = groups.agg(F.max("group")).first()[0]
+    other = groups.select(F.col("group").alias("group2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    wide = groups.withColumn("group2", F.explode(F.sequence(F.col("group"), F.lit(last)))).join(other, "group2")
+    wide = wide.where(_gap2() <= eps2).select("group", "group2")
+    other = boxes.select(F.col("block").alias("b"), F.col("group").alias("group2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    pairs = wide.join(boxes, "group").join(other, "group2").where("block <= b").where(_gap2() <= eps2)
+    return write_table(pairs.select(F.col("block").alias("a"), "b"), "block_pairs")
+
+
+def _meet(pairs: DataFrame, left: DataFrame, right: DataFrame, dims: int, run: Callable, schema: str) -> DataFrame:
+    """``run(a, b)`` for every pair whose blocks ``left`` and ``right`` hold."""
+    fields = [f.split() for f in schema.split(", ")]
+
+    def cell(a: pa.Table, b: pa.Table) -> pa.Table:
+        columns = run(_Block(a, dims), _Block(b, dims)) if len(a) and len(b) else [np.zeros(0, np.int64)] * len(fields)
+        return pa.table({name: pa.array(c, pa.int64()) for (name, _), c in zip(fields, columns)})
+
+    def held(side: DataFrame, end: str) -> DataFrame:
+        return side.select(F.col("block").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("nums", "x", "labels")])
+
+    ones = pairs.join(held(left, "a"), "a")
+    others = pairs.select(F.col("a").alias("a2"), F.col("b").alias("b2")).join(held(right, "b2"), "b2")
+    return ones.groupBy("a", "b").cogroup(others.groupBy("a2", "b2")).applyInArrow(cell, schema)
+
+
+def _core_points(points: DataFrame, packed: DataFrame, pairs: DataFrame, cols: Sequence[str], eps2: float,
+                 enough: int) -> DataFrame:
+    """``points`` with ``core``, written."""
+    dims = len(cols)
+
+    def inside(table: pa.Table) -> pa.Table:
+        b = _Block(table, dims)
+        return pa.table({"num": pa.array(b.nums), "own": pa.array(_counts(b.x, b, eps2, enough))})
+
+    own = write_table(packed.groupBy("block").applyInArrow(inside, "num long, own long"), "own_counts")
+    proven = write_table(points.join(own, "num"), "own")
+    open_ = proven.where(F.col("own") < enough)
+    lost = _pack(open_, cols, "own", "unproven")
+
+    def across(a: _Block, b: _Block) -> list[np.ndarray]:
+        found = _counts(a.x, b, eps2, enough)
+        hit = found > 0
+        return [a.nums[hit], found[hit]]
+
+    apart = pairs.where("a < b")
+    both = apart.union(apart.select("b", "a"))
+    both = both.join(lost.select(F.col("block").alias("a")), "a", "left_semi")
+    late = _meet(both, lost, packed, dims, across, "num long, found long").groupBy("num").agg(F.sum("found").alias("found"))
+    core = F.col("own") + F.coalesce("found", F.lit(0)) >= enough
+    return write_table(proven.join(late, "num", "left").select("num", "block", "id", *cols, core.alias("core")), "core")
+
+
+def _core_components(cores: DataFrame, pairs: DataFrame, cols: Sequence[str], eps2: float) -> DataFrame:
+    """(num, block, id, *cols, label) of the core points: the smallest number
+    of their component."""
+    dims = len(cols)
+
+    def local(table: pa.Table) -> pa.Table:
+        b = _Block(table, dims)
+        forest = _link(b, b, eps2)
+        return pa.table({"num": pa.array(b.nums), "label": pa.array([forest.find(v) for v in b.nums.tolist()], pa.int64())})
+
+    def touch(a: _Block, b: _Block) -> list[np.ndarray]:
+        edges = np.array(_link(a, b, eps2).edges, np.int64).reshape(-1, 2)
+        return [edges[:, 0], edges[:, 1]]
+
+    def contracted(labelled: DataFrame, some: DataFrame, packed: DataFrame) -> DataFrame:
+        found = components(_meet(some, packed, packed, dims, touch, "u long, v long"))
+        renamed = found.select(F.col("node").alias("label"), "component")
+        return write_table(labelled.join(renamed, "label", "left").withColumn(
+            "label", F.coalesce("component", "label")).drop("component"), "labelled")
+
+    packed = _pack(cores, cols, "num", "cores")
+    inside = packed.groupBy("block").applyInArrow(local, "num long, label long")
+    labelled = write_table(cores.drop("core").join(inside, "num"), "labelled")
+    labelled = contracted(labelled, pairs.where("a + 1 = b"), _pack(labelled, cols, "label", "cores"))
+    # blocks that hold one and the same component need no comparison
+    held = labelled.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    other = held.select(F.col("block").alias("b"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    mixed = pairs.where("a + 1 < b").join(held.withColumnRenamed("block", "a"), "a").join(other, "b").where(
+        "least(low, low2) < greatest(high, high2)").select("a", "b")
+    return contracted(labelled, mixed, _pack(labelled, cols, "label", "cores"))
+
+
+def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float = 3.0, min_samples: int = 5,
+           block: int = BLOCK, out: str = "cluster") -> DataFrame:
+    names, eps2 = list(cols), float(eps) ** 2
+    cols = [f"x{i}" for i in range(len(names))]
+    points = df.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{n}`").cast("double").alias(c) for n, c in zip(names, cols)])
+    points = points.where(" AND ".join(f"abs({c}) < double('infinity')" for c in cols))
+    ends = points.agg(F.count(F.lit(1)), *[f(c) for f in (F.min, F.max) for c in cols]).first()
+    if not ends[0]:
         return df.withColumn(out, F.lit(-1))
-    # 3. link cores to core anchors; promote orphans until none is left
-    while True:
-        ca_ids_b, ca_x_b = ca_ids, ca_x
-
-        def link(batches, ca_ids_b=ca_ids_b, ca_x_b=ca_x_b):
-            uf = _UnionFind(len(ca_ids_b))
-            firsts = []
-            for pdf in batches:
-                w = _within(pdf[cols].to_numpy(dtype=float), ca_x_b, eps2) \
-                    if len(ca_x_b) else np.zeros((len(pdf), 0), bool)
-                first = np.where(w.any(axis=1), w.argmax(axis=1), -1)
-                rows, js = np.nonzero(w)
-                # every anchor near a core point joins that point's first
-                # anchor; only distinct anchor pairs reach the union-find
-                for code in np.unique(first[rows] * len(ca_ids_b) + js):
-                    uf.union(int(code // len(ca_ids_b)), int(code % len(ca_ids_b)))
-                firsts.append(pd.DataFrame({"id": pdf["id"].to_numpy(), "ai": first,
-                                            "kind": 0}))
-            roots = [(a, uf.find(a)) for a in range(len(ca_ids_b)) if uf.find(a) != a]
-            yield pd.DataFrame({"id": np.array([a for a, _ in roots], dtype="int64"),
-                                "ai": np.array([r for _, r in roots], dtype="int64"),
-                                "kind": 1})
-            for f in firsts:
-                yield f.astype({"id": "int64", "ai": "int64", "kind": "int64"})
-
-        linked = write_table(cores.mapInPandas(link, "id long, ai long, kind long"), "dbscan_link")
-        orphans = linked.where("kind = 0 AND ai = -1")
-        promote = orphans.select("id").orderBy("id").limit(batch)
-        if promote.limit(1).count() == 0:
-            break
-        p_ids, p_x = _collect_points(pts.join(promote, "id"), cols)
-        ca_ids = np.concatenate([ca_ids, p_ids])
-        ca_x = np.vstack([ca_x, p_x]) if len(ca_x) else p_x
-    uf = _UnionFind(len(ca_ids))
-    for r in linked.where("kind = 1").select("id", "ai").distinct().collect():
-        uf.union(int(r[0]), int(r[1]))
-    comp_of_anchor = np.array([uf.find(a) for a in range(len(ca_ids))], dtype=np.int64)
-    # 4. merge components that touch through non-anchor points
-    if not all_anchors:
-        while True:
-            comp = F.element_at(F.array(*[F.lit(int(c)) for c in comp_of_anchor]),
-                                F.col("ai").cast("int") + 1)
-            labelled = linked.where("kind = 0").select("id", comp.alias("comp")) \
-                .join(cores, "id")
-            boxes = labelled.groupBy("comp").agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.min(c).alias(f"lo_{c}") for c in cols],
-                *[F.max(c).alias(f"hi_{c}") for c in cols]).collect()
-            if len(boxes) <= 1:
-                break
-            merged = False
-            for i, bx in enumerate(boxes):
-                for by in boxes[i + 1:]:
-                    gap = sum(max(0.0, by[f"lo_{c}"] - bx[f"hi_{c}"], bx[f"lo_{c}"] - by[f"hi_{c}"])
-                              ** 2 for c in cols)
-                    if gap > eps2:
-                        continue
-                    small, big = (bx, by) if bx["n"] <= by["n"] else (by, bx)
-                    if _touch(labelled, cols, small["comp"], big["comp"], eps2, batch):
-                        uf.union(int(small["comp"]), int(big["comp"]))
-                        merged = True
-                        break
-                if merged:
-                    break
-            if not merged:
-                break
-            comp_of_anchor = np.array([uf.find(a) for a in range(len(ca_ids))], dtype=np.int64)
-    comp = F.element_at(F.array(*[F.lit(int(c)) for c in comp_of_anchor]),
-                        F.col("ai").cast("int") + 1)
-    core_comp = write_table(linked.where("kind = 0").select("id", comp.alias("comp")),
-                            "dbscan_core_comp")
-    # cluster ids by the smallest core id of each component
-    firsts = core_comp.groupBy("comp").agg(F.min("id").alias("first"))
-    numbered, _ = with_row_number(firsts, [F.col("first")], "__cid")
-    core_lab = core_comp.join(numbered.select("comp", (F.col("__cid") - 1).alias("label")), "comp") \
-        .select("id", "label")
-    core_lab = write_table(core_lab, "dbscan_core_label")
-    # 5. borders: smallest cluster among core neighbours, in bounded batches
-    non_core = pts.join(flags.where("NOT core").select("id"), "id")
-    nc_numbered, n_nc = with_row_number(non_core, [F.col("id")], "__rn")
-    nc_numbered = write_table(nc_numbered, "dbscan_noncore")
-    core_pts = pts.join(core_lab, "id")
-    borders = scratch_path(spark, "dbscan_borders")  # per-batch results, appended
-    wrote = False
-    for start in range(0, n_nc, batch):
-        b_ids, b_x = _collect_points(
-            nc_numbered.where((F.col("__rn") > start) & (F.col("__rn") <= start + batch)), cols)
-
-        def nearest_label(batches, b_x=b_x):
-            for pdf in batches:
-                w = _within(pdf[cols].to_numpy(dtype=float), b_x, eps2)
-                lab = pdf["label"].to_numpy()
-                big = np.iinfo(np.int64).max
-                best = np.where(w, lab[:, None], big).min(axis=0) if len(lab) else \
-                    np.full(len(b_x), big)
-                keep = best < big
-                yield pd.DataFrame({"bi": np.flatnonzero(keep).astype("int64"),
-                                    "label": best[keep].astype("int64")})
-
-        got = core_pts.mapInPandas(nearest_label, "bi long, label long").groupBy("bi").agg(
-            F.min("label").alias("label"))
-        (got.select((F.col("bi") + start + 1).alias("__rn"), "label")
-         .join(nc_numbered.select("__rn", "id"), "__rn").select("id", "label")
-         .write.mode("append").parquet(borders))
-        wrote = True
-    labels = core_lab
-    if wrote:
-        labels = labels.unionByName(spark.read.parquet(borders))
-    return (df.join(labels.withColumnRenamed("id", "__dbscan_id"),
-                    F.col(id_col) == F.col("__dbscan_id"), "left")
-            .withColumn(out, F.coalesce(F.col("label"), F.lit(-1)).cast("int"))
-            .drop("__dbscan_id", "label"))
-
-
-def _touch(labelled: DataFrame, cols, comp_small, comp_big, eps2: float, batch: int) -> bool:
-    """Exact: does any core point of ``comp_small`` lie within eps of a core
-    point of ``comp_big``?  The smaller side goes out in bounded batches."""
-    small, n_small = with_row_number(labelled.where(F.col("comp") == comp_small),
-                                     [F.col("id")], "__rn")
-    big = labelled.where(F.col("comp") == comp_big)
-    for start in range(0, n_small, batch):
-        _, b_x = _collect_points(
-            small.where((F.col("__rn") > start) & (F.col("__rn") <= start + batch)), cols)
-
-        def any_hit(batches, b_x=b_x):
-            hit = False
-            for pdf in batches:
-                if not hit and _within(pdf[cols].to_numpy(dtype=float), b_x, eps2).any():
-                    hit = True
-            yield pd.DataFrame({"hit": [hit]})
-
-        if big.mapInPandas(any_hit, "hit boolean").where("hit").limit(1).count() > 0:
-            return True
-    return False
+    curve = _z_order(cols, ends[1:len(cols) + 1], ends[len(cols) + 1:])
+    points, _ = with_row_number(points.withColumn("curve", curve), [F.col("curve"), F.col("id")], "num")
+    points = write_table(points.drop("curve").withColumn("block", F.expr(f"(num - 1) div {block}")), "points")
+    packed = _pack(points, cols, "num", "blocks")
+    pairs = _near_pairs(packed, len(cols), eps2)
+    flagged = _core_points(points, packed, pairs, cols, eps2, min_samples)
+    cores = _core_components(flagged.where("core"), pairs, cols, eps2)
+    # cluster ids by the smallest id of a component's core points
+    firsts, _ = with_row_number(cores.groupBy("label").agg(F.min("id").alias("first")), [F.col("first")], "place")
+    cores = write_table(cores.join(firsts.select("label", (F.col("place") - 1).alias("cluster")), "label"), "clusters")
+
+    def nearest(a: _Block, b: _Block) -> list[np.ndarray]:
+        best = np.full(len(a.x), np.iinfo(np.int64).max)
+        for s in a.tiles():
+            for t in b.near(a.x[s], eps2):
+                hit = _within(a.x[s], b.x[t], eps2)
+                best[s] = np.minimum(best[s], np.where(hit, b.labels[t][None], np.iinfo(np.int64).max).min(1))
+        found = best < np.iinfo(np.int64).max
+        return [a.nums[found], best[found]]
+
+    rest = _pack(flagged.where("NOT core"), cols, "num", "rest")
+    both = pairs.union(pairs.where("a < b").select("b", "a"))
+    borders = _meet(both, rest, _pack(cores, cols, "cluster", "cores"), len(cols), nearest, "num long, cluster long")
+    borders = borders.groupBy("num").agg(F.min("cluster").alias("cluster"))
+    labels = cores.select("id", "cluster").unionByName(flagged.join(borders, "num").select("id", "cluster"))
+    labels = labels.select(F.col("id").alias("__dbscan_id"), F.col("cluster").alias("__dbscan_cluster"))
+    return (df.join(labels, F.col(f"`{id_col}`") == F.col("__dbscan_id"), "left")
+            .withColumn(out, F.coalesce("__dbscan_cluster", F.lit(-1)).cast("int"))
+            .drop("__dbscan_id", "__dbscan_cluster"))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.ordered import exact_quantiles
+from starmart.operators.selection import column_quantiles
 from starmart.session import write_table
 
 EULER = 0.5772156649015329
@@ -123,13 +123,11 @@ def score(df: DataFrame, cols: Sequence[str], forest: list[dict], psi: int,
 
 
 def isolation_forest(df: DataFrame, id_col: str, cols: Sequence[str], contamination: float = 0.01,
-                     n_trees: int = 100, max_samples: int = 256, seed: int = 42,
-                     num_partitions: int | None = None) -> DataFrame:
+                     n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
     """``df`` plus ``score`` and ``anomaly`` (-1 for the most isolated
     ``contamination`` share, else 1)."""
     forest, psi = fit_forest(df, id_col, cols, n_trees, max_samples, seed)
     # written once: the cut and the result read it, the trees run once per row
     scored = write_table(score(df, cols, forest, psi), "iforest")
-    cut = exact_quantiles(scored, "score", [contamination], ["cut"],
-                          num_partitions).select("cut").scalar()
-    return scored.withColumn("anomaly", F.when(F.col("score") < cut, -1).otherwise(1))
+    cut = column_quantiles(scored, ["score"], [contamination])[0][0]
+    return scored.withColumn("anomaly", F.when(F.col("score") < F.lit(cut), -1).otherwise(1))

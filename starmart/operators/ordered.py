@@ -20,9 +20,10 @@ products.  The operators here keep the work distributed:
 
 ``rank`` needs the first row of each run of equal keys: a window inside each
 partition finds it, and what a run carries over a partition border comes from
-the border rows (two per partition).  Quantiles are aggregates on top of the
-numbering, which Spark computes with map-side partial aggregation.  There is
-one path for every input size.
+the border rows (two per partition).  Quantiles per group are aggregates on
+top of the numbering, which Spark computes with map-side partial aggregation.
+There is one path for every input size.  Ntiles and the quantiles of whole
+columns need only single rows of an order: see ``selection``.
 """
 
 from __future__ import annotations
@@ -87,20 +88,6 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "rn",
     return numbered.drop(_PID, _LOCAL), total
 
 
-def with_ntile(df: DataFrame, buckets: int, order: Sequence[Column], out: str,
-               num_partitions: int | None = None) -> DataFrame:
-    """``ntile(buckets) over (order by <order>)``: with N rows, q = N div n and
-    m = N mod n, the first m buckets hold q + 1 rows and the rest q."""
-    rn_col = f"__{out}_rn"
-    numbered, total = with_row_number(df, order, rn_col, num_partitions)
-    q, m = divmod(total, buckets)
-    big = m * (q + 1)
-    rn = F.col(rn_col)
-    bucket = F.when(rn <= F.lit(big), F.floor((rn - 1) / F.lit(q + 1)) + 1).otherwise(
-        F.lit(m) + F.floor((rn - F.lit(big) - 1) / F.lit(max(q, 1))) + 1)
-    return numbered.withColumn(out, bucket.cast("int")).drop(rn_col)
-
-
 def with_rank(df: DataFrame, value_cols: Sequence[str], value_order: Sequence[Column],
               tiebreak: Sequence[Column], out: str, partition_cols: Sequence[str] = (),
               num_partitions: int | None = None) -> DataFrame:
@@ -235,11 +222,3 @@ def grouped_exact_quantiles(df: DataFrame, group_col: str, value_col: str,
         # computes (numpy's lerp can differ from it in the last bit)
         outs.append((v_lo * (1 - t) + v_hi * t).alias(names[i]))
     return j.groupBy("__g").agg(*aggs).select(F.col("__g").alias(group_col), *outs)
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
-    """Exact quantiles of one column, one row (see :func:`grouped_exact_quantiles`)."""
-    one = df.select(F.lit(0).alias("__all"), F.col(col))
-    return grouped_exact_quantiles(one, "__all", col, probs, names, num_partitions).drop("__all")

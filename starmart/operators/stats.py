@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.special import chi2_sf
-from starmart.operators.ordered import grouped_exact_quantiles
+from starmart.operators.selection import column_quantiles
 
 
 def long_form(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = ()) -> DataFrame:
@@ -30,8 +30,13 @@ def _round(c: Column, digits: int | None) -> Column:
     return F.round(c, digits) if digits is not None else c
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None,
-             num_partitions: int | None = None) -> DataFrame:
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact quantiles (AG-15), one row per column."""
+    rows = [(c, *q) for c, q in zip(cols, column_quantiles(df, cols, probs))]
+    return df.sparkSession.createDataFrame(rows, ", ".join(["column_name string", *[f"{n} double" for n in names]]))
+
+
+def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """ST-1 (``DataFrame.describe`` of pandas): count, mean, sample std, min,
     exact quartiles, max; one row per column.  Not ``summary()``, whose
     quartiles are approximate."""
@@ -43,8 +48,7 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None,
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    q = grouped_exact_quantiles(long, "column_name", "value", [0.25, 0.5, 0.75],
-                                ["q25", "q50", "q75"], num_partitions)
+    q = quantile_table(df, cols, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
     return moments.join(q, "column_name").select(
         "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
@@ -86,13 +90,11 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
                           edge(F.col("bin") + 1).alias("bin_end"), "count")
 
 
-def boxplot_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5,
-                  num_partitions: int | None = None) -> DataFrame:
+def boxplot_stats(df: DataFrame, cols: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """ST-5: quartiles, whiskers at the most extreme values within
     ``whisker * IQR`` of the box, and the number of points beyond them."""
     long = long_form(df, cols).where(F.col("value").isNotNull())
-    q = grouped_exact_quantiles(long, "column_name", "value", [0.25, 0.5, 0.75],
-                                ["q1", "median", "q3"], num_partitions)
+    q = quantile_table(df, cols, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(whisker) * F.col("iqr")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.ordered import exact_quantiles, with_rank
+from starmart.operators.selection import Key, column_quantiles, is_after, rows_at
 from starmart.params import Params
 from starmart.plans import marts
 from starmart.plans.star import Star
@@ -90,29 +90,31 @@ def recency_label(df: DataFrame, params: Params) -> DataFrame:
 
 def churn_labelled(star: Star, params: Params) -> DataFrame:
     """CH-1: churn = 1 when recency is above the exact median of the ML
-    customers (the median is a scalar subquery over a distributed quantile)."""
+    customers (found by histogram refinement)."""
     df = ml_input(star, params)
-    med = exact_quantiles(df, "days_since_last_purchase", [0.5], ["median"],
-                          params.order_partitions).select("median").scalar()
-    return df.withColumn("churn", F.when(F.col("days_since_last_purchase") > med, 1).otherwise(0))
+    med = column_quantiles(df, ["days_since_last_purchase"], [0.5])[0][0]
+    return df.withColumn("churn", F.when(F.col("days_since_last_purchase") > F.lit(med), 1).otherwise(0))
 
 
 def stratified_split(df: DataFrame, id_col: str = "customer_id", test_frac: float = 0.2,
-                     seed: int = 42, num_partitions: int | None = None) -> DataFrame:
+                     seed: int = 42) -> DataFrame:
     """CH-3: ``split`` = 'test' for exactly ``round(test_frac * n)`` rows of
-    each class: the first in the order of a seeded hash of the id (the
-    numbering inside a class is distributed)."""
+    each class: the first in the order of a seeded hash of the id.  The last
+    of them is found by histogram refinement; no row is moved."""
     label = "churn"
     hashed = df.withColumn("__u", F.substring(
         F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string"))), 1, 8))
-    order = [F.col("__u").asc(), F.col(id_col).asc()]
-    placed = with_rank(hashed, ["__u", id_col], order, [], "__place", [label], num_partitions)
+    order = [Key("__u"), Key(id_col)]
     # one row per class
-    sizes = df.groupBy(F.col(label).alias("__class")).agg(
-        F.round(F.lit(test_frac) * F.count(F.lit(1))).alias("__quota"))
-    return (placed.join(sizes, F.col(label).eqNullSafe(F.col("__class")))
-            .withColumn("split", F.when(F.col("__place") <= F.col("__quota"), "test").otherwise("train"))
-            .drop("__u", "__place", "__class", "__quota"))
+    sizes = df.groupBy(label).agg(F.round(F.lit(test_frac) * F.count(F.lit(1))).cast("long")).collect()
+    inside = [F.col(label).eqNullSafe(F.lit(c)) for c, _ in sizes]
+    lasts = rows_at(hashed, [(order, quota) for _, quota in sizes], inside)
+    kinds = {f.name: f.dataType for f in hashed.schema.fields}
+    test = F.lit(False)
+    for own, last in zip(inside, lasts):
+        if last is not None:
+            test = test | (own & ~is_after(order, last, kinds))
+    return hashed.withColumn("split", F.when(test, "test").otherwise("train")).drop("__u")
 
 
 def churn_standin(df: DataFrame) -> DataFrame:

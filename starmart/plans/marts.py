@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import days_between, month_start, pct, safe_div
-from starmart.operators.ordered import with_ntile, with_rank
+from starmart.operators.ordered import with_rank
+from starmart.operators.selection import Key, ntiles
 from starmart.params import Params
 from starmart.plans.star import Star
 from starmart.session import write_table
@@ -205,14 +206,13 @@ CUSTOMER_COLUMNS = [
 
 def with_rfm(df: DataFrame, params: Params) -> DataFrame:
     """RFM scores, 1 is best on every axis: spend desc, recency asc,
-    frequency desc; ties broken by customer id.  Distributed ntile."""
-    cid = F.col("customer_id").asc_nulls_last()
-    n, b = params.order_partitions, params.rfm_buckets
-    df = with_ntile(df, b, [F.col("total_sales").desc_nulls_first(), cid], "rfm_spending_score", n)
-    df = with_ntile(df, b, [F.col("days_since_last_purchase").asc_nulls_last(), cid],
-                    "rfm_recency_score", n)
-    return with_ntile(df, b, [F.col("total_orders").desc_nulls_first(), cid],
-                      "rfm_frequency_score", n)
+    frequency desc; ties broken by customer id.  Only the cut rows of the
+    three orders are looked for; no customer is moved."""
+    cid = Key("customer_id")
+    return ntiles(df, params.rfm_buckets, {
+        "rfm_spending_score": [Key("total_sales", descending=True, nulls_first=True), cid],
+        "rfm_recency_score": [Key("days_since_last_purchase"), cid],
+        "rfm_frequency_score": [Key("total_orders", descending=True, nulls_first=True), cid]})
 
 
 def customers(star: Star, params: Params) -> DataFrame:

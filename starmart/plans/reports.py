@@ -20,7 +20,8 @@ from starmart.functions import (
     pct,
 )
 from starmart.operators import quality
-from starmart.operators.ordered import with_ntile, with_rank
+from starmart.operators.ordered import with_rank
+from starmart.operators.selection import Key, ntiles
 from starmart.params import Params
 from starmart.plans import marts
 from starmart.plans.star import Star
@@ -105,9 +106,7 @@ def rank_in_category(star: Star, params: Params) -> DataFrame:
 def ntile_global(star: Star, params: Params) -> DataFrame:
     """NTILE(10) over every order line by sales, descending (W-6 at fact scale)."""
     f = star.fact.select("sales_key", "sales")
-    tiled = with_ntile(f, 10, [F.col("sales").desc_nulls_first(),
-                               F.col("sales_key").asc_nulls_last()], "sales_decile",
-                       params.order_partitions)
+    tiled = ntiles(f, 10, {"sales_decile": [Key("sales", descending=True, nulls_first=True), Key("sales_key")]})
     return tiled.select("sales_key", _d(F.col("sales")).alias("sales"), "sales_decile")
 
 

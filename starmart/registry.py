@@ -158,8 +158,7 @@ def _round(df, cols, digits=6):
 
 @register("describe", oracle.REPORTS["describe"])
 def q_describe(spark, sf_dir):
-    return _round(stats.describe(_ml(spark, sf_dir), analytics.NUMERIC_COLS, digits=4,
-                                 num_partitions=P.order_partitions), ["q25", "q50", "q75"])
+    return _round(stats.describe(_ml(spark, sf_dir), analytics.NUMERIC_COLS, digits=4), ["q25", "q50", "q75"])
 
 
 @register("zscore_outliers", oracle.REPORTS["zscore_outliers"])
@@ -175,20 +174,14 @@ def q_histogram(spark, sf_dir):
 
 @register("boxplot", oracle.REPORTS["boxplot"])
 def q_boxplot(spark, sf_dir):
-    return _round(stats.boxplot_stats(_ml(spark, sf_dir), analytics.NUMERIC_COLS,
-                                      num_partitions=P.order_partitions),
+    return _round(stats.boxplot_stats(_ml(spark, sf_dir), analytics.NUMERIC_COLS),
                   ["q1", "median", "q3", "iqr"])
 
 
 @register("exact_quantiles", oracle.REPORTS["exact_quantiles"])
 def q_exact_quantiles(spark, sf_dir):
-    from starmart.operators.ordered import grouped_exact_quantiles
-
-    long = stats.long_form(_ml(spark, sf_dir), analytics.NUMERIC_COLS)
-    return _round(grouped_exact_quantiles(long, "column_name", "value",
-                                          [0.0, 0.25, 0.5, 0.75, 1.0],
-                                          ["q00", "q25", "q50", "q75", "q100"],
-                                          P.order_partitions), ["q25", "q50", "q75"])
+    return _round(stats.quantile_table(_ml(spark, sf_dir), analytics.NUMERIC_COLS, [0.0, 0.25, 0.5, 0.75, 1.0],
+                                       ["q00", "q25", "q50", "q75", "q100"]), ["q25", "q50", "q75"])
 
 
 @register("correlation", oracle.REPORTS["correlation"])
@@ -324,7 +317,9 @@ def _labelled(spark, sf_dir, method, i):
         return segmentation.cluster(df, feats, method, k).withColumn(
             "cluster", F.col("cluster").cast("int"))
 
-    return st.tables(f"labels_{method}_{i}", build), feats, k, fs
+    # DBSCAN takes no k: passes on the same features share its labels
+    name = f"labels_{method}_{fs}" if method == "dbscan" else f"labels_{method}_{i}"
+    return st.tables(name, build), feats, k, fs
 
 
 def _passes(spark, sf_dir, method):
@@ -361,60 +356,53 @@ def q_pca(spark, sf_dir):
 METHOD_NAMES = ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan")
 
 
-@register("cluster_scores")
-def q_cluster_scores(spark, sf_dir):
-    """Silhouette, Calinski-Harabasz and Davies-Bouldin of every method and
-    pass (ML-12 ... ML-15; DBSCAN with noise is skipped, as the reference does)."""
+def _labellings(spark, sf_dir, columns):
+    """Every method's and pass's labels in one frame; ``columns(feats)`` are
+    the further columns of a labelling with these features."""
     out = None
     for method in METHOD_NAMES:
         for i in range(len(segmentation.PASSES)):
             lab, feats, k, _ = _labelled(spark, sf_dir, method, i)
-            if method == "dbscan" and lab.where("cluster = -1").limit(1).count() > 0:
-                continue  # ML-15: no scores for DBSCAN with noise points
-            row = cluster_eval.all_scores(lab, "cluster", feats).select(
-                F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
-                "silhouette", "calinski_harabasz", "davies_bouldin")
-            out = row if out is None else out.unionByName(row)
+            part = lab.select(F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
+                              "cluster", *columns(feats))
+            out = part if out is None else out.unionByName(part)
     return out
 
 
+@register("cluster_scores")
+def q_cluster_scores(spark, sf_dir):
+    """Silhouette, Calinski-Harabasz and Davies-Bouldin of every method and
+    pass (ML-12 ... ML-15; DBSCAN with noise is skipped, as the reference does)."""
+    _, full = segmentation.features_frame(_star(spark, sf_dir), P, "full")
+
+    def point(feats):  # a feature that a pass leaves out adds nothing to any distance
+        return [F.array(*[F.col(f"`{c}`") if c in feats else F.lit(0.0) for c in full]).alias("x")]
+
+    noise = (F.col("method") == "dbscan") & (F.col("cluster") == -1)
+    return cluster_eval.labelling_scores(_labellings(spark, sf_dir, point), ["method", "pass", "k"], "cluster",
+                                         len(full), noise)
+
+
 @register("cluster_profiles")
 def q_cluster_profiles(spark, sf_dir):
     """ML-16 for every method and pass: cluster sizes and feature means
     (2 places, half to even, as the reference prints them)."""
-    out = None
-    for method in METHOD_NAMES:
-        for i in range(len(segmentation.PASSES)):
-            lab, _, k, _ = _labelled(spark, sf_dir, method, i)
-            prof = cluster_eval.cluster_profile(lab, "cluster", analytics.NUMERIC_COLS).select(
-                F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
-                "cluster", "size",
-                *[F.bround(f"mean_{c}", 2).alias(f"mean_{c}") for c in analytics.NUMERIC_COLS])
-            out = prof if out is None else out.unionByName(prof)
-    return out
+    rows = _labellings(spark, sf_dir, lambda _: analytics.NUMERIC_COLS)
+    return rows.groupBy("method", "pass", "k", "cluster").agg(
+        F.count(F.lit(1)).alias("size"), *[F.bround(F.avg(c), 2).alias(f"mean_{c}") for c in analytics.NUMERIC_COLS])
 
 
 @register("cluster_segment_mix")
 def q_cluster_segment_mix(spark, sf_dir):
     """ML-16 for every method and pass: the share of each customer segment
     inside each cluster."""
-    out = None
-    for method in METHOD_NAMES:
-        for i in range(len(segmentation.PASSES)):
-            lab, _, k, _ = _labelled(spark, sf_dir, method, i)
-            mix = cluster_eval.segment_mix(lab, "cluster").select(
-                F.lit(method).alias("method"), F.lit(i + 1).alias("pass"), F.lit(k).alias("k"),
-                "cluster", "segment", "share")
-            out = mix if out is None else out.unionByName(mix)
-    return out
+    return cluster_eval.segment_mix(_labellings(spark, sf_dir, lambda _: ["segment"]), ["method", "pass", "k", "cluster"])
 
 
 @register("isolation_forest")
 def q_isolation_forest(spark, sf_dir):
     ml = _ml(spark, sf_dir)
-    return iforest.isolation_forest(ml, "customer_id", analytics.NUMERIC_COLS,
-                                    num_partitions=P.order_partitions).select(
-        "customer_id", "score", "anomaly")
+    return iforest.isolation_forest(ml, "customer_id", analytics.NUMERIC_COLS).select("customer_id", "score", "anomaly")
 
 
 def _churn_model(spark, sf_dir):

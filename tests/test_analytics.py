@@ -66,7 +66,7 @@ def test_stratified_split_is_exact_per_class(spark):
 
     df = spark.createDataFrame([(f"c{i}", int(i % 7 == 0)) for i in range(403)], "customer_id string, churn int")
     for parts in (1, 3):
-        out = stratified_split(df, num_partitions=parts).groupBy("churn", "split").count().collect()
+        out = stratified_split(df.repartition(parts)).groupBy("churn", "split").count().collect()
         got = {(r.churn, r["split"]): r["count"] for r in out}
         n1 = sum(i % 7 == 0 for i in range(403))
         assert got[1, "test"] == round(0.2 * n1) and got[0, "test"] == round(0.2 * (403 - n1))
@@ -76,7 +76,7 @@ def test_stratified_split_is_exact_per_class(spark):
 def test_isolation_forest_ranks_planted_outliers_first(blobs):
     df, x, lab = blobs
     out = iforest.isolation_forest(df, "id", COLS, contamination=0.025, n_trees=100,
-                                   max_samples=64, num_partitions=4)
+                                   max_samples=64)
     ranked = [r.id for r in out.orderBy("score", "id").limit(3).collect()]
     assert sorted(ranked) == [117, 118, 119]
     assert sorted(r.id for r in out.where("anomaly = -1").collect()) == [117, 118, 119]
@@ -200,8 +200,8 @@ def _dbscan_reference(x, eps, min_samples):
     return out
 
 
-@pytest.mark.parametrize("anchor_cap,batch", [(2000, 2000), (25, 16)])
-def test_dbscan_matches_brute_force(spark, blobs, anchor_cap, batch):
+@pytest.mark.parametrize("block", [4096, 40, 7])
+def test_dbscan_matches_brute_force(spark, blobs, block):
     from starmart.operators.dbscan import dbscan
 
     df, x, _ = blobs
@@ -213,8 +213,8 @@ def test_dbscan_matches_brute_force(spark, blobs, anchor_cap, batch):
     rows = [(i, *map(float, x2[i])) for i in range(len(x2))]
     df2 = spark.createDataFrame(rows, "id long, a double, b double, c double")
     for eps, ms in ((1.2, 5), (0.8, 4)):
-        got = dict(dbscan(df2, "id", COLS, eps=eps, min_samples=ms, anchor_cap=anchor_cap,
-                          batch=batch).select("id", "cluster").collect())
+        got = dict(dbscan(df2, "id", COLS, eps=eps, min_samples=ms, block=block)
+                   .select("id", "cluster").collect())
         exp = _dbscan_reference(x2, eps, ms)
         assert [got[i] for i in range(len(x2))] == list(exp)
 
@@ -247,10 +247,48 @@ def test_dbscan_with_text_ids(spark, blobs):
     df = df.select("id", *COLS)
     plain = dict(dbscan(df, "id", COLS, eps=1.2, min_samples=5).select("id", "cluster").collect())
     named = df.withColumn("id", F.concat(F.lit("CG-"), F.lpad(F.col("id").cast("string"), 5, "0")))
-    got = dict(dbscan(named, "id", COLS, eps=1.2, min_samples=5).select("id", "cluster").collect())
+    got = dict(dbscan(named, "id", COLS, eps=1.2, min_samples=5, block=16).select("id", "cluster").collect())
     assert {int(k[3:]): v for k, v in got.items()} == plain
 
 
+def test_dbscan_chains_copies_and_odd_rows(spark):
+    """A chain over many blocks is one cluster; equal points and clashing
+    names are allowed; null and non-finite features are noise; no rows."""
+    from starmart.operators.dbscan import dbscan
+
+    rows = [(i, float(i), 0.0, i) for i in range(60)] + [(100 + i, 500.0, 500.0, i) for i in range(30)]
+    rows += [(200, None, 0.0, 0), (201, float("nan"), 0.0, 0), (202, float("inf"), 0.0, 0), (203, 300.0, 0.0, 0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, num int")
+    for block in (8, 3):
+        got = dict(dbscan(df, "id", ["a", "b"], eps=1.0, min_samples=3, block=block).select("id", "cluster").collect())
+        assert {got[i] for i in range(60)} == {0} and {got[100 + i] for i in range(30)} == {1}
+        assert [got[i] for i in (200, 201, 202, 203)] == [-1] * 4
+    assert dbscan(df.limit(0), "id", ["a", "b"]).collect() == []
+    few = dbscan(df.where("id < 2 OR id = 203"), "id", ["a", "b"], eps=1.0, min_samples=3)
+    assert [r.cluster for r in few.collect()] == [-1] * 3
+
+
+def test_labelling_scores_equal_single_measures(spark, blobs):
+    """Several labellings in one pass, one with noise, one with one cluster."""
+    df, x, _ = blobs
+    runs = {"blobs": F.col("label"), "thirds": (F.col("id") % 3).cast("int"),
+            "alone": F.when(F.col("id") == 5, 9).otherwise(F.col("label")), "one": F.lit(4),
+            "noise": F.when(F.col("id") == 7, -1).otherwise(F.col("label"))}
+    rows = None
+    for name, label in runs.items():
+        part = df.select(F.lit(name).alias("run"), label.cast("int").alias("cluster"), F.array(*COLS).alias("x"))
+        rows = part if rows is None else rows.unionByName(part)
+    withheld = (F.col("run") == "noise") & (F.col("cluster") == -1)
+    got = {r.run: r for r in cluster_eval.labelling_scores(rows, ["run"], "cluster", 3, withheld).collect()}
+    assert set(got) == set(runs) - {"noise"}
+    assert (got["one"].silhouette, got["one"].calinski_harabasz, got["one"].davies_bouldin) == (None, None, None)
+    for name in ("blobs", "thirds", "alone"):
+        one = df.withColumn("cluster", runs[name].cast("int"))
+        for measure, value in (("silhouette", cluster_eval.silhouette_squared), ("davies_bouldin", cluster_eval.davies_bouldin),
+                               ("calinski_harabasz", cluster_eval.calinski_harabasz)):
+            assert got[name][measure] == pytest.approx(value(one, "cluster", COLS).first()[0], rel=1e-9)
+
+
 def test_segment_mix_shares_sum_to_one(spark):
     df = spark.createDataFrame([(i, i % 3, ("a", "b")[i % 5 == 0]) for i in range(100)], "id long, cluster int, segment string")
     total = {}

@@ -7,13 +7,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starmart.operators.ordered import (
-    exact_quantiles,
     grouped_exact_quantiles,
-    with_ntile,
     with_rank,
     with_row_number,
     with_running_sums,
 )
+from starmart.operators.selection import Key, exact_quantiles, ntiles
 
 
 @pytest.fixture(scope="module")
@@ -40,14 +39,14 @@ def test_row_number_matches_window(skewed):
 @pytest.mark.parametrize("buckets", [5, 7, 10])
 def test_ntile_matches_window(skewed, buckets):
     order = [F.col("v").asc(), F.col("id").asc()]
-    ours = with_ntile(skewed, buckets, order, "t", num_partitions=5)
+    ours = ntiles(skewed, buckets, {"t": [Key("v"), Key("id")]})
     ref = skewed.withColumn("t_ref", F.ntile(buckets).over(Window.orderBy(*order)))
     assert ours.join(ref, "id").where(F.col("t") != F.col("t_ref")).count() == 0
 
 
 def test_ntile_fewer_rows_than_buckets(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 1.0)], "id long, v double")
-    out = with_ntile(df, 5, [F.col("v").desc(), F.col("id")], "t", num_partitions=3)
+    out = ntiles(df, 5, {"t": [Key("v", descending=True), Key("id")]})
     assert sorted((r.id, r.t) for r in out.collect()) == [(1, 1), (2, 2), (3, 3)]
 
 
@@ -105,8 +104,7 @@ def test_running_sums(skewed):
 
 def test_exact_quantiles_match_numpy(skewed):
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = exact_quantiles(skewed, "v", probs, [f"p{i}" for i in range(len(probs))],
-                          num_partitions=4).first()
+    got = exact_quantiles(skewed, "v", probs, [f"p{i}" for i in range(len(probs))]).first()
     vals = np.array([r.v for r in skewed.select("v").collect()])
     for i, p in enumerate(probs):
         assert got[f"p{i}"] == pytest.approx(np.percentile(vals, p * 100), abs=1e-12)
