@@ -181,11 +181,11 @@ def labelling_scores(rows: DataFrame, keys: Sequence[str], label: str, dims: int
         F.sum(s).alias("sil"), F.sum("d2").alias("w"), F.avg(F.sqrt("d2")).alias("scatter"))
     parts = stats.join(spread, [*keys, label]).withColumn("m", F.transform("s", lambda v: v / F.col("n")))
     total = parts.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("sil").alias("sil"), F.sum("w").alias("w"),
+        F.count(F.lit(1)).alias("clusters"), F.sum("n").alias("rows"), F.sum("sil").alias("sil"), F.sum("w").alias("w"),
         sum((F.sum(F.col("s")[i] * F.col("m")[i]) for i in range(dims)), F.lit(0.0)).alias("own2"),
         F.array(*[F.sum(F.col("s")[i]) for i in range(dims)]).alias("s"),
         F.collect_list(F.struct(F.col(label).alias("c"), "scatter", "m")).alias("all"))
-    k, n, w = F.col("k"), F.col("n"), F.col("w")
+    k, n, w = F.col("clusters"), F.col("rows"), F.col("w")
     between = F.col("own2") - _sum_array(F.transform("s", lambda v: v * v)) / n
 
     def worst(e: Column) -> Column:

@@ -4,8 +4,8 @@ In a round every node takes the first of itself and its neighbours as its
 label, and edges move on to the labels; what became a loop is done.  Even
 rounds order nodes by number, which folds a star in one round; odd rounds by
 a hash, which shrinks chains by a constant share.  A round is a grouped
-minimum and two lookup joins that no hub can overload; only whether edges are
-left reaches the driver.
+minimum and two lookup joins that no hub can overload.  Rounds end when at
+most ``FEW`` edges are left, whose components are found on the driver.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from starmart.operators.lookup import lookup_join
 from starmart.session import write_table
 
+FEW = 1 << 16
+
 
 def _proper(u: Column, v: Column) -> tuple[Column, Column]:
     return F.greatest(u, v).alias("u"), F.least(u, v).alias("v")
@@ -35,17 +37,34 @@ def components(links: DataFrame) -> DataFrame:
     are left out."""
     edges = write_table(links.select(*_proper(F.col("u"), F.col("v"))).where("u > v").distinct(), "edges")
     turns: list[DataFrame] = []
-    while not turns or not edges.isEmpty():
+    while edges.count() > FEW:
         labels = write_table(_labels(edges, len(turns)), "labels")
         turns.append(labels)
         moved = lookup_join(edges, labels, "u", ["label"], "v", "inner").select(F.col("label").alias("a"), F.col("v").alias("u"))
         moved = lookup_join(moved, labels, "u", ["label"], "a", "inner")
         edges = write_table(moved.select(*_proper(F.col("a"), F.col("label"))).where("u > v").distinct(), "edges")
-    roots = turns[-1]
-    for labels in reversed(turns[:-1]):
+    roots = edges.sparkSession.createDataFrame(_small([(r.u, r.v) for r in edges.collect()]), "u long, label long")
+    if not turns:
+        return roots.select(F.col("u").alias("node"), F.col("label").alias("component"))
+    for labels in reversed(turns):
         known = roots.select(F.col("u").alias("label"), F.col("label").alias("root"))
         roots = write_table(lookup_join(labels, known, "label", ["root"], "u").select(
             "u", F.coalesce("root", "label").alias("label")), "roots")
     least = roots.groupBy("label").agg(F.min("u").alias("component"))
     return lookup_join(roots, write_table(least, "least"), "label", ["component"], "u").select(
         F.col("u").alias("node"), "component")
+
+
+def _small(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(node, smallest node of its component)."""
+    up: dict[int, int] = {}
+
+    def find(a: int) -> int:
+        while up.setdefault(a, a) != a:
+            up[a] = a = up[up[a]]
+        return a
+
+    for u, v in edges:
+        x, y = find(u), find(v)
+        up[max(x, y)] = min(x, y)
+    return [(a, find(a)) for a in list(up)]

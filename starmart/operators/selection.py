@@ -2,30 +2,34 @@
 moving a row.
 
 A target asks for the row at a rank of an order over one or more columns.
-Each round is one aggregate: the rows still in a target's range are counted
-in ``BINS`` equal steps between the range's ends, with each step's smallest
-and largest value; the step that holds the rank is the next range.  Steps are
-monotone in the value, so a step's ends are exact values, and the two ends of
-a range never share a step: every round leaves fewer distinct values.  When
-one value is left, the next column of the order decides among its rows.
+The first aggregate finds the ends of the first column.  Each round then is
+one aggregate: the rows still in a target's range are counted in ``BINS``
+equal steps between the range's ends, with each step's smallest and largest
+value; the step that holds the rank is the next range.  Steps are monotone in
+the value, so a step's ends are exact values, and the two ends of a range
+never share a step: every round leaves fewer distinct values.  When one value
+is left, the next column of the order decides among its rows.  A search ends
+with a range of at most ``FEW`` rows, whose keys are read and sorted.
 
 What is shuffled are partial counts (at most BINS rows per open range and
-task), and what reaches the driver is at most BINS rows per open range.  All
+task); what reaches the driver is at most BINS + FEW rows per target.  All
 targets advance in the same rounds; targets with one range share it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType, FractionalType, NumericType, StringType,
+    BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType, FractionalType, IntegerType, NumericType, StringType,
     TimestampType)
 
 BINS = 1024
+FEW = 4096
 MAX = 1.7976931348623157e308  # the largest double
 
 
@@ -41,11 +45,17 @@ class Key:
 @dataclass
 class _Search:
     keys: Sequence[Key]
-    rank: int  # 1-based, among the rows still in the range
+    rank: int | Callable[[int], int]  # 1-based, among the rows still in the range
     scope: Column | None
     fixed: list = field(default_factory=list)  # values found for the first keys
     low: object = None  # ends of the range of the current key, once known
     high: object = None
+    rows: int | None = None  # in the range, once known
+    found: tuple | None = None
+    done: bool = False
+
+    def range(self) -> tuple:
+        return id(self.scope), tuple(self.keys[:len(self.fixed) + 1]), tuple(self.fixed), self.low, self.high
 
 
 def _literal(value, kind: DataType) -> Column:
@@ -100,12 +110,12 @@ def _step(value: Column, low, high, kind: DataType) -> Column:
     return ends.otherwise(F.floor(F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)) * (BINS - 1)).cast("int"))
 
 
-def _inside(s: _Search, kinds: dict[str, DataType], ends: bool = True) -> Column:
+def _inside(s: _Search, kinds: dict[str, DataType]) -> Column:
     """Rows of a search's range."""
     out = F.lit(True) if s.scope is None else s.scope
     for key, value in zip(s.keys, s.fixed):
         out = out & (F.col(key.column).isNull() if value is None else F.col(key.column) == _literal(value, kinds[key.column]))
-    if ends and s.low is not None:
+    if s.low is not None:
         c, kind = F.col(s.keys[len(s.fixed)].column), kinds[s.keys[len(s.fixed)].column]
         out = out & c.between(_literal(s.low, kind), _literal(s.high, kind))
     return out
@@ -117,49 +127,55 @@ def _descend(s: _Search, bins: list[tuple[int, object, object, int]], nulls: int
     steps = sorted(bins, key=lambda b: b[0], reverse=key.descending)
     if nulls:
         steps.insert(0 if key.nulls_first else len(steps), (None, None, None, nulls))
-    for _, low, high, n in steps:
-        if s.rank <= n:
+    for _, low, high, s.rows in steps:
+        if s.rank <= s.rows:
             break
-        s.rank -= n
+        s.rank -= s.rows
     if low == high or (low != low and high != high):
         s.fixed.append(low)
         s.low = s.high = None
+        if len(s.fixed) == len(s.keys):
+            s.found, s.done = tuple(s.fixed), True
     else:
         s.low, s.high = low, high
 
 
-def rows_at(df: DataFrame, targets: Sequence[tuple[Sequence[Key], int]], scopes: Sequence[Column | None] | None = None
-            ) -> list[tuple | None]:
+def _grouped(searches: Sequence[_Search]) -> list[list[_Search]]:
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault(s.range(), []).append(s)
+    return list(groups.values())
+
+
+def rows_at(df: DataFrame, targets: Sequence[tuple[Sequence[Key], int | Callable[[int], int]]],
+            scopes: Sequence[Column | None] | None = None) -> list[tuple | None]:
     """For each target (keys, rank), the values of the keys in the row at that
-    1-based rank of the order; None beyond the last row.  ``scopes`` limits a
-    target to rows for which a condition holds."""
+    1-based rank of the order; None beyond the last row.  A rank may be a
+    function of the number of rows.  ``scopes`` limits a target to rows for
+    which a condition holds."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     for keys, _ in targets:
         for k in keys:
             if not isinstance(kinds[k.column], (NumericType, StringType, DateType, TimestampType, BooleanType)):
                 raise TypeError(f"no order for {kinds[k.column].simpleString()}")
     searches = [_Search(keys, rank, scope) for (keys, rank), scope in zip(targets, scopes or [None] * len(targets))]
-    open_ = [s for s in searches if s.rank >= 1]
-    none = [s for s in searches if s.rank < 1]
-    while open_:
-        ranges: dict[tuple, list[_Search]] = {}
-        for s in open_:
-            ranges.setdefault((id(s.scope), tuple(s.keys[:len(s.fixed) + 1]), tuple(s.fixed), s.low, s.high), []).append(s)
-        if any(s.low is None for s in open_):
-            _ends(df, list(ranges.values()), kinds, none)
+    while open_ := [s for s in searches if not s.done]:
+        few = [s for s in open_ if s.rows is not None and s.rows <= FEW]
+        if few:
+            _read(df, _grouped(few), kinds)
+        elif any(s.low is None for s in open_):
+            _ends(df, _grouped([s for s in open_ if s.low is None]), kinds)
         else:
-            _counts(df, list(ranges.values()), kinds)
-        open_ = [s for s in searches if s not in none and len(s.fixed) < len(s.keys)]
-    return [None if s in none else tuple(s.fixed) for s in searches]
+            _counts(df, _grouped(open_), kinds)
+    return [s.found for s in searches]
 
 
-def _ends(df: DataFrame, groups: list[list[_Search]], kinds: dict[str, DataType], none: list[_Search]) -> None:
+def _ends(df: DataFrame, groups: list[list[_Search]], kinds: dict[str, DataType]) -> None:
     """Ends of the ranges that have none yet, in one aggregate."""
-    groups = [g for g in groups if g[0].low is None]
     aggs = []
     for i, g in enumerate(groups):
         s = g[0]
-        inside, c = _inside(s, kinds, ends=False), F.col(s.keys[len(s.fixed)].column)
+        inside, c = _inside(s, kinds), F.col(s.keys[len(s.fixed)].column)
         odd = F.isnan(c) if isinstance(kinds[s.keys[len(s.fixed)].column], (DoubleType, FloatType)) else F.lit(False)
         held = F.when(inside & ~odd, c)
         aggs += [F.min(held).alias(f"low{i}"), F.max(held).alias(f"high{i}"), F.count(held).alias(f"n{i}"),
@@ -171,32 +187,77 @@ def _ends(df: DataFrame, groups: list[list[_Search]], kinds: dict[str, DataType]
         if nans:  # NaN stands above every number
             steps.append((1, float("nan"), float("nan"), nans))
         for s in g:
-            if s.rank > n + nans + nulls:
-                none.append(s)
-            else:
+            if callable(s.rank):
+                s.rank = s.rank(n + nans + nulls)
+            if 1 <= s.rank <= n + nans + nulls:
                 _descend(s, steps, nulls)
+            else:
+                s.done = True
+
+
+def _marked(df: DataFrame, groups: list[list[_Search]], kinds: dict[str, DataType], values: Callable[[_Search], dict[str, Column]],
+            names: Sequence[str]) -> DataFrame:
+    """A row per row and range that holds it: the range's number ``range`` and
+    the columns ``values`` names for it (of ``names``; null otherwise)."""
+    places = []
+    for i, g in enumerate(groups):
+        own = values(g[0])
+        places.append(F.when(_inside(g[0], kinds), F.struct(F.lit(i).alias("range"), *[
+            own.get(n, F.lit(None).cast(kinds.get(n, IntegerType()))).alias(f"c{j}") for j, n in enumerate(names)])))
+    return df.select(F.inline(F.array_compact(F.array(*places))))
 
 
 def _counts(df: DataFrame, groups: list[list[_Search]], kinds: dict[str, DataType]) -> None:
     """One round: every open range counted in steps, in one aggregate."""
+    columns = sorted({g[0].keys[len(g[0].fixed)].column for g in groups})
+
+    def own(s: _Search) -> dict[str, Column]:
+        column = s.keys[len(s.fixed)].column
+        return {column: F.col(column), "": _step(F.col(column), s.low, s.high, kinds[column])}
+
+    rows = _marked(df, groups, kinds, own, ["", *columns])
+    ends = [f(f"c{j + 1}").alias(f"{name}{j}") for j in range(len(columns)) for name, f in (("low", F.min), ("high", F.max))]
     found: dict[int, list] = {}
-    by_column: dict[str, list[int]] = {}
-    for i, g in enumerate(groups):
-        by_column.setdefault(g[0].keys[len(g[0].fixed)].column, []).append(i)
-    for column, members in by_column.items():  # one aggregate per column: steps keep their type
-        kind, c = kinds[column], F.col(column)
-        places = []
-        for i in members:
-            s = groups[i][0]
-            places.append(F.when(_inside(s, kinds), F.struct(F.lit(i).alias("range"), _step(c, s.low, s.high, kind).alias("step"))))
-        rows = df.select(c.alias("value"), F.explode(F.array_compact(F.array(*places))).alias("at"))
-        for r in rows.groupBy("at").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("n")).collect():
-            found.setdefault(r["at"]["range"], []).append((r["at"]["step"], r["low"], r["high"], r["n"]))
+    for r in rows.groupBy("range", "c0").agg(F.count(F.lit(1)).alias("n"), *ends).collect():
+        g = groups[r["range"]][0]
+        j = columns.index(g.keys[len(g.fixed)].column)
+        found.setdefault(r["range"], []).append((r["c0"], r[f"low{j}"], r[f"high{j}"], r["n"]))
     for i, g in enumerate(groups):
         for s in g:
             _descend(s, found[i], 0)
 
 
+def _read(df: DataFrame, groups: list[list[_Search]], kinds: dict[str, DataType]) -> None:
+    """The keys of ranges of at most FEW rows, sorted here."""
+    columns = sorted({k.column for g in groups for s in g for k in s.keys})
+    rows = _marked(df, groups, kinds, lambda s: {c: F.col(c) for c in columns}, columns)
+    held: dict[int, list] = {}
+    for r in rows.collect():
+        held.setdefault(r["range"], []).append(r[1:])
+    for i, g in enumerate(groups):
+        for s in g:
+            at = [columns.index(k.column) for k in s.keys]
+            order = functools.cmp_to_key(functools.partial(_compare, s.keys))
+            s.found = sorted((tuple(r[j] for j in at) for r in held[i]), key=order)[s.rank - 1]
+            s.done = True
+
+
+def _compare(keys: Sequence[Key], x: Sequence, y: Sequence) -> int:
+    """Spark's order of two rows' keys: strings by bytes, NaN above numbers."""
+    for k, a, b in zip(keys, x, y):
+        if a is None or b is None:
+            if a is not b:
+                return -1 if (a is None) == k.nulls_first else 1
+            continue
+        if isinstance(a, str):
+            a, b = a.encode(), b.encode()
+        elif isinstance(a, float):
+            a, b = (a != a, 0.0 if a != a else a), (b != b, 0.0 if b != b else b)
+        if a != b:
+            return -1 if (a < b) != k.descending else 1
+    return 0
+
+
 def is_after(keys: Sequence[Key], row: Sequence, kinds: dict[str, DataType]) -> Column:
     """Whether a row stands after ``row`` in the order of ``keys``."""
     out = F.lit(False)
@@ -216,16 +277,17 @@ def is_after(keys: Sequence[Key], row: Sequence, kinds: dict[str, DataType]) ->
 def ntiles(df: DataFrame, buckets: int, orders: dict[str, Sequence[Key]]) -> DataFrame:
     """``ntile(buckets) over (order by <keys>)`` for each named order, from
     the ``buckets - 1`` cut rows of each.  The orders must be total."""
-    total = df.count()
-    q, m = divmod(total, buckets)
-    lasts = [b * q + min(b, m) for b in range(1, buckets)]  # the last row of each bucket but the final one
-    targets = [(keys, last) for keys in orders.values() for last in lasts]
+    def last(b: int) -> Callable[[int], int]:
+        """The last row of bucket b: the first ``n % buckets`` hold one more."""
+        return lambda n: b * (n // buckets) + min(b, n % buckets)
+
+    targets = [(keys, last(b)) for keys in orders.values() for b in range(1, buckets)]
     cuts = rows_at(df, targets)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     out = {}
     for i, (name, keys) in enumerate(orders.items()):
         bucket = F.lit(1)
-        for cut in cuts[i * len(lasts):(i + 1) * len(lasts)]:
+        for cut in cuts[i * (buckets - 1):(i + 1) * (buckets - 1)]:
             bucket = bucket + (F.lit(1) if cut is None else is_after(keys, cut, kinds).cast("int"))
         out[name] = bucket.cast("int")
     return df.withColumns(out)
@@ -236,22 +298,26 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     default, ``quantile_cont``) over its non-null values; None without any.
     All columns and probabilities advance in the same rounds."""
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    counts = values.agg(*[F.count(c).alias(c) for c in values.columns]).first()
-    places, targets = [], []
-    for c in values.columns:
-        for p in probs:
-            h = (counts[c] - 1) * float(p)
+    shares: dict[tuple[int, int], float] = {}
+
+    def place(i: int, j: int, side: int) -> Callable[[int], int]:
+        def rank(n: int) -> int:
+            h = (n - 1) * float(probs[j])
             low = int(h // 1)
-            places.append((c, h - low))
-            # beyond the values stand the nulls: an empty column gives None
-            targets += [([Key(c)], k + 1) for k in (low, min(low + 1, counts[c] - 1))]
-    found = rows_at(values, targets)
-    out = []
-    for i, (c, t) in enumerate(places):
-        low, high = (r[0] if r else None for r in found[2 * i:2 * i + 2])
+            shares[i, j] = h - low
+            return min(low + side, n - 1) + 1
+        return rank
+
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(probs))]
+    scopes = [F.col(f"v{i}").isNotNull() for i in range(len(cols))]
+    found = rows_at(values, [([Key(f"v{i}")], place(i, j, side)) for i, j in pairs for side in (0, 1)],
+                    [scopes[i] for i, _ in pairs for _ in (0, 1)])
+    out: list[list[float | None]] = [[] for _ in cols]
+    for (i, j), low, high in zip(pairs, found[::2], found[1::2]):
         # weighted form, bit for bit what quantile_cont computes
-        out.append(None if not counts[c] else low * (1 - t) + high * t)
-    return [out[i:i + len(probs)] for i in range(0, len(out), len(probs))]
+        t = shares[i, j]
+        out[i].append(low[0] * (1 - t) + high[0] * t if low else None)
+    return out
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.operators import components as contraction
 from starmart.operators import lookup
 from starmart.operators.components import components
 from starmart.operators.lookup import lookup_join
@@ -36,8 +37,9 @@ def _truth(n, edges):
     return label
 
 
-@pytest.mark.parametrize("shape", ["chain", "star", "random", "mixed"])
-def test_components(spark, shape):
+@pytest.mark.parametrize("shape,few", [("chain", 10), ("star", 0), ("random", 5), ("mixed", 1 << 16)])
+def test_components(spark, monkeypatch, shape, few):
+    monkeypatch.setattr(contraction, "FEW", few)
     g = np.random.default_rng(4)
     n = 200
     edges = {"chain": [(i, i + 1) for i in range(n - 1)], "star": [(7, i) for i in range(n)],
