@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import words as W
-from starmart.llm.common import pick, write_table
+from starmart.llm.common import give_back, pick, write_table
 from starmart.llm.exchange import find
 from starmart.session import scratch_path
 
 BLOCK_BYTES = 4 << 20  # text per block; a longer text is a block of its own
-TABLE_PARTS = 1 << 20  # distinct parts a worker keeps
+TABLE_PARTS = 1 << 19  # distinct parts a worker keeps
 
 _ALIGNED = pa.schema([
     ("key", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
@@ -298,6 +298,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
                 size += len(raw)
         if ids:
             yield close(ids, raws)
+        give_back()
 
     texts = pick(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary"))
     path = scratch_path(docs.sparkSession, "aligned")
