@@ -15,17 +15,21 @@
 Nulls and ties: a null or empty text has no tokens and goes with its whole
 epochs, or with a prefix that reaches its place.  Null domains, languages or
 sources are nodes of their own.  Rows with equal ids and texts stand at one
-place of the order and are taken together.
+place of the order and are taken together.  The caller's columns travel in
+one struct, so their names cannot clash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import write_table
+from starmart.llm import words as W
+from starmart.llm.common import give_back, write_table
 from starmart.llm.joins import join_counted
 
 _SEP, _NULL = "\u0001", "\u0002"
@@ -88,17 +92,46 @@ def budgets(leaves: DataFrame, total: float, weights: Mapping[str, float], max_e
     return budget.select(F.col("node").alias("leaf"), F.col("share").alias("quota"))
 
 
+def count_words(column: pa.Array) -> np.ndarray:
+    """Words of each text: the begins of runs of bytes other than white space."""
+    data, offsets = W.utf8(column)
+    word = ~W._SPACE[data]
+    begins = word.copy()
+    begins[1:] &= ~word[:-1]
+    first = offsets[:-1][offsets[:-1] < offsets[1:]]
+    begins[first] = word[first]  # a text's border also ends a word
+    return np.diff(np.r_[0, np.cumsum(begins)][offsets])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, a text, as its number of words."""
+    for b in batches:
+        for at in range(0, b.num_rows, 512):
+            part = b.slice(at, 512)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(count_words(part.columns[-1]), pa.int64())],
+                                             [*part.schema.names[:-1], "tokens"])
+    give_back()
+
+
 def mix(docs: DataFrame, domain: Column, lang: Column, source: Column, id_col: str = "doc_id",
         text_col: str = "text", total_share: float = 0.5, weights: Mapping[str, float] | None = None,
         max_epochs: int = 2, seed: int = 11) -> DataFrame:
     """The rows taken: the columns of ``docs`` and _epoch (from 0).  The total
     budget is ``total_share`` of the corpus tokens (words)."""
-    count = F.coalesce(F.size(F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda x: x != "")), F.lit(0))
+    return mix_rows(docs, domain, lang, source, id_col, text_col, total_share, weights, max_epochs, seed).select(
+        "row.*", F.col("epoch").alias("_epoch"))
+
+
+def mix_rows(docs: DataFrame, domain: Column, lang: Column, source: Column, id_col: str = "doc_id",
+             text_col: str = "text", total_share: float = 0.5, weights: Mapping[str, float] | None = None,
+             max_epochs: int = 2, seed: int = 11) -> DataFrame:
+    """As ``mix``, the rows in the struct ``row``, beside ``epoch``."""
     place = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    parts = {"_leaf": _key(domain, lang, source), "_place": place}
+    leaf = _key(domain, lang, source)
     narrow = write_table(docs.select(
         domain.cast("string").alias("domain"), lang.cast("string").alias("lang"), source.cast("string").alias("source"),
-        parts["_leaf"].alias("leaf"), place.alias("place"), F.greatest(count, F.lit(0)).cast("long").alias("tokens")), "tokens")
+        leaf.alias("leaf"), place.alias("place"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        _counted, "domain string, lang string, source string, leaf string, place long, tokens long"), "tokens")
     leaves = write_table(narrow.groupBy("leaf", "domain", "lang", "source").agg(
         F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "leaves")
     total = (leaves.agg(F.sum("tokens")).first()[0] or 0) * total_share
@@ -126,14 +159,14 @@ def mix(docs: DataFrame, domain: Column, lang: Column, source: Column, id_col: s
                                     F.col("rest").alias("_rest"))
                        .join(cut.select(F.col("leaf").alias("_leaf"), F.col("bin").alias("_bin")), "_leaf", "left")
                        .join(last.select(F.col("leaf").alias("_leaf"), F.col("last").alias("_last")), "_leaf", "left"), "plan")
-    rows = join_counted(docs.withColumns(parts), plan, "_leaf", "_c", "_place")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), leaf.alias("_leaf"), place.alias("_place"))
+    rows = join_counted(held, plan, "_leaf", "_c", "_place")
     high, low = F.shiftrightunsigned("_place", 52), F.col("_place").bitwiseAND(F.lit((1 << 52) - 1))
     taken = (F.col("_rest") > 0) & (F.col("_bin").isNull() | (high < F.col("_bin"))
                                     | ((high == F.col("_bin")) & (low <= F.coalesce("_last", F.lit(-1)))))
     copies = F.col("_epochs") + F.when(taken, 1).otherwise(0)
     if max_epochs == 1:
-        return rows.filter(copies > 0).select(*docs.columns, F.lit(0).alias("_epoch"))
-    return rows.filter(copies > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(0), copies - 1))).select(
-        *docs.columns, "_epoch")
+        return rows.filter(copies > 0).select("row", F.lit(0).alias("epoch"))
+    return rows.filter(copies > 0).select("row", F.explode(F.sequence(F.lit(0), copies - 1)).alias("epoch"))
 
 
