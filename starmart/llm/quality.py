@@ -13,6 +13,8 @@
 Nulls and ties: a text without words (null, empty, blank) has score 0, is
 rejected and counts for no site.  A null host or path is a site of its own.
 Without labels of both classes every text with words has evidence 0.
+Repeated rows and ids are documents each.  The caller's columns travel in one
+struct, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -22,12 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from starmart.llm import words as W
-from starmart.llm.common import write_table
+from starmart.llm.common import give_back, write_table
 from starmart.llm.joins import join_counted
 from starmart.llm.sample import labelled_texts
 
@@ -103,21 +106,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
     return Classifier(mean, scale, w[:-1], float(w[-1]), float(y.mean()))
 
 
-def _with_evidence(docs: DataFrame, text_col: str, model: Classifier | None) -> DataFrame:
-    """``docs`` and _llr; null where the text has no words."""
-    columns, at = docs.columns, docs.columns.index(text_col)
+def _with_evidence(rows: DataFrame, model: Classifier | None, text_col: str) -> DataFrame:
+    """``rows`` with the _llr of their texts, which stand in the struct
+    ``row`` or, in whose place _llr comes then, in a last column _text; null
+    where a text has no words."""
+    last = rows.columns[-1] == "_text"
+    kept = len(rows.columns) - last
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
-                x = features(part.column(at))
+                x = features(part.columns[-1] if last else pc.struct_field(part.column(0), text_col))
                 blank = ~x.any(1)
                 llr = np.zeros(len(x)) if model is None else model.evidence(x)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(llr, mask=blank)], [*columns, "_llr"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], pa.array(llr, mask=blank)],
+                                                 [*part.schema.names[:kept], "_llr"])
+        give_back()
 
-    schema = StructType([*docs.schema.fields, StructField("_llr", DoubleType())])
-    return docs.mapInArrow(run, schema)
+    schema = StructType([*rows.schema.fields[:kept], StructField("_llr", DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def _strength(mean: float, spread: float, noise: float) -> float:
@@ -149,23 +157,25 @@ def score(docs: DataFrame, model: Classifier | None, host: Column, path: Column,
           threshold: float = 0.5, carry: bool = True) -> DataFrame:
     """The columns of ``docs`` and _score, _keep; with ``carry`` off, all
     columns but the text."""
-    row = F.xxhash64(*[F.col(c) for c in docs.columns if c != text_col])
-    named = docs.withColumn("_host", F.coalesce(host.cast("string"), F.lit("\u0000"))).withColumn(
-        "_path", F.concat_ws("\u0001", "_host", F.coalesce(path.cast("string"), F.lit("\u0000"))))
-    rows = _with_evidence(named.withColumn("_row", row), text_col, model)
+    return score_rows(docs, model, host, path, text_col, threshold, carry).select(
+        "row.*", F.col("score").alias("_score"), F.col("keep").alias("_keep"))
+
+
+def score_rows(docs: DataFrame, model: Classifier | None, host: Column, path: Column, text_col: str = "text",
+               threshold: float = 0.5, carry: bool = True) -> DataFrame:
+    """As ``score``, the rows in the struct ``row``, beside score and keep.
+    Every text is scored once; rows and evidence are a written table."""
+    host = F.coalesce(host.cast("string"), F.lit("\u0000"))
+    rows = _with_evidence(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if carry or c != text_col]).alias("row"),
+        host.alias("_host"), F.concat_ws("\u0001", host, F.coalesce(path.cast("string"), F.lit("\u0000"))).alias("_path"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("_spread"),
+        *([] if carry else [F.col(f"`{text_col}`").alias("_text")])), model, text_col)
     base = 0.5 if model is None else model.base
-    p = 1 / (1 + F.exp(-(F.col("_llr") + F.lit(float(np.log(base / (1 - base)))))))
-    rows = rows.withColumn("_p", p)
-    if not carry:
-        rows = write_table(rows.drop(text_col), "evidence")
-        narrow = rows
-    else:
-        narrow = _with_evidence(named.select(text_col, "_host", "_path"), text_col, model).withColumn("_p", p)
-        narrow = narrow.drop(text_col)
-    sites = write_table(site_rates(narrow.filter("_llr IS NOT NULL")), "rates")
-    rows = join_counted(rows, sites.withColumn("_c", F.col("_n")), "_path", "_c", "_row")
+    rows = write_table(rows.withColumn("_p", 1 / (1 + F.exp(-(F.col("_llr") + F.lit(float(np.log(base / (1 - base)))))))), "evidence")
+    sites = write_table(site_rates(rows.select("_host", "_path", "_llr", "_p").filter("_llr IS NOT NULL")), "rates")
+    rows = join_counted(rows, sites.withColumn("_c", F.col("_n")), "_path", "_c", "_spread")
     rate = (F.col("_k") * F.col("_prior") + F.col("_sum") - F.col("_p")) / (F.col("_k") + F.col("_n") - 1)
     rate = F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))
     post = F.coalesce(1 / (1 + F.exp(-(F.col("_llr") + F.log(rate / (1 - rate))))), F.lit(0.0))
-    out = rows.withColumn("_score", post).withColumn("_keep", F.col("_score") >= threshold)
-    return out.select(*[c for c in docs.columns if carry or c != text_col], "_score", "_keep")
+    return rows.select("row", post.alias("score"), (post >= threshold).alias("keep"))
