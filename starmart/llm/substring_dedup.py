@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import exchange as X
 from starmart.llm import words as W
-from starmart.llm.common import ids, pick
+from starmart.llm.common import give_back, ids, pick
 
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
@@ -109,6 +109,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs``, with _n_words and _n_removed, and in the text the
     kept words joined by one space.  Without ``as_words`` a text that loses
     nothing stays as it is.  Other columns are carried along."""
+    return dedup_rows(docs, id_col, text_col, window, period, cover, as_words).select(
+        "row.*", F.col("n_words").alias("_n_words"), F.col("n_removed").alias("_n_removed"))
+
+
+def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER,
+               as_words: bool = True) -> DataFrame:
+    """As ``dedup_substrings``, the rows in the struct ``row``, beside n_words
+    and n_removed: the caller's columns may have any names."""
     if not covers(period, cover) or period > window:
         raise ValueError("cover must hold every difference modulo a period within the window")
     size = window - period + 1
@@ -173,6 +182,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 a = w.first[i]
                 own = [x for x, g in zip(own, gone[a:a + len(own)]) if not g]
             texts.append(b" ".join(own).decode())
+        give_back()
         return pa.table({"doc_id": left["doc_id"], "text": pa.array(texts, pa.string()),
                          **{f"_c{i}": left[f"_c{i}"] for i in range(len(rest))},
                          "_n_words": pa.array(np.diff(w.first)), "_n_removed": pa.array(removed)})
@@ -183,7 +193,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     smallest = found.groupBy("rng").applyInArrow(_smallest, _WINDOWS)
     out = dealt.groupBy("block").cogroup(smallest.groupBy("block")).applyInArrow(keep, kept)
     own = {id_col: "doc_id", text_col: "text", **{c: f"_c{i}" for i, c in enumerate(rest)}}
-    return out.select(*[F.col(own[c]).alias(c) for c in docs.columns], "_n_words", "_n_removed")
+    return out.select(F.struct(*[F.col(own[c]).alias(c) for c in docs.columns]).alias("row"),
+                      F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"))
 
 
 CELLS = pa.schema([("rng", pa.int32()), ("block", pa.int64()), ("lows", pa.binary()), ("counts", pa.binary())])
