@@ -33,12 +33,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import exchange as X
 from starmart.llm import words as W
-from starmart.llm.common import ids, pick, write_table
+from starmart.llm.common import give_back, ids, pick, write_table
 from starmart.llm.graph import components
 from starmart.llm.joins import join_counted
 
@@ -145,6 +145,7 @@ def _verify(percent: int):
         for left, right in groups.values():
             if left and len(left) + len(right) > 1:
                 out += cell(left, right or None)
+        give_back()
         return pa.table({"u": pa.array([x[0] for x in out], pa.int64()),
                          "v": pa.array([x[1] for x in out], pa.int64())})
 
@@ -182,21 +183,26 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
              .withColumn("b1", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p1") - 1)))
              .withColumn("b2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p2") - 1)))
              .filter("h1 < h2 OR b1 <= b2"))
+    cells = write_table(cells.select("h1", "b1", "h2", "b2"), "cells")
     ends = cells.select(
         F.xxhash64("h1", "b1", "h2", "b2").alias("cell"),
         F.inline(F.array(F.struct(F.lit(0).alias("side"), F.col("h1").alias("home"), F.col("b1").alias("part")),
                          F.struct(F.when((F.col("h1") < F.col("h2")) | (F.col("b1") < F.col("b2")), 1).alias("side"),
                                   F.col("h2").alias("home"), F.col("b2").alias("part"))))).filter("side IS NOT NULL")
-    tasks = max(1, homes.count() // 256)
+    # of the small cells many, of the large ones of a big group few go to a task
+    tasks = max(1, homes.count() // 256, cells.count() // 16)
     rows = ends.join(placed, ["home", "part"]).select(
         F.pmod(F.xxhash64("cell"), F.lit(tasks)).alias("task"), "cell", "side", "doc_id", "tokens")
     return rows.groupBy("task").applyInArrow(_verify(percent), "u long, v long")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
-               percent: int = 85, rare: int = RARE, classes: int = CLASSES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+               percent: int = 85, rare: int = RARE, classes: int = CLASSES, mark: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, and
+    ``mark``, where one is given to tell rows of one id apart."""
     blocks, bits = X.layout(docs, text_col)
+    marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                         (F.lit(None) if mark is None else mark).cast("string").alias("mark")).withColumn("block", X.block_of(blocks))
     dealt = pick(docs, id_col, text_col).withColumn("block", X.block_of(blocks))
 
     def digest(batches):
@@ -204,10 +210,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             w = W.words(*W.utf8(b.column(1)), lower=True)
             d = [xxhash.xxh3_128_digest(w.hash[x:y].tobytes()) if y > x else None
                  for x, y in zip(w.first[:-1], w.first[1:])]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(d, pa.binary()), b.column(2)],
-                                             ["doc_id", "digest", "block"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(d, pa.binary()), b.column(2), b.column(3)],
+                                             ["doc_id", "digest", "mark", "block"])
+        give_back()
 
-    marks = write_table(dealt.mapInArrow(digest, "doc_id long, digest binary, block long"), "digests")
+    marks = write_table(marked.mapInArrow(digest, "doc_id long, digest binary, mark string, block long"), "digests")
     heads = write_table(
         marks.filter("digest IS NOT NULL").groupBy("digest")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "block")).alias("least"), F.count("*").alias("c"))
@@ -255,7 +262,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result = write_table(result, "classes")
     out = join_counted(marks, result, "digest", "c", "doc_id")
     return out.select(
-        "doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"),
+        "doc_id", *([] if mark is None else ["mark"]), F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
