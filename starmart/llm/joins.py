@@ -20,18 +20,18 @@ def join_counted(big: DataFrame, small: DataFrame, key: str, count: str, spread:
     values = [c for c in small.columns if c not in (key, count)]
     total = small.agg(F.sum(count)).first()[0] or 0
     hot = small.filter(F.col(count) * HOT > F.lit(total)).select(
-        F.col(key).alias("_hk"), *[F.col(v).alias(f"_h_{v}") for v in values])
-    rows = big.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    is_hot = F.col("_hk").isNotNull()
+        F.col(key).alias("__jc_hk"), *[F.col(v).alias(f"__jc_h_{v}") for v in values])
+    rows = big.join(F.broadcast(hot), F.col(key) == F.col("__jc_hk"), "left")
+    is_hot = F.col("__jc_hk").isNotNull()
     rows = rows.withColumns({
-        "_key": F.when(~is_hot, F.col(key)),
-        "_salt": F.when(is_hot | F.col(key).isNull(), F.xxhash64(spread).bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0).cast("long")),
+        "__jc_key": F.when(~is_hot, F.col(key)),
+        "__jc_salt": F.when(is_hot | F.col(key).isNull(), F.xxhash64(spread).bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0).cast("long")),
     })
     rest = small.filter(F.col(count) * HOT <= F.lit(total)).select(
-        F.col(key).alias("_key"), F.lit(0).cast("long").alias("_salt"), F.lit(True).alias("_found"),
-        *[F.col(v).alias(f"_l_{v}") for v in values])
-    out = rows.join(rest, ["_key", "_salt"], "left")
+        F.col(key).alias("__jc_key"), F.lit(0).cast("long").alias("__jc_salt"), F.lit(True).alias("__jc_found"),
+        *[F.col(v).alias(f"__jc_l_{v}") for v in values])
+    out = rows.join(rest, ["__jc_key", "__jc_salt"], "left")
     if how == "inner":
-        out = out.filter(is_hot | F.col("_found"))
+        out = out.filter(is_hot | F.col("__jc_found"))
     return out.select(*[F.col(c) for c in big.columns],
-                      *[F.when(is_hot, F.col(f"_h_{v}")).otherwise(F.col(f"_l_{v}")).alias(v) for v in values])
+                      *[F.when(is_hot, F.col(f"__jc_h_{v}")).otherwise(F.col(f"__jc_l_{v}")).alias(v) for v in values])

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert [n for n, _ in C.STAGES] == ["quality", "ngram_join", "substring_dedup", "mixing", "packing"]
 
