@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators import hierarchy
 from starmart.operators import kmedoids as km
 from starmart.params import Params
 from starmart.plans import analytics
@@ -54,8 +55,7 @@ def kmeans(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 
 def bisecting(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """ML-8: the hierarchy re-aimed as divisive bisecting k-means (Ward's
-    agglomerative linkage is O(n^2) on one machine)."""
+    """ML-8 from the top: divisive bisecting k-means."""
     model = BisectingKMeans(k=k, seed=seed, featuresCol="features",
                             predictionCol="cluster").fit(df)
     return model.transform(df)
@@ -73,6 +73,16 @@ def kmedoids(df: DataFrame, feats: Sequence[str], k: int, seed: int = 42) -> Dat
     return km.kmedoids(df, "customer_id", feats, k, seed)
 
 
+def ward_tree(df: DataFrame, feats: Sequence[str], seed: int = 42) -> hierarchy.Hierarchy:
+    """ML-8 from the bottom: Ward's linkage with merge heights, over bounded
+    summaries of the rows (see :mod:`starmart.operators.hierarchy`)."""
+    return hierarchy.fit(df, "customer_id", feats, seed=seed)
+
+
+def ward(df: DataFrame, feats: Sequence[str], k: int, seed: int = 42) -> DataFrame:
+    return hierarchy.assign(df.drop("features"), feats, ward_tree(df, feats, seed), k)
+
+
 METHODS = {"kmeans": kmeans, "bisecting": bisecting, "gmm": gmm}
 
 
@@ -80,6 +90,8 @@ def cluster(df: DataFrame, feats: Sequence[str], method: str, k: int, seed: int
             ) -> DataFrame:
     if method == "kmedoids":
         return kmedoids(df, feats, k, seed)
+    if method == "ward":
+        return ward(df, feats, k, seed)
     if method == "dbscan":
         from starmart.operators.dbscan import dbscan
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import oracle
-from starmart.operators import classification, cluster_eval, iforest, quality, stats
+from starmart.operators import classification, cluster_eval, hierarchy, iforest, quality, stats
 from starmart.params import FIXTURE_PARAMS as P
 from starmart.plans import analytics, marts, reports, segmentation, star
 from starmart.plans import churn as churn_plan
@@ -332,8 +332,15 @@ def _passes(spark, sf_dir, method):
     return out
 
 
-for _m in ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan"):
-    register(_m)(lambda spark, sf_dir, _m=_m: _passes(spark, sf_dir, _m))
+for _m in ("kmeans", "bisecting", "ward", "gmm", "kmedoids", "dbscan"):
+    register(_m, oracle.REPORTS.get(_m))(lambda spark, sf_dir, _m=_m: _passes(spark, sf_dir, _m))
+
+
+@register("merge_heights")
+def q_merge_heights(spark, sf_dir):
+    """The merges of Ward's hierarchy, which a dendrogram draws (ML-8)."""
+    df, feats = segmentation.features_frame(_star(spark, sf_dir), P, "full")
+    return hierarchy.linkage_table(df, segmentation.ward_tree(df, feats))
 
 
 @register("elbow")
@@ -353,7 +360,7 @@ def q_pca(spark, sf_dir):
     return out
 
 
-METHOD_NAMES = ("kmeans", "bisecting", "gmm", "kmedoids", "dbscan")
+METHOD_NAMES = ("kmeans", "bisecting", "ward", "gmm", "kmedoids", "dbscan")
 
 
 def _labellings(spark, sf_dir, columns):
