@@ -29,8 +29,8 @@ def hot_keys(big: DataFrame, key: str) -> DataFrame:
 
 def lookup_join(big: DataFrame, small: DataFrame, key: str, values: Sequence[str], spread: str,
                 how: str = "left") -> DataFrame:
-    """``big`` with the columns ``values`` of ``small``, whose ``key`` is
-    unique.  ``how``: left or inner; rows with a null key match nothing.  The
+    """``big`` with the columns ``values`` of ``small``; a key that ``small``
+    holds several times gives a row each, so it should hold few.  ``how``: left or inner; rows with a null key match nothing.  The
     names of ``big``'s columns are free: they travel in one struct."""
     rows = big.select(F.struct(*[F.col(f"`{c}`") for c in big.columns]).alias("row"),
                       F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{spread}`")).alias("spread"))

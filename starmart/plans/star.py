@@ -13,6 +13,7 @@ from starmart.functions import (
     day_of_week0,
     month_name_padded,
 )
+from starmart.operators.lookup import lookup_join
 from starmart.operators.ordered import with_row_number
 from starmart.params import Params
 from starmart.session import write_table
@@ -106,21 +107,22 @@ def fact_sales(staging: DataFrame, d_customer: DataFrame, d_product: DataFrame,
     """T-6: order-line fact; unresolved keys become -1 (unknown member).
 
     The dimensions are read from written tables, so the planner knows their
-    bytes and AQE their runtime size; each is broadcast only under the
-    session's threshold.  The joined lines are written before they are
-    numbered: range sampling then reads three columns instead of repeating
-    the joins.
+    bytes; each is broadcast only under the session's threshold.  Beyond it,
+    customers and products meet the lines in lookup joins that no customer or
+    product with many lines can overload (:mod:`starmart.operators.lookup`).
+    The joined lines are written before they are numbered: range sampling
+    then reads three columns instead of repeating the joins.
     """
-    s = staging.where(F.col("order_id").isNotNull())
-    cust = d_customer.select("customer_id", "customer_key")
-    prod = d_product.select("product_id", "product_key")
+    s = staging.where(F.col("order_id").isNotNull()).select(
+        "row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id", "product_id",
+        "sales", "quantity", "discount", "profit")
     ship = d_ship.select("ship_mode", "ship_mode_key")
     dates = d_date.select("date_key")
     od = dates.select(F.col("date_key").alias("od_key"))
     sd = dates.select(F.col("date_key").alias("sd_key"))
-    joined = (s.join(cust, "customer_id", "left")
-              .join(prod, "product_id", "left")
-              .join(ship, "ship_mode", "left")
+    joined = lookup_join(s, d_customer, "customer_id", ["customer_key"], "row_id")
+    joined = lookup_join(joined, d_product, "product_id", ["product_key"], "row_id")
+    joined = (joined.join(ship, "ship_mode", "left")
               .join(od, date_key(F.col("order_date")) == F.col("od_key"), "left")
               .join(sd, date_key(F.col("ship_date")) == F.col("sd_key"), "left"))
     sales, profit = F.col("sales"), F.col("profit")
