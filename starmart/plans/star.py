@@ -13,6 +13,7 @@ from starmart.functions import (
     day_of_week0,
     month_name_padded,
 )
+from starmart.operators.gate import Rules
 from starmart.operators.lookup import lookup_join
 from starmart.operators.ordered import with_row_number
 from starmart.params import Params
@@ -146,6 +147,14 @@ def fact_sales(staging: DataFrame, d_customer: DataFrame, d_product: DataFrame,
     return keyed.select("sales_key", *[c for c in fact.columns])
 
 
+def fact_rules() -> Rules:
+    """What the fact's constraints ask for: its key, its order and its five
+    references, in the order in which a line's first violation is named."""
+    references = ("customer_key", "product_key", "ship_mode_key", "order_date_key", "ship_date_key")
+    return Rules("sales_key", ["order_id"], {c: -1 for c in references},
+                 {"discount out of range": ~F.col("discount").between(0, 1)})
+
+
 def fact_sales_view(fact: DataFrame) -> DataFrame:
     """The fact with money as DOUBLE (exact decimal inside, double outside)."""
     return fact.select(

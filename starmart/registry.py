@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import oracle
-from starmart.operators import classification, cluster_eval, hierarchy, iforest, quality, stats
+from starmart.operators import classification, cluster_eval, gate, hierarchy, iforest, quality, stats
 from starmart.params import FIXTURE_PARAMS as P
 from starmart.plans import analytics, marts, reports, segmentation, star
 from starmart.plans import churn as churn_plan
@@ -464,6 +464,18 @@ def q_catalog_round_trip(spark, sf_dir):
                               f"year = {P.current_year}")
 
 
+@register("load_gate", oracle.REPORTS["load_gate"])
+def q_load_gate(spark, sf_dir):
+    """CHK-1, CHK-2, CHK-3 in the write pass: the fact loaded through the
+    gate, and how many lines its table and its quarantine hold, by reason."""
+    name = f"starmart_{os.path.basename(scratch_path(spark)).replace('-', '_')}"
+    catalog.create_namespaces(spark, scratch_path(spark, "catalog"), (name,))
+    gate.gated_load(_star(spark, sf_dir).fact, f"{name}.fact_sales", star.fact_rules())
+    held = spark.table(f"{name}.fact_sales").select("violation").unionByName(
+        spark.table(f"{name}.fact_sales_quarantine").select("violation"))
+    return held.groupBy(F.coalesce("violation", F.lit("accepted")).alias("outcome")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     return churn_plan.feature_importance(_churn_model(spark, sf_dir))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,11 +78,16 @@ def _drop_versions(spark: SparkSession, name: str, keep: Iterable[str | None]) -
             files.delete(path, True)
 
 
-def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), where: str | None = None) -> None:
+def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
+                  parts: Mapping[str, str] | None = None, check: Callable[[], None] | None = None) -> None:
     """IO-3 / IO-5: replace-load (``DROP`` + ``CREATE TABLE AS``), optionally
     partitioned (the fact by order year and month, so a date filter prunes
-    files).  The table is replaced at once or not at all.  ``where`` limits
-    the entry to a part of what is written (see the load gate)."""
+    files).  The table is replaced at once or not at all.
+
+    With ``parts``, entries by name, each for the rows of a condition, stand
+    in for the one entry (see :mod:`starmart.operators.gate`).  ``check`` is
+    called when all is written and before the switch; if it raises, the
+    entries stay as they were."""
     spark = df.sparkSession
     before = current_version(spark, name)
     new = f"v-{uuid.uuid4().hex}"
@@ -91,6 +96,9 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), wh
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+    folder, files = _files(spark, path)
+    if partition_by and not any(f.isDirectory() for f in files.listStatus(folder)):  # no rows: leave the schema
+        spark.createDataFrame([], df.schema).write.mode("append").parquet(path)
     if spark.catalog.tableExists(name) and not _is_view(spark, name):
         spark.sql(f"DROP TABLE {name}")  # loaded before there were versions
     columns = ", ".join(f"`{c}`" for c in df.columns)
@@ -98,8 +106,12 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), wh
     if partition_by:
         kinds = dict(df.dtypes)
         columns = ", ".join(f"CAST(`{c}` AS {kinds[c]}) AS `{c}`" if c in partition_by else f"`{c}`" for c in df.columns)
-    rows = f" WHERE {where}" if where else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`{rows}")  # the switch
+    if check is not None:
+        check()
+    # the switch; the table's own entry comes last
+    for entry, where in sorted((parts or {name: ""}).items(), key=lambda e: e[0] == name):
+        rows = f" WHERE {where}" if where else ""
+        spark.sql(f"CREATE OR REPLACE VIEW {entry} AS SELECT {columns} FROM parquet.`{path}`{rows}")
     _drop_versions(spark, name, (before, new))
 
 
