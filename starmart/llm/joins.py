@@ -27,8 +27,10 @@ def join_counted(big: DataFrame, small: DataFrame, key: str, count: str, spread:
         "__jc_key": F.when(~is_hot, F.col(key)),
         "__jc_salt": F.when(is_hot | F.col(key).isNull(), F.xxhash64(spread).bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0).cast("long")),
     })
+    # 0, but no constant: a constant would leave the join's keys and with it the partitioning
+    zero = F.xxhash64(key).bitwiseAND(F.lit(0).cast("long"))
     rest = small.filter(F.col(count) * HOT <= F.lit(total)).select(
-        F.col(key).alias("__jc_key"), F.lit(0).cast("long").alias("__jc_salt"), F.lit(True).alias("__jc_found"),
+        F.col(key).alias("__jc_key"), zero.alias("__jc_salt"), F.lit(True).alias("__jc_found"),
         *[F.col(v).alias(f"__jc_l_{v}") for v in values])
     out = rows.join(rest, ["__jc_key", "__jc_salt"], "left")
     if how == "inner":

@@ -179,3 +179,22 @@ def test_join_counted_keeps_every_row(spark):
         got = collections.Counter(tuple(r) for r in join_counted(big, small, "k", "c", "r", how).collect())
         want = collections.Counter(tuple(r) for r in big.join(small.select("k", "v"), "k", how).select("r", "k", "v").collect())
         assert got == want
+
+
+def test_counted_join_spreads_hot_keys(spark):
+    """Three quarters of the rows share a key; without broadcasts by size and
+    without skew handling no task gets over twice the median."""
+    big = spark.range(0, 40000, 1, 4).selectExpr("id AS r", "CASE WHEN id % 4 > 0 THEN 7 ELSE id % 3000 END AS k")
+    small = big.groupBy("k").agg(F.count("*").alias("c"), F.max("r").alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = join_counted(big, small, "k", "c", "r").withColumn("task", F.spark_partition_id())
+        held = sorted(r.n for r in out.groupBy("task").agg(F.count("v").alias("n")).collect())
+        assert sum(held) == 40000 and len(held) == 8 and held[-1] <= 2 * held[4]
+        assert out.filter("v IS NULL").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
