@@ -5,7 +5,8 @@ than HOT hot keys whatever the data: their few lookup rows are a broadcast
 with a proven bound.  All other keys meet in a shuffle join, in which the
 rows of hot keys (and rows without a key) are dealt out evenly by a hash of
 ``spread``, as they need no partner there.  One pass over the big side; its
-counts come from a partial aggregate over the key column alone.
+counts come from a partial aggregate over the key column alone, of which only
+the hot keys reach the driver.
 """
 
 from __future__ import annotations
@@ -14,39 +15,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from starmart.session import write_table
+from pyspark.sql import types as T
 
 HOT = 1024
 
 
-def hot_keys(big: DataFrame, key: str) -> DataFrame:
-    """The keys of ``big`` with over 1/HOT of its rows; fewer than HOT rows."""
-    counts = write_table(big.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n")), "key_counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.where(F.col("n") * HOT > F.lit(total)).select("key")
+def hot_keys(big: DataFrame, key: str) -> list:
+    """The keys of ``big`` with over 1/HOT of its rows: fewer than HOT."""
+    total = big.count()
+    counts = big.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    return [r.key for r in counts.where(F.col("n") * HOT > F.lit(total)).select("key").collect()]
 
 
 def lookup_join(big: DataFrame, small: DataFrame, key: str, values: Sequence[str], spread: str,
                 how: str = "left") -> DataFrame:
     """``big`` with the columns ``values`` of ``small``; a key that ``small``
-    holds several times gives a row each, so it should hold few.  ``how``: left or inner; rows with a null key match nothing.  The
-    names of ``big``'s columns are free: they travel in one struct."""
+    holds several times gives a row each, so it should hold few.  ``how``:
+    left or inner; rows with a null key match nothing.  The names of ``big``'s
+    columns are free: they travel in one struct."""
     rows = big.select(F.struct(*[F.col(f"`{c}`") for c in big.columns]).alias("row"),
                       F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{spread}`")).alias("spread"))
     table = small.select(F.col(f"`{key}`").alias("key"), F.struct(*[F.col(f"`{v}`") for v in values]).alias("found"))
-    hot = hot_keys(rows, "key")
-    few = table.join(F.broadcast(hot), "key", "left_semi").select(
-        F.col("key").alias("hot_key"), F.col("found").alias("hot_found"))
-    # a hot key may have no lookup row: hotness itself is the broadcast's own column
-    rows = rows.join(F.broadcast(hot.select(F.col("key").alias("is_hot"))), F.col("key") == F.col("is_hot"), "left")
-    rows = rows.join(F.broadcast(few), F.col("key") == F.col("hot_key"), "left")
-    alone = F.col("is_hot").isNotNull() | F.col("key").isNull()
+    keys = hot_keys(big.select(F.col(f"`{key}`").alias("key")), "key")
+    alone = F.col("key").isNull()
+    if keys:
+        hot = big.sparkSession.createDataFrame([(k,) for k in keys], T.StructType([T.StructField("hot_key", table.schema["key"].dataType)]))
+        # a hot key may have no lookup row
+        few = hot.join(table.withColumnRenamed("found", "hot_found"), F.col("hot_key") == F.col("key"), "left").drop("key")
+        rows = rows.join(F.broadcast(few), F.col("key") == F.col("hot_key"), "left")
+        alone = alone | F.col("hot_key").isNotNull()
     rows = rows.withColumns({
         "cold": F.when(~alone, F.col("key")),
         "turn": F.when(alone, F.col("spread").bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0).cast("long"))})
-    rest = table.select(F.col("key").alias("cold"), F.lit(0).cast("long").alias("turn"), F.col("found").alias("cold_found"))
-    out = rows.join(rest, ["cold", "turn"], "left").withColumn("found", F.coalesce("hot_found", "cold_found"))
+    # 0, but no constant: a constant would leave the join's keys and with it the partitioning
+    zero = F.xxhash64("key").bitwiseAND(F.lit(0).cast("long"))
+    rest = table.select(F.col("key").alias("cold"), zero.alias("turn"), F.col("found").alias("cold_found"))
+    out = rows.join(rest, ["cold", "turn"], "left")
+    out = out.withColumn("found", F.coalesce("hot_found", "cold_found") if keys else F.col("cold_found"))
     if how == "inner":
         out = out.where(F.col("found").isNotNull())
     return out.select("row.*", *[F.col("found").getField(v).alias(v) for v in values])

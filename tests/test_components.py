@@ -10,10 +10,10 @@ from starmart.operators.components import components
 from starmart.operators.lookup import lookup_join
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_join_equals_plain_join(spark, monkeypatch, how):
+@pytest.mark.parametrize("how,hot", [("left", 8), ("inner", 8), ("left", 1), ("inner", 1)])
+def test_lookup_join_equals_plain_join(spark, monkeypatch, how, hot):
     """Hot, cold, missing and null keys; columns named as the operator's own."""
-    monkeypatch.setattr(lookup, "HOT", 8)
+    monkeypatch.setattr(lookup, "HOT", hot)
     rows = [(i, None if i % 11 == 0 else 1 if i % 3 else 2 if i % 2 else i % 50 + 100, i) for i in range(600)]
     big = spark.createDataFrame(rows, "id long, key long, found int").repartition(4)
     small = spark.createDataFrame([(1, "one", 1.0)] + [(i, f"n{i}", float(i)) for i in range(100, 140)], "key long, name string, value double")
@@ -21,7 +21,27 @@ def test_lookup_join_equals_plain_join(spark, monkeypatch, how):
     want = big.join(small, "key", how).select("id", "key", "found", "name", "value")
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    assert {r.key for r in lookup.hot_keys(big, "key").collect()} == {1, 2}  # 2 has no lookup row
+    monkeypatch.setattr(lookup, "HOT", 8)
+    assert set(lookup.hot_keys(big, "key")) == {1, 2}  # 2 has no lookup row
+
+
+def test_hot_key_is_spread(spark):
+    """Three quarters of the rows share a key: without broadcasts by size and
+    without skew handling, no task of the join gets over twice the median."""
+    rows = spark.range(0, 40000, 1, 4).selectExpr("id", "CASE WHEN id % 4 > 0 THEN 7 ELSE id % 3000 END AS key")
+    small = spark.range(3000).selectExpr("id AS key", "concat('n', id) AS name")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = lookup_join(rows, small, "key", ["name"], "id").withColumn("task", F.spark_partition_id())
+        held = sorted(r.n for r in out.groupBy("task").agg(F.count("name").alias("n")).collect())
+        assert sum(held) == 40000 and len(held) == 8 and held[-1] <= 2 * held[4]
+        assert out.where("name IS NULL OR name <> concat('n', key)").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _truth(n, edges):
