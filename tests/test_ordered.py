@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.ordered import (
     grouped_exact_quantiles,
+    joined_row_number,
     with_rank,
     with_row_number,
     with_running_sums,
@@ -128,3 +129,32 @@ def test_hot_value_is_spread_over_partitions(skewed):
     sizes = [r["count"] for r in laid.groupBy(_PID).count().collect()]
     assert sum(sizes) == 3000 and len(sizes) == 8
     assert max(sizes) < 0.2 * 3000  # the hot value alone would be a third
+
+
+def test_joined_row_number_matches_the_window_over_the_join(spark):
+    rng = np.random.default_rng(3)
+    keys = [None, -5, 10 ** 12, *rng.integers(0, 60, 700).tolist()]
+    big = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    # keys that come twice, a null one and one that no line has
+    small = spark.createDataFrame([(k, f"s{k}") for k in [None, -5, 999, *range(5, 60), 7, 7]], "o long, s string")
+    order = [F.col("k").asc_nulls_last(), F.col("i").asc_nulls_last()]
+    ours = joined_row_number(big, small, "k", "o", order, big.select("k"), "rn", 3)
+    assert ours.columns == ["k", "i", "s", "rn"]
+    ref = big.join(small, F.col("k") == F.col("o")).drop("o").withColumn("rn", F.row_number().over(Window.orderBy(*order)))
+    assert sorted((r.k, r.i, r.s) for r in ours.collect()) == sorted((r.k, r.i, r.s) for r in ref.collect())
+    assert [(r.k, r.i, r.rn) for r in ours.orderBy("rn").collect()] == [(r.k, r.i, r.rn) for r in ref.orderBy("rn").collect()]
+
+
+def test_joined_row_number_without_rows(spark):
+    big = spark.createDataFrame([], "k long, i long")
+    small = spark.createDataFrame([(1, "a")], "o long, s string")
+    assert joined_row_number(big, small, "k", "o", [F.col("k"), F.col("i")], big, "rn", 2).count() == 0
+
+
+def test_a_written_table_is_dealt_into_tasks_by_its_rows(spark, monkeypatch):
+    from starmart import session
+
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    rows = spark.range(1000).coalesce(1)
+    assert session.spread(rows, "id").rdd.getNumPartitions() == 10
+    assert session.spread(rows.limit(100), "id").rdd.getNumPartitions() == 1

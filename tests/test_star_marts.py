@@ -181,3 +181,43 @@ def test_scratch_of_a_run_can_be_dropped(spark):
         assert os.path.isdir(local) and session.drop_scratch(spark) and not os.path.exists(local)
     finally:
         session._scratch_root = own
+
+
+def test_hot_keys_are_counted_on_the_staging_lines_and_no_line_is_sorted_for_a_customer(spark, make_staging, monkeypatch):
+    from conftest import D, line
+    from starmart.operators import lookup
+    from starmart.params import FIXTURE_PARAMS
+    from starmart.plans import star
+
+    staging = make_staging([line(i, i // 2, D(2020, 1, 1 + i % 5), customer_id=i % 7, product_id=i % 3) for i in range(1, 40)])
+    plans, real, numbered = [], lookup.hot_keys, star.with_row_number
+
+    def seen(df, key):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, key)
+
+    def firsts(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return numbered(df, *args)
+
+    monkeypatch.setattr(lookup, "hot_keys", seen)
+    built = star.build_star(staging, FIXTURE_PARAMS)
+    assert built.fact.count() == 39
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    plans.clear()
+    monkeypatch.setattr(star, "with_row_number", firsts)
+    star.dim_customer(staging, FIXTURE_PARAMS)
+    lowest = [row for row in plans[0].splitlines() if "Aggregate" in row][-1]
+    assert "HashAggregate" in lowest
+
+
+def test_distinct_on_takes_one_whole_line(spark, make_staging):
+    from conftest import D, line
+    from starmart.params import FIXTURE_PARAMS
+    from starmart.plans import reports, star
+
+    staging = make_staging([line(4, 40, D(2020, 1, 4), city="A"), line(2, 20, D(2020, 1, 2), city="B"),
+                            line(3, 30, D(2020, 1, 3), city="A"), line(9, 90, D(2020, 1, 9), customer_id=2, city=None)])
+    st = star.Star(staging, None, None, None, None, None)
+    got = sorted(tuple(r) for r in reports.distinct_on(st, FIXTURE_PARAMS).collect())
+    assert got == [(1, 2, 20, "B", D(2020, 1, 2)), (2, 9, 90, None, D(2020, 1, 9))]
