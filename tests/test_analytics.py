@@ -295,3 +295,20 @@ def test_segment_mix_shares_sum_to_one(spark):
     for r in cluster_eval.segment_mix(df, "cluster").collect():
         total[r.cluster] = total.get(r.cluster, 0) + r.share
     assert total == pytest.approx({0: 1.0, 1: 1.0, 2: 1.0})
+
+
+def test_dbscan_gathers_the_few_points_of_many_blocks(spark, monkeypatch):
+    from starmart.operators import dbscan as db
+
+    rng = np.random.default_rng(5)
+    dense = rng.normal(0, 0.1, (300, 2))
+    far = np.column_stack([rng.uniform(-50, 50, 24), rng.uniform(-50, 50, 24)])  # a lone point in most blocks
+    x = np.concatenate([dense, far])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "customer_id long, a double, b double")
+    held, real = [], db._near_pairs_between
+    monkeypatch.setattr(db, "_near_pairs_between", lambda left, right, e: held.append((left.count(), right.count())) or real(left, right, e))
+    got = {r.customer_id: r.cluster for r in db.dbscan(df, "customer_id", ["a", "b"], eps=1.0, min_samples=5, block=16).collect()}
+    near = ((x[:, None] - x[None]) ** 2).sum(-1) <= 1.0
+    core = near.sum(1) >= 5
+    assert all((got[i] == 0) == bool(core[i] or (near[i] & core).any()) for i in range(len(x)))
+    assert held[0][0] <= 4 and held[1][0] <= 4 and held[0][1] > 15  # of some 20 blocks
