@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.partials import added
-from starmart.session import write_table
+from starmart.session import spread, write_table
 
 BINS = 64
 STRIDE = 15
@@ -123,8 +123,9 @@ def fit(df: DataFrame, id_col: str, features: Sequence[str], label: str, rounds:
     d = len(features)
     df = df.where(F.col(label).isNotNull())
     probs = [i / bins for i in range(1, bins)]
-    start = df.agg(F.avg(F.col(label).cast("double")), *[
+    start = df.agg(F.count(F.lit(1)), F.avg(F.col(label).cast("double")), *[
         F.percentile_approx(F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")), probs, 10_000) for f in features]).first()
+    size, start = start[0], start[1:]
     share = min(max(start[0] if start[0] is not None else 0.5, 1e-6), 1 - 1e-6)
     # a cut at the smallest value would leave nothing to its left, but costs nothing either
     model = Model([np.unique(np.array(q or [], float)) for q in start[1:]], float(np.log(share / (1 - share))))
@@ -141,7 +142,8 @@ def fit(df: DataFrame, id_col: str, features: Sequence[str], label: str, rounds:
     schema = "y double, key long, margin double, " + ", ".join(f"{n} short" for n in names)
     source = df.select(F.col(label).cast("double").alias("y"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"),
                        *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
-    rows = write_table(source.mapInArrow(prepare, schema), "boosting")
+    # every level reads all rows: by as many tasks as rows ask for
+    rows = write_table(spread(source, "key", size).mapInArrow(prepare, schema), "boosting")
     tasks = rows.rdd.getNumPartitions()
     most = bins + 1
 

@@ -79,3 +79,12 @@ def test_missing_column_is_an_error(spark, tmp_path):
     _write(tmp_path / "m.csv", HEADER.split(",")[1:], [])
     with pytest.raises(ValueError, match="Row ID"):
         csv_ingest.read_sales_text(spark, str(tmp_path / "m.csv"))
+
+
+def test_the_exported_csv_is_packed(spark, make_staging, tmp_path):
+    from conftest import D, line
+
+    rows = make_staging([line(i, i, D(2020, 1, 1)) for i in range(1, 30)])
+    csv_ingest.export_csv(rows, str(tmp_path / "out"))
+    assert all(f.name.endswith(".csv.gz") for f in (tmp_path / "out").glob("part-*"))
+    assert csv_ingest.read_sales_text(spark, str(tmp_path / "out")).count() == 29
