@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from starmart.llm import words as W
 from starmart.llm.common import give_back, write_table
@@ -85,11 +85,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array([x.tobytes() for x in features(part.column(0))], pa.binary())], ["y", "x"])
+                x = pa.array([x.tobytes() for x in features(part.column(1))], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), x], ["doc_id", "y", "x"])
+        give_back()
 
     sample = labelled_texts(docs, labels, label, fit_rows)
-    rows = sample.orderBy("doc_id").select("text", "y").mapInArrow(run, "y int, x binary").collect()
+    schema = StructType([sample.schema["doc_id"], sample.schema["y"], StructField("x", BinaryType())])
+    # the features, not the texts, are put in order
+    rows = sorted(sample.select("doc_id", "text", "y").mapInArrow(run, schema).collect())
     y = np.array([r.y for r in rows], float)
     if not len(y) or y.min() == y.max():
         return None
@@ -136,21 +139,22 @@ def _strength(mean: float, spread: float, noise: float) -> float:
 
 def site_rates(rows: DataFrame) -> DataFrame:
     """(_path, _n, _sum, _prior, _k): per path its documents, their summed
-    probabilities, the shrunk host rate and the strength it counts with.
-    ``rows`` has _host, _path and _p."""
-    paths = write_table(rows.groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum("_p").alias("_sum")), "paths")
-    hosts = write_table(paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_sum").alias("_hs")), "hosts")
+    probabilities, the shrunk host rate and the strength it counts with, read
+    from a written table.  ``rows`` has _host, _path and _p."""
+    paths = rows.groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum("_p").alias("_sum"))
+    hosts = paths.groupBy("_host").agg(F.sum("_n").alias("_hn"), F.sum("_sum").alias("_hs"))
+    both = write_table(paths.join(hosts, "_host"), "sites")  # the only one: a file, and so a process, per shuffle partition
+    hosts = both.groupBy("_host").agg(F.max("_hn").alias("_hn"), F.max("_hs").alias("_hs"))
     rate = F.col("_hs") / F.col("_hn")
-    top = hosts.agg(F.sum("_hs"), F.sum("_hn"), F.count("*")).first()
+    top = both.agg(F.sum("_sum"), F.sum("_n")).first()
     mean = min(max((top[0] or 0) / max(top[1] or 0, 1), 1e-6), 1 - 1e-6)
     v = hosts.agg(F.avg((rate - mean) ** 2), F.avg(1 / F.col("_hn"))).first()
     k = _strength(mean, v[0] or 0, mean * (1 - mean) * (v[1] or 0))
-    hosts = hosts.withColumn("_host_rate", (F.lit(k * mean) + F.col("_hs")) / (F.lit(k) + F.col("_hn")))
-    both = write_table(paths.join(hosts.select("_host", "_host_rate"), "_host"), "sites")
+    both = both.withColumn("_prior", (F.lit(k * mean) + F.col("_hs")) / (F.lit(k) + F.col("_hn")))
     own = F.col("_sum") / F.col("_n")
-    u = both.agg(F.avg((own - F.col("_host_rate")) ** 2), F.avg(1 / F.col("_n"))).first()
+    u = both.agg(F.avg((own - F.col("_prior")) ** 2), F.avg(1 / F.col("_n"))).first()
     k = _strength(mean, u[0] or 0, mean * (1 - mean) * (u[1] or 0))
-    return both.select("_path", "_n", "_sum", F.col("_host_rate").alias("_prior"), F.lit(k).alias("_k"))
+    return both.select("_path", "_n", "_sum", "_prior", F.lit(k).alias("_k"))
 
 
 def score(docs: DataFrame, model: Classifier | None, host: Column, path: Column, text_col: str = "text",
@@ -173,7 +177,7 @@ def score_rows(docs: DataFrame, model: Classifier | None, host: Column, path: Co
         *([] if carry else [F.col(f"`{text_col}`").alias("_text")])), model, text_col)
     base = 0.5 if model is None else model.base
     rows = write_table(rows.withColumn("_p", 1 / (1 + F.exp(-(F.col("_llr") + F.lit(float(np.log(base / (1 - base)))))))), "evidence")
-    sites = write_table(site_rates(rows.select("_host", "_path", "_llr", "_p").filter("_llr IS NOT NULL")), "rates")
+    sites = site_rates(rows.select("_host", "_path", "_llr", "_p").filter("_llr IS NOT NULL"))
     rows = join_counted(rows, sites.withColumn("_c", F.col("_n")), "_path", "_c", "_spread")
     rate = (F.col("_k") * F.col("_prior") + F.col("_sum") - F.col("_p")) / (F.col("_k") + F.col("_n") - 1)
     rate = F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))

@@ -185,6 +185,27 @@ def test_quality_posterior_by_definition(spark):
     assert got == pytest.approx(want, rel=1e-9, abs=1e-12)
 
 
+def test_quality_writes_evidence_and_sites_only(spark, monkeypatch):
+    """Each table written over a shuffle costs a file per partition."""
+    rows, written, write = spark.createDataFrame(corpus(60), SCHEMA), [], Q.write_table
+
+    def noted(df, name="t", codec=None):
+        written.append(name)
+        return write(df, name, codec)
+
+    monkeypatch.setattr(Q, "write_table", noted)
+    assert Q.score(rows, None, F.col("source"), F.col("lang")).count() == 60
+    assert written == ["evidence", "sites"]
+
+
+def test_quality_fit_does_not_depend_on_the_order_of_rows(spark):
+    """Repeated ids and labels too."""
+    data = corpus(40) + [(i, t + " " + t, *rest) for i, t, *rest in corpus(20, seed=1)]
+    labels = spark.createDataFrame([(r[0], r[4]) for r in data], "doc_id long, quality int")
+    one, two = (Q.fit(spark.createDataFrame(d, SCHEMA).repartition(n), labels) for d, n in ((data, 1), (data[::-1], 7)))
+    assert one.coef.tolist() == two.coef.tolist() and one.bias == two.bias
+
+
 def test_quality_edges(spark):
     rows = spark.createDataFrame([(1, None, None, None), (2, " \n", "s", "x"), (None, "some words here", None, "y"),
                                   (3, "Fine " * 5000, "s", "x"), (3, "Fine words", "s", "x")],
