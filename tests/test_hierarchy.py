@@ -84,3 +84,31 @@ def test_no_rows_and_one_row(spark):
     assert H.fit(df, "id", COLS).merges == [] and H.fit(df.limit(0), "id", COLS).merges == []
     assert [r.cluster for r in H.assign(df, COLS, H.fit(df, "id", COLS), 2).collect()] == [0]
     assert H.linkage_table(df, H.fit(df, "id", COLS)).collect() == []
+
+
+def test_linkage_covers_all_rows(spark):
+    """Rounds over chunks give the merges of a linkage over every row, also
+    where there are more rows than a summary holds."""
+    x = np.vstack([points(560, 7), np.full((20, 2), 2.5)])
+    got = sorted(H.linkage(frame(spark, x), "id", COLS, chunk=64, last=400).collect())
+    size = np.r_[np.ones(560), 20]  # equal rows are one leaf
+    want = H.ward(size, x[:561])
+    assert len(got) == 560 and [r.step for r in got] == list(range(1, 561))
+    assert [r.height for r in got] == pytest.approx([m[2] for m in want])
+    assert sorted(r.rows for r in got) == sorted(m[3] for m in want) and got[-1].rows == 580
+    # every cluster is merged once, and holds the rows of its two ends
+    ends = [e for r in got for e in (r.left_cluster, r.right_cluster)]
+    assert sorted(ends) == list(range(2 * 561 - 2)) and all(r.left_cluster < r.right_cluster < 560 + r.step for r in got)
+    rows = {560 + r.step: r.rows for r in got}
+    made = [r for r in got if r.left_cluster > 560]
+    assert made and all(r.rows == rows[r.left_cluster] + rows[r.right_cluster] for r in made)
+
+
+def test_linkage_of_a_grid_and_of_few_rows(spark):
+    """Ties everywhere: rounds go on, and costs add up to all the spread."""
+    x = np.array([[i, j] for i in range(12) for j in range(12)], float)
+    got = H.linkage(frame(spark, x), "id", COLS, chunk=32, last=60).collect()
+    assert len(got) == 143
+    assert sum(r.height ** 2 / 2 for r in got) == pytest.approx(((x - x.mean(0)) ** 2).sum())
+    df = frame(spark, points(1))
+    assert H.linkage(df, "id", COLS).collect() == [] and H.linkage(df.limit(0), "id", COLS).collect() == []
