@@ -312,3 +312,19 @@ def test_dbscan_gathers_the_few_points_of_many_blocks(spark, monkeypatch):
     core = near.sum(1) >= 5
     assert all((got[i] == 0) == bool(core[i] or (near[i] & core).any()) for i in range(len(x)))
     assert held[0][0] <= 4 and held[1][0] <= 4 and held[0][1] > 15  # of some 20 blocks
+
+
+def test_dbscan_compares_only_points_outside_the_largest_component(spark, monkeypatch):
+    from starmart.operators import dbscan as db
+
+    rng = np.random.default_rng(6)
+    dense = rng.normal(0, 0.5, (400, 2))
+    small = np.concatenate([rng.uniform(-40, 40, 2) + rng.normal(0, 0.1, (6, 2)) for _ in range(6)])  # in blocks of dense points
+    x = np.concatenate([dense, small])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "customer_id long, a double, b double")
+    held, real = [], db._near_pairs_between
+    monkeypatch.setattr(db, "_near_pairs_between", lambda left, right, e: held.append((left.count(), right.count())) or real(left, right, e))
+    got = {r.customer_id: r.cluster for r in db.dbscan(df, "customer_id", ["a", "b"], eps=1.0, min_samples=5, block=16).collect()}
+    want = _dbscan_reference(x, 1.0, 5)
+    assert [got[i] for i in range(len(x))] == [want[i] for i in range(len(x))]
+    assert len(held) == 3 and held[1][0] <= 4 and held[1][1] > 20  # the 36 points meet the blocks, no block as a whole
