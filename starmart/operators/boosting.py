@@ -4,9 +4,10 @@ of bounded depth, rows and columns drawn per tree, regularised leaves.
 Features are cut into at most ``bins`` bins at approximate quantiles (one
 aggregate).  A level of a tree is one job: every task adds the gradients and
 hessians of its rows up per (node, feature, bin) and sends one array
-(:mod:`partials`); the driver picks the splits from their sum.  What travels does not grow with the rows.  Margins are kept in a written
-table, renewed every ``STRIDE`` trees; in between, tasks add the newest trees
-on the fly.
+(:mod:`partials`); the driver picks the splits from their sum.  What travels does not grow with the rows.  Rows are kept in a written
+table, up to ``PACK`` of them in a packed row, so that a job does not move them
+to Python value by value.  Their margins are renewed every ``STRIDE`` trees; in
+between, tasks add the newest trees on the fly.
 
 A split puts bins up to b to the left, that is values below the b-th cut;
 null and NaN go right.  Gain, leaf weight and stopping follow the second-order
@@ -29,6 +30,9 @@ from starmart.session import spread, write_table
 
 BINS = 64
 STRIDE = 15
+#: Rows of a packed row.
+PACK = 1 << 15
+_PACKED = "rows int, y binary, key binary, margin binary, cut binary"
 
 
 @dataclass
@@ -47,13 +51,15 @@ class Tree:
         return cls(np.full(n, -1), np.zeros(n, np.int64), np.zeros(n), np.zeros(n))
 
     def nodes(self, bins: np.ndarray) -> np.ndarray:
-        """Where rows (of bin numbers) stand so far."""
-        node = np.zeros(len(bins), np.int64)
-        for _ in range(len(self.feature).bit_length() - 1):
-            f = self.feature[node]
-            right = bins[np.arange(len(bins)), np.maximum(f, 0)] > self.bin[node]
-            node = np.where(f >= 0, 2 * node + 1 + right, node)
-        return node
+        """Where rows (of bin numbers, best laid out by feature) stand so far."""
+        node = np.zeros(len(bins), np.uint8 if len(self.feature) < 256 else np.int64)
+        for level in range(len(self.feature).bit_length() - 1):
+            below = node.copy()
+            for i in range(2 ** level - 1, 2 ** (level + 1) - 1):
+                if self.feature[i] >= 0:  # whole columns at a time: node i goes on to 2i + 1 or 2i + 2
+                    below += (node == i) * ((bins[:, self.feature[i]] > self.bin[i]) + node.dtype.type(i + 1))
+            node = below
+        return node.astype(np.int64)
 
     def margin(self, bins: np.ndarray) -> np.ndarray:
         return self.weight[self.nodes(bins)]
@@ -129,35 +135,35 @@ def fit(df: DataFrame, id_col: str, features: Sequence[str], label: str, rounds:
     share = min(max(start[0] if start[0] is not None else 0.5, 1e-6), 1 - 1e-6)
     # a cut at the smallest value would leave nothing to its left, but costs nothing either
     model = Model([np.unique(np.array(q or [], float)) for q in start[1:]], float(np.log(share / (1 - share))))
-    names = [f"b{i}" for i in range(d)]
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[2:]]).astype(float)
-            cut = model.bins(x)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(np.full(len(x), model.base)), *[pa.array(cut[:, i]) for i in range(d)]],
-                ["y", "key", "margin", *names])
+            for i in range(0, b.num_rows, PACK):
+                held.append(b.slice(i, PACK))
+                size += held[-1].num_rows
+                if size >= PACK:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def packed(batches: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
+        y, key, *x = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in batches]) for i in range(d + 2))
+        cut = model.bins(np.column_stack(x).astype(float)) if d else np.zeros((len(y), 0), np.int16)
+        return _packed(y, key, np.full(len(y), model.base), cut)
 
-    schema = "y double, key long, margin double, " + ", ".join(f"{n} short" for n in names)
     source = df.select(F.col(label).cast("double").alias("y"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("key"),
                        *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
     # every level reads all rows: by as many tasks as rows ask for
-    rows = write_table(spread(source, "key", size).mapInArrow(prepare, schema), "boosting")
+    rows = write_table(spread(source, "key", size).mapInArrow(prepare, _PACKED), "boosting")
     tasks = rows.rdd.getNumPartitions()
     most = bins + 1
 
-    def unpack(b: pa.RecordBatch, trees: Sequence[Tree]):
-        y, key, margin = (b.column(i).to_numpy() for i in range(3))
-        cut = np.column_stack([c.to_numpy() for c in b.columns[3:]]).astype(np.int64)
-        for t in trees:
-            margin = margin + t.margin(cut)
-        return y, key, margin, cut
-
     pending: list[Tree] = []
     for number in range(rounds):
         if len(pending) == STRIDE:
-            rows, tasks = _renewed(rows, schema, unpack, tuple(pending))
+            rows, tasks = _renewed(rows, tuple(pending))
             pending = []
         tree, columns = Tree.empty(depth), columns_of(number, seed, d, column_share)
         open_ = [0]
@@ -165,17 +171,18 @@ def fit(df: DataFrame, id_col: str, features: Sequence[str], label: str, rounds:
             first = 2 ** level - 1
 
             def kernel(b: pa.RecordBatch, tree=tree, open_=tuple(open_), first=first, level=level, trees=tuple(pending)):
-                y, key, margin, cut = unpack(b, trees)
-                node = tree.nodes(cut)
-                use = drawn(key, number, seed, row_share) & np.isin(node, open_)
-                p = 1 / (1 + np.exp(-margin[use]))
-                g, h = p - y[use], p * (1 - p)
-                cell = (node[use] - first) * most
                 out = np.zeros((2, d, 2 ** level * most))
-                for f in columns:
-                    at = cell + cut[use, f]
-                    out[0, f] = np.bincount(at, g, out.shape[2])
-                    out[1, f] = np.bincount(at, h, out.shape[2])
+                is_open = np.isin(np.arange(len(tree.feature)), open_)
+                for y, key, margin, cut in _unpacked(b, trees):
+                    node = tree.nodes(cut)
+                    use = np.flatnonzero(drawn(key, number, seed, row_share) & is_open[node])
+                    p = 1 / (1 + np.exp(-margin[use]))
+                    g, h = p - y[use], p * (1 - p)
+                    cell = (node[use] - first) * most
+                    for f in columns:
+                        at = cell + cut[use, f]
+                        out[0, f] += np.bincount(at, g, out.shape[2])
+                        out[1, f] += np.bincount(at, h, out.shape[2])
                 return out.ravel()
 
             total = added(rows, kernel, 2 * d * 2 ** level * most, tasks).reshape(2, d, 2 ** level, most)
@@ -202,14 +209,32 @@ def fit(df: DataFrame, id_col: str, features: Sequence[str], label: str, rounds:
     return model
 
 
-def _renewed(rows: DataFrame, schema: str, unpack, trees: tuple[Tree, ...]) -> tuple[DataFrame, int]:
+def _packed(y: np.ndarray, key: np.ndarray, margin: np.ndarray, cut: np.ndarray) -> pa.RecordBatch:
+    """One packed row; the bin numbers lie by feature."""
+    parts = y.astype("<f8"), key.astype("<i8"), margin.astype("<f8"), cut.astype("<i2").T
+    return pa.RecordBatch.from_arrays([pa.array([len(y)], pa.int32()), *[pa.array([v.tobytes()], pa.binary()) for v in parts]],
+                                      ["rows", "y", "key", "margin", "cut"])
+
+
+def _unpacked(b: pa.RecordBatch, trees: Sequence[Tree]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(y, key, margin, bin numbers) of each packed row, the margins with those of ``trees``."""
+    for i in range(b.num_rows):
+        rows = b.column(0)[i].as_py()
+        y, key, margin, cut = (np.frombuffer(b.column(j)[i].as_buffer(), t) for j, t in ((1, "<f8"), (2, "<i8"), (3, "<f8"), (4, "<i2")))
+        cut = cut.reshape(-1, rows).T
+        for t in trees:
+            margin = margin + t.margin(cut)
+        yield y, key, margin, cut
+
+
+def _renewed(rows: DataFrame, trees: tuple[Tree, ...]) -> tuple[DataFrame, int]:
     """The written rows with the margins of ``trees`` added."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            margin = unpack(b, trees)[2]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(margin), *b.columns[3:]], b.schema.names)
+            for part in _unpacked(b, trees):
+                yield _packed(*part)
 
-    rows = write_table(rows.mapInArrow(run, schema), "boosting")
+    rows = write_table(rows.mapInArrow(run, _PACKED), "boosting")
     return rows, rows.rdd.getNumPartitions()
 
 

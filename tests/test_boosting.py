@@ -98,3 +98,30 @@ def test_odd_rows(spark):
         model = B.fit(part, "id", NAMES, "y", rounds=2)
         assert all((t.feature < 0).all() for t in model.trees)
         assert B.predict(part, model, NAMES).count() == part.count()
+
+
+def test_rows_are_read_packed(spark, monkeypatch):
+    """A level's job reads a few packed rows, which hold every row once."""
+    kept, real = [], B.write_table
+    monkeypatch.setattr(B, "write_table", lambda df, name: kept.append(real(df, name)) or kept[-1])
+    monkeypatch.setattr(B, "STRIDE", 2)
+    df = spark.range(5000).selectExpr("id", "cast(id % 97 AS double) a", "cast(id % 7 AS double) b", "cast(id % 97 > 40 AS int) y")
+    model = B.fit(df.repartition(3), "id", ["a", "b"], "y", rounds=5, depth=2)
+    assert len(model.trees) == 5 and len(kept) == 3  # margins are renewed after two and four trees
+    for table in kept:
+        rows = table.collect()
+        assert len(rows) == 3 and sum(r.rows for r in rows) == 5000
+        assert all(len(r.margin) == 8 * r.rows and len(r.cut) == 4 * r.rows for r in rows)
+
+
+def test_nodes_follow_the_splits_row_by_row():
+    g = np.random.default_rng(3)
+    tree = B.Tree.empty(3)
+    for i, (f, b) in {0: (1, 4), 1: (0, 2), 2: (2, 7), 4: (1, 1), 5: (0, 5)}.items():
+        tree.feature[i], tree.bin[i] = f, b
+    bins = g.integers(0, 9, (500, 3)).astype(np.int16)
+    for row, node in zip(bins, tree.nodes(np.asfortranarray(bins)).tolist()):
+        at = 0
+        while at < 7 and tree.feature[at] >= 0:
+            at = 2 * at + 1 + int(row[tree.feature[at]] > tree.bin[at])
+        assert node == at
