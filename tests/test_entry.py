@@ -52,3 +52,21 @@ def test_flagship_plan_prunes_and_broadcasts(spark):
     fact_scans = [ln for ln in plan.splitlines() if "ReadSchema" in ln and "order_date_key" in ln]
     assert fact_scans and all("loaded_at" not in ln and "row_id" not in ln for ln in fact_scans)
     assert plan.count("HashAggregate") >= 2
+
+
+def test_fits_run_together_and_each_once(monkeypatch):
+    import threading
+
+    from starmart import registry as R
+
+    met, seen = threading.Barrier(2, timeout=20), []
+
+    def fit(spark, sf_dir, method, i):
+        seen.append((method, i))
+        met.wait()  # nobody gets past alone
+
+    monkeypatch.setattr(R, "_star", lambda spark, sf_dir: None)
+    monkeypatch.setattr(R.segmentation, "features_frame", lambda *a: None)
+    monkeypatch.setattr(R, "_labelled", fit)
+    R._fit_together(None, "", ["kmeans", "dbscan"])
+    assert sorted(seen) == [("dbscan", 0), ("dbscan", 3), *[("kmeans", i) for i in range(4)]]
